@@ -1,0 +1,73 @@
+"""Bulk ingest of SAS transport files: one task decodes one file, failures become rows."""
+
+from __future__ import annotations
+
+import io
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tabprep.functions.columns import file_stem, parent_name
+
+CELLS = "path string, status string, error string, row_no bigint, variable string, value string"
+
+
+def _decode(content: bytes) -> pd.DataFrame:
+    """Try the available readers in turn; the last error is raised when all fail."""
+    error: Exception | None = None
+    for encoding in (None, "latin1"):
+        try:
+            return pd.read_sas(io.BytesIO(content), format="xport", encoding=encoding)
+        except Exception as failure:  # any decode error means: try the next reader
+            error = failure
+    raise error
+
+
+def _cells(path: str, content: bytes) -> pd.DataFrame:
+    try:
+        table = _decode(content)
+        if table.empty:
+            raise ValueError("no rows")
+    except Exception as failure:
+        return pd.DataFrame([{"path": path, "status": "failed", "error": str(failure)[:200]}])
+    text = table.apply(lambda s: s.map(lambda v: v.decode("latin1") if isinstance(v, bytes) else v))
+    text["row_no"] = range(len(text))
+    long = text.melt(id_vars="row_no", var_name="variable", value_name="value")
+    long["value"] = long["value"].map(lambda v: None if pd.isna(v) else (repr(v) if isinstance(v, float) else str(v)))
+    return long.assign(path=path, status="processed", error=None)
+
+
+def read_transport(spark: SparkSession, root: str, glob: str = "*.[xX][pP][tT]") -> DataFrame:
+    """Cells in long form with `cycle`, `module`, `status` and `error`; a bad file gives one 'failed' row."""
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
+        .select("path", "content")
+    )
+
+    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [field.split()[0] for field in CELLS.split(", ")]
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                yield _cells(path, bytes(content)).reindex(columns=names)
+
+    cells = files.mapInPandas(decode, CELLS)
+    return cells.withColumns({"cycle": parent_name(F.col("path")), "module": file_stem(F.col("path"))})
+
+
+def transport_outcomes(cells: DataFrame) -> DataFrame:
+    """One row per file: status and error."""
+    return cells.groupBy("path", "cycle", "module").agg(F.max("status").alias("status"), F.max("error").alias("error"))
+
+
+def transport_table(cells: DataFrame, variables: list[str], id_col: str) -> DataFrame:
+    """Wide table of the wanted variables, one row per record of the decoded files.
+
+    Cells of a record meet by (path, row_no), so one large file still spreads over all tasks.
+    """
+    picked = [F.max(F.when(F.col("variable") == v, F.col("value"))).alias(v) for v in [id_col, *variables]]
+    return (
+        cells.where((F.col("status") == "processed") & F.col("variable").isin(id_col, *variables))
+        .groupBy("path", "cycle", "module", "row_no").agg(*picked)
+    )
