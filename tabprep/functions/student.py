@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 STEPS = 500
@@ -58,6 +59,9 @@ def two_sided_p(t: float | None, dof: float | None) -> float | None:
     return incomplete_beta(dof / 2.0, 0.5, dof / (dof + t * t))
 
 
-@F.pandas_udf("double")
-def t_test_p(t: pd.Series, dof: pd.Series) -> pd.Series:
+def _p_values(t: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([two_sided_p(a, b) for a, b in zip(t, dof)], dtype="float64")
+
+
+def t_test_p(t: Column, dof: Column) -> Column:
+    return F.pandas_udf(_p_values, "double")(t, dof.cast("double"))

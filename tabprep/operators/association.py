@@ -35,7 +35,7 @@ def t_statistics(df: DataFrame, target: str, cols: Sequence[str], classes: tuple
 def t_test(df: DataFrame, target: str, cols: Sequence[str], classes: tuple = (0, 1)) -> DataFrame:
     """T statistics with the two-sided p-value and its stars."""
     rows = t_statistics(df, target, cols, classes)
-    return rows.withColumn("p", t_test_p(F.col("t"), F.col("dof").cast("double"))).withColumn(
+    return rows.withColumn("p", t_test_p(F.col("t"), F.col("dof"))).withColumn(
         "significance", significance(F.col("p"))
     )
 

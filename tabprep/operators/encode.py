@@ -15,6 +15,7 @@ from tabprep.functions.columns import present
 from tabprep.functions.summaries import as_double, by_family, value_frequencies
 from tabprep.operators.joins import lookup
 from tabprep.operators.ordering import with_row_index
+from tabprep.operators.split import row_hash
 from tabprep.sizing import SMALL_ROWS, collect_bounded, lookup_table
 
 # A wide one-hot table gets one column per level; beyond this use the sparse encoder.
@@ -198,7 +199,8 @@ def fit_target(
 
 
 def fold_of(key: str, folds: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(folds)).cast("int")
+    """Fold number from the portable row hash."""
+    return (F.conv(F.substring(row_hash(key, 0), 1, 8), 16, 10).cast("bigint") % F.lit(folds)).cast("int")
 
 
 def target_out_of_fold(

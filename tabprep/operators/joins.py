@@ -57,7 +57,13 @@ def join_modules(
         unique = not has_repeated_keys(tables, keys, null_safe)
     if not unique:
         return reduce(lambda a, b: _full_join(a, b, keys, null_safe), tables.values())
-    stacked = stack(list(tables.values()))
+    return merge_unique(list(tables.values()), keys, null_safe)
+
+
+def merge_unique(tables: Sequence[DataFrame], keys: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """Full outer join of tables that hold each key at most once: stack them and group once by key."""
+    keys = list(keys)
+    stacked = stack(list(tables))
     values = [c for c in stacked.columns if c not in keys]
 
     def merged(rows: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabprep.functions.columns import normalise_nan
 from tabprep.operators.clean import threshold_label
-from tabprep.operators.joins import join_modules
+from tabprep.operators.joins import has_repeated_keys, join_modules, merge_unique, rename_overlap
 from tabprep.operators.profile import file_variables, variable_availability
 from tabprep.operators.stacking import stack, stack_long
 from tabprep.sources.dictionary import ID_COLUMN, readable_names
@@ -42,14 +42,22 @@ def read_modules(spark: SparkSession, root: str) -> dict[tuple[str, str], DataFr
 def consolidate_modules(modules: Modules, unique: bool | None = None, null_label: int | None = None) -> DataFrame:
     """L4 without I/O: readable names, full outer join per (cycle, subject), stacked cycles, label.
 
-    The same module's tables of all cycles are stacked first, so one join serves every cycle.
+    With unique subjects per file one exchange serves all modules of all cycles. Overlapping names are resolved
+    inside a cycle, because file names of one module differ from cycle to cycle.
     """
-    by_module: dict[str, list[DataFrame]] = {}
+    cycles: dict[str, dict[str, DataFrame]] = {}
     for (cycle, module), df in modules.items():
         table = normalise_nan(readable_names(df)).withColumn("cycle", F.lit(cycle))
-        by_module.setdefault(module, []).append(table)
-    tables = {module: stack(parts) for module, parts in by_module.items()}
-    wide = join_modules(tables, ["cycle", SUBJECT], unique=unique)
+        cycles.setdefault(cycle, {})[module] = table
+    keys = ["cycle", SUBJECT]
+    cycles = {cycle: rename_overlap(tables, keys) for cycle, tables in cycles.items()}
+    flat = {f"{cycle}/{module}": df for cycle, tables in cycles.items() for module, df in tables.items()}
+    if unique is None:
+        unique = not has_repeated_keys(flat, keys)
+    if unique:
+        wide = merge_unique(list(flat.values()), keys)
+    else:
+        wide = stack([join_modules(tables, keys, unique=False) for tables in cycles.values()])
     if GLUCOSE in wide.columns:
         wide = threshold_label(wide, GLUCOSE, LABEL_THRESHOLD, LABEL, null_label)
     return wide
