@@ -1,3 +1,10 @@
 """Spark-native preparation and profiling of repeated-survey tables."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions that run inside tasks travel with their code, so executors need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

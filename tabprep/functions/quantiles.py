@@ -20,6 +20,8 @@ from tabprep.functions.summaries import as_double, wide_to_rows
 from tabprep.sizing import ONE_TASK_BYTES, fits_one_task, hinted, lookup_table
 
 SKETCH_ACCURACY = 100_000
+# Up to this many values of a column and group may meet in one task.
+ONE_TASK_ROWS = 2_000_000
 # Bracket half-width in units of the sketch's guaranteed rank error.
 BRACKET_MARGIN = 3
 
@@ -30,20 +32,29 @@ def exact_quantiles(
     probabilities: Sequence[float],
     by: Sequence[str] = (),
     one_task_bytes: int = ONE_TASK_BYTES,
+    one_task_rows: int = ONE_TASK_ROWS,
     accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
-    """One row per group and column: `variable`, `q` = array of quantiles (NULL when the column has no value)."""
+    """One row per group and column: `variable`, `q` = array of quantiles (NULL when the column has no value).
+
+    The planned size decides first; when it is large (it multiplies over joins) the counts of the sketch decide.
+    """
+    cols, by, probs = list(cols), list(by), [float(p) for p in probabilities]
     slim = df.select(*by, *[as_double(c).alias(c) for c in cols])
     if fits_one_task(slim, one_task_bytes):
-        points = F.array(*[F.lit(float(p)) for p in probabilities])
-        wide = slim.groupBy(*by).agg(
-            *[F.percentile(F.col(c), points).alias(f"q__{i}") for i, c in enumerate(cols)]
-        )
-        return wide_to_rows(wide, by, cols, ["q"])
-    return _bracketed(slim, list(cols), [float(p) for p in probabilities], list(by), accuracy)
+        return _direct(slim, cols, probs, by)
+    return _bracketed(slim, cols, probs, by, one_task_rows, accuracy)
+
 
+def _direct(slim: DataFrame, cols: list[str], probs: list[float], by: list[str]) -> DataFrame:
+    points = F.array(*[F.lit(p) for p in probs])
+    wide = slim.groupBy(*by).agg(*[F.percentile(F.col(c), points).alias(f"q__{i}") for i, c in enumerate(cols)])
+    return wide_to_rows(wide, by, cols, ["q"])
 
-def _bracketed(slim: DataFrame, cols: list[str], probs: list[float], by: list[str], accuracy: int) -> DataFrame:
+
+def _bracketed(
+    slim: DataFrame, cols: list[str], probs: list[float], by: list[str], one_task_rows: int, accuracy: int
+) -> DataFrame:
     margin = BRACKET_MARGIN / accuracy
     edges = [x for p in probs for x in (max(0.0, p - margin), min(1.0, p + margin))]
     sketch = slim.groupBy(*by).agg(
@@ -54,11 +65,14 @@ def _bracketed(slim: DataFrame, cols: list[str], probs: list[float], by: list[st
     )
 
     def edge(i: int, j: int, upper: bool):
-        # The outermost brackets reach the true extremes.
+        # The outermost brackets reach the true extremes, and so do those of a group so small that the margin
+        # would be less than a few rows.
+        extreme = F.col(f"hi__{i}" if upper else f"lo__{i}")
+        share = edges[2 * j + 1] if upper else edges[2 * j]
+        if share in (0.0, 1.0):
+            return extreme
         at = F.col(f"e__{i}")[2 * j + (1 if upper else 0)]
-        if upper:
-            return F.col(f"hi__{i}") if edges[2 * j + 1] >= 1.0 else at
-        return F.col(f"lo__{i}") if edges[2 * j] <= 0.0 else at
+        return F.when(F.col(f"n__{i}") <= accuracy, extreme).otherwise(at)
 
     slots = [(i, j) for i in range(len(cols)) for j in range(len(probs))]
     brackets = sketch.select(
@@ -70,6 +84,9 @@ def _bracketed(slim: DataFrame, cols: list[str], probs: list[float], by: list[st
 
     # One row per group: fixed now, so the sketch is not computed again and the join below can go without a shuffle.
     brackets, small = lookup_table(brackets)
+    largest = brackets.agg(F.max(F.greatest(*[F.col(f"n__{i}") for i in range(len(cols))], F.lit(0)))).first()[0]
+    if small and (largest or 0) <= one_task_rows:
+        return _direct(slim, cols, probs, by)
     if by:
         keyed = hinted(brackets.withColumnsRenamed({k: f"of__{k}" for k in by}), small)
         marked = slim.join(keyed, [F.col(k).eqNullSafe(F.col(f"of__{k}")) for k in by]).drop(*[f"of__{k}" for k in by])

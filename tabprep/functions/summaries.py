@@ -38,37 +38,53 @@ def as_double(name: str) -> Column:
     return F.col(name).cast("double")
 
 
-def _family(kind: T.DataType) -> str:
+# A value of any type as one sortable struct; exactly one field is set, or none for NULL.
+VALUE_FIELDS = {"whole": "bigint", "number": "double", "flag": "boolean", "moment": "timestamp", "text": "string"}
+
+
+def value_field(kind: T.DataType) -> str:
     if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return "bigint"
+        return "whole"
     if isinstance(kind, T.NumericType):
-        return "double"
+        return "number"
     if isinstance(kind, T.BooleanType):
-        return "boolean"
+        return "flag"
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return "timestamp"
-    return "string"
+        return "moment"
+    return "text"
+
+
+def _as_value(df: DataFrame, name: str) -> Column:
+    own = value_field(df.schema[name].dataType)
+    return F.struct(*[
+        (F.col(name) if field == own else F.lit(None)).cast(kind).alias(field) for field, kind in VALUE_FIELDS.items()
+    ])
 
 
-def by_family(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
-    """Columns grouped by the type their values can share without loss of order."""
-    out: dict[str, list[str]] = {}
-    for c in cols:
-        out.setdefault(_family(df.schema[c].dataType), []).append(c)
-    return out
+def plain(value) -> object:
+    """The Python value held by a collected value struct."""
+    return next((v for v in value if v is not None), None)
 
 
-def value_frequencies(df: DataFrame, cols: Sequence[str], kind: str) -> DataFrame:
-    """(variable, value, n) for columns of one family, NULL excluded.
+def value_text(value: str) -> Column:
+    """The value struct as text."""
+    return F.coalesce(*[F.col(value)[field].cast("string") for field in VALUE_FIELDS])
+
+
+def value_frequencies(df: DataFrame, cols: Sequence[str], with_nulls: bool = False) -> DataFrame:
+    """(variable, value, n) for all columns in one scan; `value` is a value struct.
 
     Counting is partially aggregated before the shuffle, so a value held by a third of the rows costs one row per
     task, and the table is spread by (variable, value) however many distinct values there are.
     """
-    entries = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast(kind).alias("value")) for c in cols])
-    return (
-        df.select(F.inline(entries)).where(F.col("value").isNotNull())
-        .groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n"))
-    )
+    entries = F.array(*[
+        F.struct(F.lit(c).alias("variable"), _as_value(df, c).alias("value"), F.col(c).isNotNull().alias("known"))
+        for c in cols
+    ])
+    long = df.select(F.inline(entries))
+    if not with_nulls:
+        long = long.where("known")
+    return long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def modes(frequencies: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabprep.functions.columns import present
-from tabprep.functions.summaries import as_double, by_family, value_frequencies
+from tabprep.functions.summaries import as_double, plain, value_frequencies
 from tabprep.operators.joins import lookup
 from tabprep.operators.ordering import with_row_index
 from tabprep.operators.split import row_hash
@@ -31,18 +31,16 @@ def level_text(value, float_text: bool = False) -> str:
     return str(value)
 
 
-def _distinct_levels(df: DataFrame, cols: Sequence[str], limit: int) -> dict[str, list] | None:
-    """Sorted non-null levels per column, or None when some column has more than `limit`."""
+def _distinct_levels(df: DataFrame, cols: Sequence[str], limit: int, with_nulls: bool = False) -> dict[str, list] | None:
+    """Sorted levels per column, NULL last when asked for; None when some column has more than `limit`."""
+    found = value_frequencies(df, cols, with_nulls).select("variable", "value")
+    rows = collect_bounded(found, (limit + 1) * len(cols))
     out: dict[str, list] = {c: [] for c in cols}
-    for kind, names in by_family(df, cols).items():
-        rows = collect_bounded(value_frequencies(df, names, kind).select("variable", "value"), limit * len(names))
-        if rows is None:
-            return None
-        for r in rows:
-            out[r["variable"]].append(r["value"])
-    if any(len(v) > limit for v in out.values()):
+    for r in rows or []:
+        out[r["variable"]].append(plain(r["value"]))
+    if rows is None or any(len(v) > limit for v in out.values()):
         return None
-    return {c: sorted(v) for c, v in out.items()}
+    return {c: sorted(v, key=lambda x: (x is None, 0 if x is None else x)) for c, v in out.items()}
 
 
 @dataclass(frozen=True)
@@ -89,13 +87,10 @@ def fit_one_hot(
     cols = present(df, cols)
     if not cols:
         return OneHot({}, drop_first, unseen, float_text)
-    levels = _distinct_levels(df, cols, WIDE_LEVELS)
+    levels = _distinct_levels(df, cols, WIDE_LEVELS, with_nulls=True)
     if levels is None:
         raise ValueError(f"more than {WIDE_LEVELS} levels: use fit_one_hot_sparse")
-    nulls = df.agg(*[F.bool_or(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    return OneHot(
-        {c: levels[c] + ([None] if nulls[i] else []) for i, c in enumerate(cols)}, drop_first, unseen, float_text
-    )
+    return OneHot(levels, drop_first, unseen, float_text)
 
 
 def fit_one_hot_sparse(df: DataFrame, cols: Sequence[str], drop_first: bool = True) -> PipelineModel:

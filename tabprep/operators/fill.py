@@ -49,17 +49,22 @@ def fill_in_order(
 
 
 def _spans(keys: Sequence[str], order_by: Sequence[str]):
+    """Rows up to this one, and the whole series.
+
+    Only rows before the first known value need a later one, and for all of them it is the first of the series. So the
+    backward fill reads the whole series once instead of the rest of it per row, which would be quadratic.
+    """
     ordered = Window.partitionBy(*keys).orderBy(*order_by)
     return (
         ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow),
-        ordered.rowsBetween(Window.currentRow, Window.unboundedFollowing),
+        ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing),
     )
 
 
 def _fill_window(df: DataFrame, cols: list[str], order_by: list[str], keys: list[str]) -> DataFrame:
-    before, after = _spans(keys, order_by)
+    before, series = _spans(keys, order_by)
     return df.withColumns({
-        c: F.coalesce(F.last(c, ignorenulls=True).over(before), F.first(c, ignorenulls=True).over(after)) for c in cols
+        c: F.coalesce(F.last(c, ignorenulls=True).over(before), F.first(c, ignorenulls=True).over(series)) for c in cols
     })
 
 
@@ -85,20 +90,19 @@ def _fill_slices(
             F.struct(*keys).eqNullSafe(F.col("low")) | F.struct(*keys).eqNullSafe(F.col("high"))
         ).drop("end__slice", "low", "high")
     # At most two rows per slice from here on.
-    over_slices = Window.partitionBy(*keys).orderBy(SLICE)
-    earlier = over_slices.rowsBetween(Window.unboundedPreceding, -1)
-    later = over_slices.rowsBetween(1, Window.unboundedFollowing)
+    earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(*keys).orderBy(F.col(SLICE).desc()).rowsBetween(Window.unboundedPreceding, -1)
     carried = edges.select(
         *[F.col(k).alias(f"carry__{k}") for k in group],
         *[F.last(f"last__{i}", ignorenulls=True).over(earlier).alias(f"prev__{i}") for i in range(len(cols))],
-        *[F.first(f"first__{i}", ignorenulls=True).over(later).alias(f"next__{i}") for i in range(len(cols))],
+        *[F.last(f"first__{i}", ignorenulls=True).over(later).alias(f"next__{i}") for i in range(len(cols))],
     )
     on = [F.col(k).eqNullSafe(F.col(f"carry__{k}")) for k in group]
-    before, after = _spans(group, order_by)
+    before, series = _spans(group, order_by)
     filled = sliced.withColumns({
         f"fwd__{i}": F.last(c, ignorenulls=True).over(before) for i, c in enumerate(cols)
     } | {
-        f"bwd__{i}": F.first(c, ignorenulls=True).over(after) for i, c in enumerate(cols)
+        f"bwd__{i}": F.first(c, ignorenulls=True).over(series) for i, c in enumerate(cols)
     }).join(F.broadcast(carried), on, "left")
     values = {
         c: F.coalesce(F.col(f"fwd__{i}"), F.col(f"prev__{i}"), F.col(f"bwd__{i}"), F.col(f"next__{i}"))

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from tabprep.functions.columns import present
 from tabprep.functions.quantiles import median_of
-from tabprep.functions.summaries import as_double, by_family, modes, summarise, value_frequencies
+from tabprep.functions.summaries import as_double, modes, plain, summarise, value_frequencies
+from tabprep.sizing import local_table
 
 
 @dataclass(frozen=True)
@@ -39,7 +40,7 @@ class ConstantImputer:
     def to_table(self, spark: SparkSession) -> DataFrame:
         """The fitted values as a table."""
         rows = [(c, self.method, None if v is None else str(v)) for c, v in self.values.items()]
-        return spark.createDataFrame(rows, "variable string, method string, value string")
+        return local_table(spark, rows, "variable string, method string, value string")
 
 
 def _chosen(df: DataFrame, cols: Sequence[str], skip: Sequence[str]) -> list[str]:
@@ -68,11 +69,11 @@ def fit_mean(df: DataFrame, cols: Sequence[str], skip: Sequence[str] = ()) -> Co
 def fit_mode(df: DataFrame, cols: Sequence[str]) -> ConstantImputer:
     """I4: smallest most frequent value; a column without values stays as it is."""
     cols = present(df, cols)
-    values: dict[str, object] = {}
-    for kind, names in by_family(df, cols).items():
-        for r in modes(value_frequencies(df, names, kind)).collect():  # one row per column
-            values[r["variable"]] = r["value"]
-    return ConstantImputer("mode", {c: values[c] for c in cols if c in values})
+    if not cols:
+        return ConstantImputer("mode")
+    rows = modes(value_frequencies(df, cols)).collect()  # one row per column
+    found = {r["variable"]: plain(r["value"]) for r in rows}
+    return ConstantImputer("mode", {c: found[c] for c in cols if c in found})
 
 
 def imputation_report(before: DataFrame, after: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -48,8 +48,10 @@ class KnnModel:
         df = df.withColumns(kinds)
         full = (1 << len(self.cols)) - 1
         gaps = any_of([F.col(c).isNull() for c in self.cols])
-        marks = df.where(gaps).select(known_mask(self.cols).alias("mask")).distinct().collect()  # one row per pattern
-        found = self._imputed(df.where(gaps), [r["mask"] for r in marks if r["mask"] not in (0, full)])
+        marks = df.where(gaps).groupBy(known_mask(self.cols).alias("mask")).agg(
+            F.approx_count_distinct(F.xxhash64(*self.cols)).alias("n")
+        ).collect()  # one row per pattern
+        found = self._imputed(df.where(gaps), {r["mask"]: r["n"] for r in marks if r["mask"] not in (0, full)})
         if found is None:
             return df.withColumns({c: F.coalesce(F.col(c), F.lit(self.means[c]).cast("double")) for c in self.cols})
         # Complete rows pass by without a shuffle; only rows with a gap meet their results.
@@ -63,7 +65,7 @@ class KnnModel:
         filled = joined.select(*[values[c].alias(c) if c in values else F.col(f"`{c}`") for c in df.columns])
         return df.where(~gaps).unionByName(filled)
 
-    def _imputed(self, rows: DataFrame, patterns: list[int]) -> DataFrame | None:
+    def _imputed(self, rows: DataFrame, patterns: dict[int, int]) -> DataFrame | None:
         """(id__j..., imp__j...): one row per distinct row with gaps."""
         bits = range(len(self.cols))
         pairs = [
@@ -72,46 +74,29 @@ class KnnModel:
         if not pairs:
             return None
         name = {(d, q): f"{d}:{d & q}" for d, q in pairs}
-        used = {name[p]: [f"a__{j}" for j in bits if (p[0] & p[1]) >> j & 1] for p in pairs}
-        rows_in = {name[d, q]: self.pattern_rows[d] for d, q in pairs}
-        axes = [f"a__{j}" for j in bits]
-
-        def spaces(mask: Column, groups: dict[int, list[str]]) -> Column:
-            out = F.lit(None).cast("array<string>")
-            for pattern, members in groups.items():
-                out = F.when(mask == pattern, F.array(*[F.lit(m) for m in sorted(set(members))])).otherwise(out)
-            return out
-
-        donor_spaces: dict[int, list[str]] = {}
-        query_spaces: dict[int, list[str]] = {}
+        used = {name[p]: [j for j in bits if (p[0] & p[1]) >> j & 1] for p in pairs}
+        donor_rows = {name[d, q]: self.pattern_rows[d] for d, q in pairs}
+        query_rows: dict[str, int] = {}
+        donor_spaces: dict[int, set[str]] = {}
+        query_spaces: dict[int, set[str]] = {}
         for d, q in pairs:
-            donor_spaces.setdefault(d, []).append(name[d, q])
-            query_spaces.setdefault(q, []).append(name[d, q])
-
-        def placed(df: DataFrame, groups: dict[int, list[str]], keep: Sequence[str]) -> DataFrame:
-            exploded = df.withColumn("space", F.explode(spaces(F.col("mask"), groups)))
-            shared = F.split("space", ":")[1].cast("int")
-            coords = [
-                F.when(shared.bitwiseAND(1 << j) != 0, F.col(f"v__{j}")).alias(f"a__{j}") for j in bits
-            ]
-            return exploded.select("space", *coords, *keep)
-
-        values = [f"v__{j}" for j in bits]
-        donors = distinct_donors(placed(self.donors, donor_spaces, ["key", *values]), axes, self.k)
+            query_rows[name[d, q]] = query_rows.get(name[d, q], 0) + patterns[q]
+            donor_spaces.setdefault(d, set()).add(name[d, q])
+            query_spaces.setdefault(q, set()).add(name[d, q])
+        ids, values = [f"id__{j}" for j in bits], [f"v__{j}" for j in bits]
+        placed = self.donors.withColumn("space", F.explode(_spaces(donor_spaces))).drop("mask")
+        donors = distinct_donors(placed, [_shared_value(j, f"v__{j}") for j in bits], self.k)
         distinct_rows = rows.select(
-            known_mask(self.cols).alias("mask"), *[F.col(c).alias(f"v__{j}") for j, c in enumerate(self.cols)]
+            known_mask(self.cols).alias("mask"), *[F.col(c).alias(f"id__{j}") for j, c in enumerate(self.cols)]
         ).distinct()
-        ids = [f"id__{j}" for j in bits]
-        queries = placed(
-            distinct_rows.withColumns({f"id__{j}": F.col(f"v__{j}") for j in bits}), query_spaces, ids
-        )
-        found = nearest(donors, queries, axes, used, rows_in, self.k, "key", values, ids,
+        queries = distinct_rows.withColumn("space", F.explode(_spaces(query_spaces))).drop("mask")
+        found = nearest(donors, queries, values, ids, used, donor_rows, query_rows, self.k, "key",
                         self.box_donors, self.chunk_queries)
         return self._combine(found, ids)
 
     def _combine(self, found: DataFrame, ids: list[str]) -> DataFrame:
         """Merge the spaces: k nearest per missing cell, weighted by inverse distance."""
-        shared = F.bit_count(F.split("space", ":")[1].cast("int"))
+        shared = F.bit_count(_shared_mask())
         distance = F.sqrt(F.col("square") * (F.lit(float(len(self.cols))) / shared))
         cells = F.array(*[
             F.when(F.col(f"id__{j}").isNull() & F.col(f"v__{j}").isNotNull(),
@@ -135,7 +120,22 @@ class KnnModel:
         ])
 
 
-def distinct_donors(donors: DataFrame, axes: Sequence[str], k: int) -> DataFrame:
+def _spaces(groups: dict[int, set[str]]) -> Column:
+    """The spaces a row takes part in, by its pattern `mask`."""
+    entries = [x for mask, names in groups.items() for x in (F.lit(mask), F.array(*[F.lit(n) for n in sorted(names)]))]
+    return F.create_map(*entries)[F.col("mask")]
+
+
+def _shared_mask() -> Column:
+    return F.split("space", ":")[1].cast("int")
+
+
+def _shared_value(j: int, name: str) -> Column:
+    """Column j where the row's space compares it, else NULL."""
+    return F.when(_shared_mask().bitwiseAND(1 << j) != 0, F.col(name))
+
+
+def distinct_donors(donors: DataFrame, axes: Sequence[str | Column], k: int) -> DataFrame:
     """Of donors at the same point only the k with the smallest keys can ever be chosen.
 
     The window limit is applied before the shuffle too, so a point shared by a third of the rows stays small.

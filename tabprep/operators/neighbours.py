@@ -16,13 +16,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabprep.session import materialise
 
 BOX_DONORS = 8_192        # donors aimed at per box, and the most one task gets at a time
 CHUNK_QUERIES = 16_384    # queries one task gets at a time
+ONE_BOX = 8               # a space of up to this many boxes' donors is not worth two rounds
 MAX_BOXES = 65_536        # per space; the split table sent to tasks stays this small
 SAMPLE_PER_BOX = 32
 MATRIX_CELLS = 4_000_000  # distance cells held at once inside a task
@@ -118,44 +119,49 @@ def _nearest_in_chunk(donors: np.ndarray, queries: np.ndarray, k: int) -> tuple[
 def nearest(
     donors: DataFrame,
     queries: DataFrame,
-    axes: Sequence[str],
-    used: dict[str, Sequence[str]],
-    space_rows: dict[str, int],
+    donor_axes: Sequence[str],
+    query_axes: Sequence[str],
+    used: dict[str, Sequence[int]],
+    donor_rows: dict[str, int],
+    query_rows: dict[str, int],
     k: int,
     key: str,
-    payload: Sequence[str],
-    identity: Sequence[str],
     box_donors: int = BOX_DONORS,
     chunk_queries: int = CHUNK_QUERIES,
 ) -> DataFrame:
     """The k nearest donors of each query within its space, nearest first by (distance, key).
 
-    `donors`: space, axes, key, payload. `queries`: space, axes, identity (identity columns may repeat the axes'
-    values under other names). `used` gives the axes compared in each space, `space_rows` its donor count.
-    Returns space, identity, key, payload, `square` = squared distance.
+    `donors`: space, donor_axes, key. `queries`: space, query_axes, which also identify a query. `used` gives the axis
+    positions compared in each space; the other axes just come along. `donor_rows` and `query_rows` are estimates that
+    only steer how finely the work is cut. Returns space, query_axes, key, donor_axes and `square` = squared distance.
     """
-    spark = donors.sparkSession
-    trees = _plan_boxes(donors, axes, used, space_rows, k, key, box_donors)
-    shared = spark.sparkContext.broadcast((trees, {s: [axes.index(a) for a in a_s] for s, a_s in used.items()}))
-    many = any((t.axis >= 0).any() for t in trees.values())
-
-    donors = _located(donors, axes, shared)
-    queries = _located(queries, axes, shared)
-    if many:
-        donors, queries = materialise(donors), materialise(queries)
-    # Hash order of the key is even whatever the key's own distribution.
-    counts = donors.groupBy("space", "box").agg(F.count(F.lit(1)).alias("n"))
-    chunks = counts.select(
-        "space", "box", F.greatest(F.ceil(F.col("n") / F.lit(box_donors)), F.lit(1)).cast("int").alias("chunks")
-    )
+    trees = _plan_boxes(donors, donor_axes, used, donor_rows, k, key, box_donors)
+    # Plain arrays, so that unpickling needs nothing but numpy.
+    plain = {s: (t.axis, t.cut) for s, t in trees.items()}
+    shared = donors.sparkSession.sparkContext.broadcast((plain, used))
+    search = _Search(list(donor_axes), list(query_axes), used, k, key)
+    identity = list(query_axes)
+
+    if not any((t.axis >= 0).any() for t in trees.values()):
+        chunks = _per_space({s: -(-n // box_donors) for s, n in donor_rows.items()})
+        parts = _per_space({s: -(-n // chunk_queries) for s, n in query_rows.items()})
+        found = search.run(
+            donors.withColumns({"box": F.lit(1), "chunks": chunks, "parts": parts}),
+            queries.withColumns({"box": F.lit(1), "chunks": chunks, "parts": parts}),
+        )
+        return _top(found, identity, k, key)
+
+    donors = materialise(_located(donors, donor_axes, shared))
+    queries = materialise(_located(queries, query_axes, shared))
     # One row per box: at most MAX_BOXES per space.
-    placed = donors.join(F.broadcast(chunks), ["space", "box"]).withColumn(
-        "chunk", F.pmod(F.xxhash64(key), F.col("chunks")).cast("int")
-    )
-    first = _search(placed, queries, chunks, axes, shared, k, key, payload, identity, chunk_queries)
-    if not many:
-        return _top(first, identity, k, key)
-    first = materialise(_top(first, identity, k, key))
+    chunks = F.broadcast(_pieces(donors, "chunks", box_donors))
+
+    def round_of(wanted: DataFrame) -> DataFrame:
+        parts = F.broadcast(_pieces(wanted, "parts", chunk_queries))
+        place = ["space", "box"]
+        return search.run(donors.join(chunks, place).join(parts, place), wanted.join(chunks, place).join(parts, place))
+
+    first = materialise(_top(round_of(queries), identity, k, key))
     # kth distance found so far; fewer than k donors in the own box leave the radius open.
     radius = first.groupBy("space", *identity).agg(
         F.when(F.count(F.lit(1)) >= k, F.max("square")).otherwise(F.lit(float("inf"))).alias("radius")
@@ -164,14 +170,24 @@ def nearest(
     on = [F.col(c).eqNullSafe(F.col(r)) for c, r in names.items()]
     reach = queries.join(radius.withColumnsRenamed(names), on, "left").drop(*names.values())
     reach = reach.withColumn("radius", F.coalesce("radius", F.lit(float("inf"))))
-    more = _spread(reach, axes, shared, identity)
-    second = _search(placed, more, chunks, axes, shared, k, key, payload, identity, chunk_queries)
+    second = round_of(materialise(_spread(reach, query_axes, shared)))
     return _top(first.unionByName(second), identity, k, key)
 
 
-def _plan_boxes(donors, axes, used, space_rows, k, key, box_donors) -> dict[str, Boxes]:
+def _per_space(counts: dict[str, int]) -> Column:
+    return F.create_map(*[F.lit(x) for s, n in counts.items() for x in (s, max(1, n))])[F.col("space")]
+
+
+def _pieces(df: DataFrame, name: str, rows: int) -> DataFrame:
+    """(space, box, pieces): into how many pieces the rows of a box are cut."""
+    counts = df.groupBy("space", "box").agg(F.count(F.lit(1)).alias("n"))
+    return counts.select("space", "box", F.ceil(F.col("n") / F.lit(rows)).cast("int").alias(name))
+
+
+def _plan_boxes(donors, axes, used, donor_rows, k, key, box_donors) -> dict[str, Boxes]:
     depth = {
-        s: min(int(np.ceil(np.log2(max(1, n / box_donors)))), int(np.log2(MAX_BOXES))) for s, n in space_rows.items()
+        s: min(int(np.ceil(np.log2(n / box_donors))), int(np.log2(MAX_BOXES))) if n > ONE_BOX * box_donors else 0
+        for s, n in donor_rows.items()
     }
     sample: dict[str, np.ndarray] = {}
     wanted = {s: (1 << d) * max(SAMPLE_PER_BOX, 2 * k) for s, d in depth.items() if d > 0}
@@ -179,13 +195,13 @@ def _plan_boxes(donors, axes, used, space_rows, k, key, box_donors) -> dict[str,
         # Every m-th donor by hash; at most a few million numbers reach the driver, however large the space.
         rate = F.lit(0)
         for s, n in wanted.items():
-            rate = F.when(F.col("space") == s, F.lit(max(1, space_rows[s] // n))).otherwise(rate)
+            rate = F.when(F.col("space") == s, F.lit(max(1, donor_rows[s] // n))).otherwise(rate)
         picked = donors.where(F.col("space").isin(list(wanted))).where(F.pmod(F.xxhash64(key, "space"), rate) == 0)
         rows = picked.select("space", *axes).toPandas()
         for s, part in rows.groupby("space"):
-            sample[s] = part[list(used[s])].to_numpy(dtype=float)
+            sample[s] = part[[axes[j] for j in used[s]]].to_numpy(dtype=float)
     trees = {}
-    for s in space_rows:
+    for s in donor_rows:
         points = sample.get(s, np.zeros((0, len(used[s]))))
         trees[s] = Boxes.build(points, depth[s], max(k, 1))
     return trees
@@ -198,15 +214,13 @@ def _located(df: DataFrame, axes: Sequence[str], shared) -> DataFrame:
         out = np.ones(len(space), dtype=np.int32)
         values = points.to_numpy(dtype=float)
         for s, at in space.groupby(space).indices.items():
-            out[at] = trees[s].locate(values[at][:, columns[s]])
+            out[at] = Boxes(*trees[s]).locate(values[at][:, columns[s]])
         return pd.Series(out)
 
-    if not any((t.axis >= 0).any() for t in shared.value[0].values()):
-        return df.withColumn("box", F.lit(1))  # every space is one box
     return df.withColumn("box", box("space", F.struct(*axes)))
 
 
-def _spread(reach: DataFrame, axes: Sequence[str], shared, identity: Sequence[str]) -> DataFrame:
+def _spread(reach: DataFrame, axes: Sequence[str], shared) -> DataFrame:
     """One row per (query, other box its ball touches)."""
     @F.pandas_udf("array<int>")
     def boxes(space: pd.Series, points: pd.DataFrame, radius: pd.Series, own: pd.Series) -> pd.Series:
@@ -214,7 +228,7 @@ def _spread(reach: DataFrame, axes: Sequence[str], shared, identity: Sequence[st
         values, square = points.to_numpy(dtype=float), radius.to_numpy(dtype=float) * (1 + 1e-9)
         out = np.empty(len(space), dtype=object)
         for s, at in space.groupby(space).indices.items():
-            rows, found = trees[s].touched(values[at][:, columns[s]], square[at])
+            rows, found = Boxes(*trees[s]).touched(values[at][:, columns[s]], square[at])
             order = np.argsort(rows, kind="stable")
             parts = np.split(found[order], np.searchsorted(rows[order], np.arange(1, len(at))))
             for i, part in zip(at, parts):
@@ -222,47 +236,58 @@ def _spread(reach: DataFrame, axes: Sequence[str], shared, identity: Sequence[st
         return pd.Series(out)
 
     spread = reach.withColumn("boxes", boxes("space", F.struct(*axes), "radius", "box"))
-    return spread.select("space", *axes, *identity, F.explode("boxes").alias("box"))
-
-
-def _query_parts(queries: DataFrame, chunk_queries: int) -> DataFrame:
-    """(space, box, parts): into how many parts the queries of a box are cut. One row per box."""
-    sizes = queries.groupBy("space", "box").agg(F.count(F.lit(1)).alias("m"))
-    return sizes.select(
-        "space", "box", F.greatest(F.ceil(F.col("m") / F.lit(chunk_queries)), F.lit(1)).cast("int").alias("parts")
-    )
+    return spread.select("space", *axes, F.explode("boxes").alias("box"))
 
 
-def _search(donors, queries, chunks, axes, shared, k, key, payload, identity, chunk_queries) -> DataFrame:
-    """Meet donors and queries box by box: every donor chunk sees every query part of its box once."""
-    group = ["space", "box", "chunk", "part"]
-    parts = _query_parts(queries, chunk_queries)
-    copies = donors.join(F.broadcast(parts), ["space", "box"]).withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    )
-    queries = (
-        queries.join(F.broadcast(parts), ["space", "box"]).join(F.broadcast(chunks), ["space", "box"])
-        .withColumn("part", F.pmod(F.xxhash64(*identity), F.col("parts")).cast("int"))
-        .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    )
-    out_fields = ["space", *identity, key, *payload]
-    kinds = {f.name: f.dataType.simpleString() for f in [*queries.schema.fields, *donors.schema.fields]}
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in out_fields] + ["square double"])
-    columns = list(axes)
-
-    def find(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame(columns=[*out_fields, "square"])
-        use = [columns[j] for j in shared.value[1][right["space"].iloc[0]]]
-        left = left.sort_values(key, kind="stable")
-        q, d, square = _nearest_in_chunk(left[use].to_numpy(dtype=float), right[use].to_numpy(dtype=float), k)
-        found = right[["space", *identity]].iloc[q].reset_index(drop=True)
-        picked = left[[key, *payload]].iloc[d].reset_index(drop=True)
-        return pd.concat([found, picked], axis=1).assign(square=square)
-
-    donors_slim = copies.select(*group, *axes, key, *payload)
-    queries_slim = queries.select(*group, *axes, *identity)
-    return donors_slim.groupBy(*group).cogroup(queries_slim.groupBy(*group)).applyInPandas(find, schema)
+@dataclass(frozen=True)
+class _Search:
+    """One round: donors and queries meet box by box, every donor chunk seeing every query part of its box once."""
+
+    donor_axes: list[str]
+    query_axes: list[str]
+    used: dict[str, Sequence[int]]
+    k: int
+    key: str
+
+    def run(self, donors: DataFrame, queries: DataFrame) -> DataFrame:
+        """Both sides carry `chunks` and `parts`. Hashing cuts evenly whatever the keys and points are."""
+        group = ["space", "box", "chunk", "part"]
+
+        def own(column: Column, of: str) -> Column:
+            return F.pmod(column, F.col(of)).cast("int")
+
+        def all_of(of: str) -> Column:
+            return F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+
+        left = donors.withColumn("chunk", own(F.xxhash64(self.key), "chunks")).withColumn("part", all_of("parts"))
+        right = queries.withColumn("part", own(F.xxhash64(*self.query_axes), "parts"))
+        right = right.withColumn("chunk", all_of("chunks"))
+        # The work is in the distances, not the bytes, so the tasks must not be merged by their small input size.
+        spark = donors.sparkSession
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+        left = left.select(*group, self.key, *self.donor_axes).repartition(tasks, *group)
+        right = right.select(*group, *self.query_axes).repartition(tasks, *group)
+        kinds = {f.name: f.dataType.simpleString() for f in [*right.schema.fields, *left.schema.fields]}
+        out = ["space", *self.query_axes, self.key, *self.donor_axes]
+        schema = ", ".join([f"`{c}` {kinds[c]}" for c in out] + ["square double"])
+        return left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(self._task(out), schema)
+
+    def _task(self, out: list[str]):
+        donor_axes, query_axes, used, k, key = self.donor_axes, self.query_axes, self.used, self.k, self.key
+
+        def find(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            if left.empty or right.empty:
+                return pd.DataFrame(columns=[*out, "square"])
+            at = list(used[right["space"].iloc[0]])
+            left = left.sort_values(key, kind="stable")
+            q, d, square = _nearest_in_chunk(
+                left[donor_axes].to_numpy(dtype=float)[:, at], right[query_axes].to_numpy(dtype=float)[:, at], k
+            )
+            found = right[["space", *query_axes]].iloc[q].reset_index(drop=True)
+            picked = left[[key, *donor_axes]].iloc[d].reset_index(drop=True)
+            return pd.concat([found, picked], axis=1).assign(square=square)
+
+        return find
 
 
 def _top(found: DataFrame, identity: Sequence[str], k: int, key: str) -> DataFrame:

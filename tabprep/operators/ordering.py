@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabprep.session import materialise
+from tabprep.sizing import slice_count
 
 SLICE = "order__slice"
 
@@ -17,6 +18,7 @@ def order_slices(df: DataFrame, order_by: Sequence[str], slices: int | None = No
 
     Slice numbers ascend with the order. The checkpoint makes them stable, so later steps can agree on them.
     """
+    slices = slices or slice_count(df)
     ranged = (
         df.repartitionByRange(slices, *order_by) if slices is not None else df.repartitionByRange(*order_by)
     )

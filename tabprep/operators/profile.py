@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tabprep.functions.columns import any_of, missing_count, numeric_columns, percent, present
 from tabprep.functions.quantiles import exact_quantiles, median_of
-from tabprep.functions.summaries import as_double, by_family, modes, summarise, value_frequencies
+from tabprep.functions.summaries import as_double, modes, summarise, value_frequencies, value_text
+from tabprep.sizing import local_table
 
 
 def column_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -51,12 +52,9 @@ def value_counts(df: DataFrame, col: str, top: int | None = None) -> DataFrame:
 
 def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A4: number of distinct known values per column, spread by (column, value)."""
-    out = None
-    for kind, names in by_family(df, cols).items():
-        part = value_frequencies(df, names, kind).groupBy("variable").agg(F.count(F.lit(1)).alias("distinct"))
-        out = part if out is None else out.unionByName(part)
-    names = df.sparkSession.createDataFrame([(c,) for c in cols], "variable string")
-    return names.join(out, "variable", "left").select("variable", F.coalesce("distinct", F.lit(0)).alias("distinct"))
+    counted = value_frequencies(df, cols).groupBy("variable").agg(F.count(F.lit(1)).alias("distinct"))
+    names = local_table(df.sparkSession, [(c,) for c in cols], "variable string")
+    return names.join(counted, "variable", "left").select("variable", F.coalesce("distinct", F.lit(0)).alias("distinct"))
 
 
 def levels(df: DataFrame, col: str) -> DataFrame:
@@ -66,11 +64,7 @@ def levels(df: DataFrame, col: str) -> DataFrame:
 
 def column_modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(variable, value as text, n), smallest value on ties."""
-    out = None
-    for kind, names in by_family(df, cols).items():
-        part = modes(value_frequencies(df, names, kind)).withColumn("value", F.col("value").cast("string"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    return modes(value_frequencies(df, cols)).select("variable", value_text("value").alias("value"), "n")
 
 
 def medians(df: DataFrame, cols: Sequence[str], **options) -> DataFrame:
@@ -161,13 +155,13 @@ def describe_all(df: DataFrame, cols: Sequence[str] | None = None, **options) ->
             "variable", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75")
         )
         parts.append(shaped(basic.join(quartiles, "variable")))
-    for kind, names in by_family(df, others).items():
-        frequencies = value_frequencies(df, names, kind)
+    if others:
         best = F.min(F.struct((-F.col("n")).alias("neg"), F.col("value").alias("value")))
-        tops = frequencies.groupBy("variable").agg(
+        tops = value_frequencies(df, others).groupBy("variable").agg(
             F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"), best.alias("b")
-        ).select("variable", "count", "unique", F.col("b.value").cast("string").alias("top"), (-F.col("b.neg")).alias("freq"))
-        listed = df.sparkSession.createDataFrame([(c,) for c in names], "variable string")
+        ).select("variable", "count", "unique", F.col("b.value").alias("value"), (-F.col("b.neg")).alias("freq"))
+        tops = tops.withColumn("top", value_text("value"))
+        listed = local_table(df.sparkSession, [(c,) for c in others], "variable string")
         filled = listed.join(tops, "variable", "left").withColumn("count", F.coalesce("count", F.lit(0)))
         parts.append(shaped(filled.withColumn("unique", F.coalesce("unique", F.lit(0)))))
     out = parts[0]
@@ -189,13 +183,13 @@ def type_census(df: DataFrame) -> DataFrame:
     rows = [
         (f.name, "category" if f.metadata.get("category") else f.dataType.simpleString()) for f in df.schema.fields
     ]
-    table = df.sparkSession.createDataFrame(rows, "variable string, type string")
+    table = local_table(df.sparkSession, rows, "variable string, type string")
     return table.groupBy("type").agg(F.count(F.lit(1)).alias("columns")).orderBy(F.col("columns").desc(), "type")
 
 
 def column_types(df: DataFrame) -> DataFrame:
     rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "position int, variable string, type string")
+    return local_table(df.sparkSession, rows, "position int, variable string, type string")
 
 
 def quality_summary(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -21,17 +21,16 @@ def neighbour_lists(
 
     Rows at the same point share one search; k + 1 neighbours are found so that a row can leave itself out.
     """
-    axes = [f"a__{j}" for j in range(len(features))]
+    bits = range(len(features))
+    values, ids = [f"v__{j}" for j in bits], [f"id__{j}" for j in bits]
 
-    def placed() -> DataFrame:
-        points = [F.col(c).cast("double").alias(a) for c, a in zip(features, axes)]
+    def placed(names: list[str]) -> DataFrame:
+        points = [F.col(c).cast("double").alias(n) for c, n in zip(features, names)]
         return rows.select(F.lit("all").alias("space"), *points, F.col(key).alias("key"))
 
-    donors = distinct_donors(placed(), axes, k + 1).withColumns({f"v__{j}": F.col(a) for j, a in enumerate(axes)})
-    ids = [f"id__{j}" for j in range(len(features))]
-    queries = placed().select("space", *axes).distinct().withColumns({i: F.col(a) for i, a in zip(ids, axes)})
-    values = [f"v__{j}" for j in range(len(features))]
-    found = nearest(donors, queries, axes, {"all": axes}, {"all": count}, k + 1, "key", values, ids,
+    donors = distinct_donors(placed(values), values, k + 1)
+    queries = placed(ids).drop("key").distinct()
+    found = nearest(donors, queries, values, ids, {"all": list(bits)}, {"all": count}, {"all": count}, k + 1, "key",
                     box_donors, chunk_queries)
     lists = found.groupBy(*ids).agg(
         F.sort_array(F.collect_list(F.struct("square", "key", F.array(*values).alias("at")))).alias("near")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tabprep.functions.columns import present
 from tabprep.functions.summaries import as_double, summarise
+from tabprep.sizing import local_table
 
 
 @dataclass(frozen=True)
@@ -28,9 +29,8 @@ class Scaler:
 
     def to_table(self, spark: SparkSession) -> DataFrame:
         """The fitted figures as a table."""
-        return spark.createDataFrame(
-            [(c, m, s) for c, (m, s) in self.figures.items()], "variable string, mean double, std double"
-        )
+        rows = [(c, m, s) for c, (m, s) in self.figures.items()]
+        return local_table(spark, rows, "variable string, mean double, std double")
 
 
 def fit_scaler(df: DataFrame, cols: Sequence[str]) -> Scaler:

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tabprep.functions.columns import coerce_numeric
+from tabprep.sizing import local_table
 from tabprep.sources.dictionary import ALIASES, ID_COLUMN, VARIABLES, coalesce_aliases, flat_variables_for_cycle
 from tabprep.sources.modules import write_table
 
@@ -20,7 +21,7 @@ class Verdict:
     reason: str | None = None
 
     def to_table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([(self.ok, self.reason)], "ok boolean, reason string")
+        return local_table(spark, [(self.ok, self.reason)], "ok boolean, reason string")
 
 
 def gate_module(

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabprep.operators.ordering import SLICE, order_slices
+from tabprep.sizing import local_table
 
 LABEL_OUT = "model__label"
 FEATURES_OUT = "model__features"
@@ -118,8 +119,8 @@ def confusion(scored: DataFrame, label: str = "label", predicted: str = "predict
 def importances(spark: SparkSession, model: PipelineModel, features: Sequence[str]) -> DataFrame:
     """(feature, importance) of a tree model, highest first."""
     values = model.stages[-1].featureImportances.toArray()
-    return spark.createDataFrame(
-        [(f, float(v)) for f, v in zip(features, values)], "feature string, importance double"
+    return local_table(
+        spark, [(f, float(v)) for f, v in zip(features, values)], "feature string, importance double"
     ).orderBy(F.col("importance").desc(), "feature")
 
 
@@ -146,7 +147,7 @@ def run_metadata(
     """(section, name, value): shapes, class counts and feature names of a run, as a table to store."""
     listed = [("feature", f, float(i)) for i, f in enumerate(features)]
     listed += [("columns", "train", float(len(train_df.columns))), ("columns", "test", float(len(test_df.columns)))]
-    out = spark.createDataFrame(listed, "section string, name string, value double")
+    out = local_table(spark, listed, "section string, name string, value double")
     for part, df in (("train", train_df), ("test", test_df)):
         counts = df.groupBy(F.col(target).cast("string").alias("name")).agg(F.count(F.lit(1)).cast("double").alias("value"))
         out = out.unionByName(counts.select(F.lit(f"class_{part}").alias("section"), "name", "value"))

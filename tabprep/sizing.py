@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row
+from collections.abc import Sequence
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tabprep.session import materialise
 
@@ -11,6 +16,9 @@ from tabprep.session import materialise
 ONE_TASK_BYTES = 32 * 1024 * 1024
 # A table with at most this many rows may be sent to every executor.
 SMALL_ROWS = 100_000
+# Planned bytes of one slice of a range-partitioned table.
+SLICE_BYTES = 256 * 1024 * 1024
+MAX_SLICES = 50_000
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -28,14 +36,29 @@ def collect_bounded(df: DataFrame, limit: int) -> list[Row] | None:
     return rows if len(rows) <= limit else None
 
 
+def local_table(spark: SparkSession, rows: Sequence[tuple | Row], schema: str | T.StructType) -> DataFrame:
+    """A table of a few rows that the planner sees whole: its size is known, and scanning it needs no job."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    names = schema.names
+    records = [r.asDict(recursive=True) if isinstance(r, Row) else dict(zip(names, r)) for r in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(records, schema=to_arrow_schema(schema)), schema)
+
+
 def lookup_table(df: DataFrame, limit: int = SMALL_ROWS) -> tuple[DataFrame, bool]:
     """Fix a fitted table: (local rows, True) when it has at most `limit` rows, else (checkpointed table, False)."""
     rows = collect_bounded(df, limit)
     if rows is None:
         return materialise(df), False
-    return df.sparkSession.createDataFrame(rows, df.schema), True
+    return local_table(df.sparkSession, rows, df.schema), True
 
 
 def hinted(table: DataFrame, small: bool) -> DataFrame:
     """Broadcast a table proven small; leave any other to the planner and its skew handling."""
     return F.broadcast(table) if small else table
+
+
+def slice_count(df: DataFrame) -> int | None:
+    """Slices needed to keep each near SLICE_BYTES; None leaves the number to the session and adaptive execution."""
+    wanted = plan_bytes(df) // SLICE_BYTES
+    default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return wanted if default < wanted <= MAX_SLICES else None

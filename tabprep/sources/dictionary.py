@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabprep.functions.columns import cycle_year, present
+from tabprep.sizing import local_table
 
 ID_COLUMN = "SEQN"
 DEFAULT_YEAR = 2020
@@ -86,7 +87,7 @@ SCHEMA = "module string, variable string, canonical string, year_from int, year_
 
 
 def dictionary_table(spark: SparkSession, rows: Sequence[tuple] = tuple(VARIABLES)) -> DataFrame:
-    return spark.createDataFrame(list(rows), SCHEMA)
+    return local_table(spark, rows, SCHEMA)
 
 
 def start_year(cycle: str) -> int:

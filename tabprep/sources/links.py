@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabprep.functions.columns import base_name, safe_filename
+from tabprep.sizing import local_table
 
 # The href of an anchor tag, in either kind of quotes.
 HREF_PATTERN = r"""<[aA]\s(?:[^>]*?\s)?[hH][rR][eE][fF]\s*=\s*["']([^"']*)["']"""
@@ -32,7 +33,7 @@ def link_filter(href: Column, suffix: str, code: Column, match: str = "contains"
 def work_list(spark: SparkSession, cycles: Sequence[str], modules: Sequence[str]) -> DataFrame:
     """Every cycle with every module code, in order."""
     rows = [(c, m, i) for i, (c, m) in enumerate((c, m) for c in cycles for m in modules)]
-    return spark.createDataFrame(rows, "cycle string, module string, seq int")
+    return local_table(spark, rows, "cycle string, module string, seq int")
 
 
 def harvest_links(

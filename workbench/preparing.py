@@ -9,6 +9,7 @@ from tabprep.operators.knn import fit_knn
 from tabprep.plans import features as fx
 from tabprep.plans import modelling
 from tabprep.plans.prepare import PreparePlan
+from tabprep.session import materialise
 from workbench.profiling import ORDER_GAPS, labelled_documents, order_gaps
 from workbench.registry import query, rounded, table
 
@@ -112,12 +113,13 @@ def part_measures(spark, root):
     parts = table(spark, root, "part").select(F.col("p_partkey").alias("id"), "p_brand", "p_type")
     joined = parts.join(means, F.col("id") == F.col("l_partkey"))
     small = (brand == "Brand#2") & (kind == "SMALL")
-    return joined.select(
+    # Imputation reads its input several times, so a derived input is fixed first.
+    return materialise(joined.select(
         "id", F.when(~brand.isin("Brand#1", "Brand#2"), F.col("q")).alias("q"),
         F.when(~brand.isin("Brand#2", "Brand#3") | (kind == "PROMO"), F.col("e")).alias("e"),
         F.when((brand != "Brand#4") & ~small, F.col("d")).alias("d"),
         F.when((brand != "Brand#5") & ~small, F.col("t")).alias("t"),
-    )
+    ))
 
 
 @query("impute_knn", f"""

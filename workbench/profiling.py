@@ -101,7 +101,7 @@ def medians_bracketed(spark, root):
     from tabprep.functions.quantiles import exact_quantiles
 
     found = exact_quantiles(table(spark, root, "lineitem"), ["l_extendedprice", "l_quantity"], [0.25, 0.5, 0.75],
-                            by=["l_returnflag"], one_task_bytes=0)
+                            by=["l_returnflag"], one_task_bytes=0, one_task_rows=0, accuracy=1_000)
     return rounded(found.select(
         "l_returnflag", "variable", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75")))
 
