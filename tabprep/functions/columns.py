@@ -88,6 +88,11 @@ def parent_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+)/[^/]*$", 1)
 
 
+def table_path(path: Column) -> Column:
+    """The table a data file belongs to: the folder of a file that Spark wrote as a part, else the file itself."""
+    return F.regexp_replace(path, r"/part-[^/]*$", "")
+
+
 def composite_key(id_col: str, cycle_col: str) -> Column:
     """`<id>_<cycle>`, NULL when either part is missing."""
     return F.concat(F.col(id_col).try_cast("bigint").cast("string"), F.lit("_"), F.col(cycle_col))

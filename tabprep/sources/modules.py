@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.functions.columns import file_stem, parent_name
+from tabprep.functions.columns import file_stem, parent_name, table_path
 
 
 def read_table(spark: SparkSession, path: str, cols: Sequence[str] | None = None) -> DataFrame:
@@ -25,15 +25,16 @@ def write_table(
 
 
 def discover_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
-    """S3: (path, cycle, module, bytes) of every module file below `root`; contents are not read."""
+    """S3: (path, cycle, module, bytes) of every module table below `root`; contents are not read.
+
+    A module is a file `<cycle>/<module>.parquet`, or a folder of that name that Spark wrote.
+    """
     listed = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
     )
-    return listed.select(
-        "path",
-        parent_name(F.col("path")).alias("cycle"),
-        file_stem(F.col("path")).alias("module"),
-        F.col("length").alias("bytes"),
+    tables = listed.groupBy(table_path(F.col("path")).alias("path")).agg(F.sum("length").alias("bytes"))
+    return tables.select(
+        "path", parent_name(F.col("path")).alias("cycle"), file_stem(F.col("path")).alias("module"), "bytes"
     )
 
 
@@ -46,7 +47,7 @@ def read_tolerant(spark: SparkSession, root: str, merge_schema: bool = True) ->
         spark.read.option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true")
         .option("mergeSchema", str(merge_schema).lower()).option("pathGlobFilter", "*.parquet").parquet(root)
     )
-    path = F.col("_metadata.file_path")
+    path = table_path(F.col("_metadata.file_path"))
     return df.select("*", parent_name(path).alias("cycle"), file_stem(path).alias("module"))
 
 

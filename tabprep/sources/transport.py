@@ -6,12 +6,18 @@ import io
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from tabprep.functions.columns import file_stem, parent_name
 
-CELLS = "path string, status string, error string, row_no bigint, variable string, value string"
+CELLS = pa.schema([
+    ("path", pa.string()), ("status", pa.string()), ("error", pa.string()), ("row_no", pa.int64()),
+    ("variable", pa.string()), ("value", pa.string()),
+])
+BATCH_ROWS = 10_000
 
 
 def _decode(content: bytes) -> pd.DataFrame:
@@ -25,18 +31,30 @@ def _decode(content: bytes) -> pd.DataFrame:
     raise error
 
 
-def _cells(path: str, content: bytes) -> pd.DataFrame:
+def _text(value) -> str | None:
+    """Full-precision text of a cell; a missing number is None."""
+    if pd.isna(value):
+        return None
+    if isinstance(value, bytes):
+        return value.decode("latin1")
+    return repr(float(value)) if isinstance(value, float) else str(value)
+
+
+def _cells(path: str, content: bytes) -> pa.Table:
+    """The file's cells in long form, or one row that says why there are none."""
     try:
         table = _decode(content)
         if table.empty:
             raise ValueError("no rows")
     except Exception as failure:
-        return pd.DataFrame([{"path": path, "status": "failed", "error": str(failure)[:200]}])
-    text = table.apply(lambda s: s.map(lambda v: v.decode("latin1") if isinstance(v, bytes) else v))
-    text["row_no"] = range(len(text))
-    long = text.melt(id_vars="row_no", var_name="variable", value_name="value")
-    long["value"] = long["value"].map(lambda v: None if pd.isna(v) else (repr(v) if isinstance(v, float) else str(v)))
-    return long.assign(path=path, status="processed", error=None)
+        return pa.Table.from_pylist([{"path": path, "status": "failed", "error": str(failure)[:200]}], schema=CELLS)
+    rows, names = len(table), [str(c) for c in table.columns]
+    cells = rows * len(names)
+    return pa.table({
+        "path": [path] * cells, "status": ["processed"] * cells, "error": [None] * cells,
+        "row_no": list(range(rows)) * len(names), "variable": [n for n in names for _ in range(rows)],
+        "value": [_text(v) for c in table.columns for v in table[c]],
+    }, schema=CELLS)
 
 
 def read_transport(spark: SparkSession, root: str, glob: str = "*.[xX][pP][tT]") -> DataFrame:
@@ -46,13 +64,12 @@ def read_transport(spark: SparkSession, root: str, glob: str = "*.[xX][pP][tT]")
         .select("path", "content")
     )
 
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [field.split()[0] for field in CELLS.split(", ")]
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                yield _cells(path, bytes(content)).reindex(columns=names)
+                yield from _cells(path.as_py(), content.as_py()).to_batches(max_chunksize=BATCH_ROWS)
 
-    cells = files.mapInPandas(decode, CELLS)
+    cells = files.mapInArrow(decode, from_arrow_schema(CELLS))
     return cells.withColumns({"cycle": parent_name(F.col("path")), "module": file_stem(F.col("path"))})
 
 

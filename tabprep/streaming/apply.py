@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tabprep.functions.columns import file_stem, parent_name
+from tabprep.functions.columns import file_stem, parent_name, table_path
 
 
 def module_stream(spark: SparkSession, root: str, schema: StructType | str, max_files: int | None = None) -> DataFrame:
@@ -15,7 +15,7 @@ def module_stream(spark: SparkSession, root: str, schema: StructType | str, max_
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    path = F.col("_metadata.file_path")
+    path = table_path(F.col("_metadata.file_path"))
     return reader.parquet(root).select("*", parent_name(path).alias("cycle"), file_stem(path).alias("module"))
 
 

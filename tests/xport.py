@@ -1,0 +1,43 @@
+"""Bytes of a small SAS transport file (public version 5 layout), for tests."""
+
+import struct
+
+STAMP = b"13APR89:10:20:06"
+
+
+def card(text: bytes) -> bytes:
+    return text.ljust(80)
+
+
+def header(name: str, tail: str = "0" * 30) -> bytes:
+    return card(f"HEADER RECORD*******{name:<8}HEADER RECORD!!!!!!!{tail}  ".encode())
+
+
+def ibm_double(value) -> bytes:
+    """Base-16 exponent in excess 64, 56-bit fraction; a dot byte marks a missing value."""
+    if value is None:
+        return b"." + bytes(7)
+    if value == 0:
+        return bytes(8)
+    sign, value, exponent = (0x80 if value < 0 else 0), abs(value), 64
+    while value >= 1:
+        value, exponent = value / 16, exponent + 1
+    while value < 1 / 16:
+        value, exponent = value * 16, exponent - 1
+    return bytes([sign | exponent]) + int(value * (1 << 56)).to_bytes(8, "big")[1:]
+
+
+def transport_file(columns: dict[str, list]) -> bytes:
+    names = b"".join(
+        struct.pack(">hhhh8s40s8shhh2s8shhl52s", 1, 0, 8, i + 1, name.ljust(8).encode(), b" " * 40, b" " * 8, 0, 0, 0,
+                    b"  ", b" " * 8, 0, 0, 8 * i, bytes(52))
+        for i, name in enumerate(columns)
+    )
+    rows = b"".join(ibm_double(v) for row in zip(*columns.values()) for v in row)
+    pad = lambda data: data + b" " * (-len(data) % 80)
+    return b"".join([
+        header("LIBRARY"), card(b"SAS     SAS     SASLIB  6.06    bsd4.2  " + b" " * 24 + STAMP), card(STAMP),
+        header("MEMBER", "0" * 17 + "1600000000140"), header("DSCRPTR"),
+        card(b"SAS     DATA    SASDATA 6.06    bsd4.2  " + b" " * 24 + STAMP), card(STAMP),
+        header("NAMESTR", f"000000{len(columns):04d}" + "0" * 20), pad(names), header("OBS"), pad(rows),
+    ])
