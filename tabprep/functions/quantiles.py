@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabprep.functions.summaries import as_double, wide_to_rows
+from tabprep.functions.summaries import as_double, summarise, wide_to_rows
 from tabprep.sizing import ONE_TASK_BYTES, fits_one_task, hinted, lookup_table
 
 SKETCH_ACCURACY = 100_000
@@ -161,6 +161,14 @@ def _bracketed(
     )
 
 
+def approximate_quantiles(
+    df: DataFrame, cols: Sequence[str], probabilities: Sequence[float], by: Sequence[str] = (), accuracy: int = 10_000
+) -> DataFrame:
+    """The same report from one scan: values whose rank is off by at most 1 / accuracy of the rows. Opt-in."""
+    points = [float(p) for p in probabilities]
+    return summarise(df, cols, {"q": lambda c: F.percentile_approx(as_double(c), points, accuracy)}, by)
+
+
 def median_of(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), **options) -> DataFrame:
     """(by..., variable, median)."""
     return exact_quantiles(df, cols, [0.5], by, **options).select(*by, "variable", F.col("q")[0].alias("median"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tabprep.functions.columns import percent, significance
 from tabprep.functions.student import t_test_p
 from tabprep.functions.summaries import as_double, summarise
+from tabprep.sizing import collect_bounded
 
 
 def t_statistics(df: DataFrame, target: str, cols: Sequence[str], classes: tuple = (0, 1)) -> DataFrame:
@@ -65,8 +66,24 @@ def _pivoted(counts: DataFrame, row: str, col: str, levels: Sequence) -> DataFra
     ])
 
 
-def crosstab(df: DataFrame, row: str, col: str, levels: Sequence, margins: bool = True, total: str = "All") -> DataFrame:
-    """Counts by (row, column) with an `All` row and column; the column's levels are given. NULL excluded."""
+MAX_LEVELS = 1_000  # a crosstab has one column per level
+
+
+def _levels(df: DataFrame, col: str, levels: Sequence | None) -> Sequence:
+    """The given levels, else the sorted distinct ones."""
+    if levels is not None:
+        return levels
+    rows = collect_bounded(df.select(col).where(F.col(col).isNotNull()).distinct(), MAX_LEVELS)
+    if rows is None:
+        raise ValueError(f"{col} has more than {MAX_LEVELS} levels; swap rows and columns or count in long form")
+    return sorted(r[0] for r in rows)
+
+
+def crosstab(
+    df: DataFrame, row: str, col: str, levels: Sequence | None = None, margins: bool = True, total: str = "All"
+) -> DataFrame:
+    """Counts by (row, column) with an `All` row and column. NULL excluded. Given levels save a query."""
+    levels = _levels(df, col, levels)
     known = df.where(F.col(row).isNotNull() & F.col(col).isNotNull())
     if not margins:
         counts = known.groupBy(row, col).agg(F.count(F.lit(1)).alias("n"))
@@ -82,8 +99,11 @@ def crosstab(df: DataFrame, row: str, col: str, levels: Sequence, margins: bool
     return _pivoted(labelled, row, col, [*levels, total])
 
 
-def crosstab_row_percent(df: DataFrame, row: str, col: str, levels: Sequence, places: int = 2) -> DataFrame:
+def crosstab_row_percent(
+    df: DataFrame, row: str, col: str, levels: Sequence | None = None, places: int = 2
+) -> DataFrame:
     """Percent of each column level within its row."""
+    levels = _levels(df, col, levels)
     known = df.where(F.col(row).isNotNull() & F.col(col).isNotNull())
     return known.groupBy(row).agg(*[
         F.round(percent(F.count_if(F.col(col) == F.lit(v)), F.count(F.lit(1))), places).alias(str(v)) for v in levels

@@ -16,7 +16,7 @@ from tabprep.functions.summaries import as_double, plain, value_frequencies
 from tabprep.operators.joins import lookup
 from tabprep.operators.ordering import with_row_index
 from tabprep.operators.split import row_hash
-from tabprep.sizing import SMALL_ROWS, collect_bounded, lookup_table
+from tabprep.sizing import SMALL_ROWS, collect_bounded, hinted, lookup_table
 
 # A wide one-hot table gets one column per level; beyond this use the sparse encoder.
 WIDE_LEVELS = 1_000
@@ -199,31 +199,36 @@ def fold_of(key: str, folds: int) -> Column:
 
 
 def target_out_of_fold(
-    df: DataFrame, col: str, target: str, key: str, folds: int = 5, smoothing: float = 10.0, out: str | None = None
+    df: DataFrame, col: str, target: str, key: str, folds: int = 5, smoothing: float = 10.0, out: str | None = None,
+    table_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """E3 without leakage: each row is encoded from the rows of the other folds only.
 
-    Per (level, fold) sums come from one partially aggregated exchange; the other folds are totals minus own.
+    A level's sums per fold come from one partially aggregated exchange; the other folds are its totals minus its own.
     """
     t = as_double(target)
     marked = df.withColumn("oof__fold", fold_of(key, folds))
-    sums = marked.groupBy(F.col(col).alias("oof__level"), "oof__fold").agg(F.sum(t).alias("s"), F.count(t).alias("n"))
-    folded = sums.groupBy("oof__fold").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
-    rows = folded.collect()  # one row per fold
+    rows = marked.groupBy("oof__fold").agg(F.sum(t).alias("s"), F.count(t).alias("n")).collect()  # one row per fold
     total_s, total_n = sum(r["s"] or 0.0 for r in rows), sum(r["n"] for r in rows)
-    means = {r["oof__fold"]: (total_s - (r["s"] or 0.0)) / (total_n - r["n"]) if total_n > r["n"] else None for r in rows}
     base = F.lit(None).cast("double")
-    for fold, mean in means.items():
-        base = F.when(F.col("oof__fold") == fold, F.lit(mean).cast("double")).otherwise(base)
-    level_sums = sums.where(F.col("oof__level").isNotNull()).groupBy("oof__level").agg(
-        F.map_from_entries(F.collect_list(F.struct("oof__fold", F.coalesce(F.col("s"), F.lit(0.0)).alias("s")))).alias("fs"),
-        F.map_from_entries(F.collect_list(F.struct("oof__fold", "n"))).alias("fn"),
-        F.coalesce(F.sum("s"), F.lit(0.0)).alias("s"), F.sum("n").alias("n"),
+    for r in rows:
+        if total_n > r["n"]:
+            mean = (total_s - (r["s"] or 0.0)) / (total_n - r["n"])
+            base = F.when(F.col("oof__fold") == r["oof__fold"], F.lit(mean)).otherwise(base)
+    parts = range(folds)
+    in_fold = [F.when(F.col("oof__fold") == f, t) for f in parts]
+    level_sums = marked.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("oof__level")).agg(
+        *[F.coalesce(F.sum(in_fold[f]), F.lit(0.0)).alias(f"s__{f}") for f in parts],
+        *[F.count(in_fold[f]).alias(f"n__{f}") for f in parts],
     )
-    joined = marked.join(level_sums, F.col(col) == F.col("oof__level"), "left")
-    own_s = F.coalesce(F.col("fs")[F.col("oof__fold")], F.lit(0.0))
-    own_n = F.coalesce(F.col("fn")[F.col("oof__fold")], F.lit(0))
-    value = F.try_divide(F.col("s") - own_s + smoothing * base, F.col("n") - own_n + F.lit(float(smoothing)))
+    level_sums, small = lookup_table(level_sums, table_rows)
+    joined = marked.join(hinted(level_sums, small), F.col(col) == F.col("oof__level"), "left")
+
+    def others(name: str) -> Column:
+        own = F.array(*[F.col(f"{name}__{f}") for f in parts])[F.col("oof__fold")]
+        return sum((F.col(f"{name}__{f}") for f in parts), F.lit(0)) - own
+
+    value = F.try_divide(others("s") + smoothing * base, others("n") + F.lit(float(smoothing)))
     out = out or col
     encoded = F.coalesce(value, base)
     names = [encoded.alias(out) if c == out else F.col(f"`{c}`") for c in df.columns]

@@ -46,15 +46,16 @@ class KnnModel:
             return df
         kinds = {c: nan_to_null(F.col(c).cast("double")) for c in self.cols}
         df = df.withColumns(kinds)
-        full = (1 << len(self.cols)) - 1
-        gaps = any_of([F.col(c).isNull() for c in self.cols])
+        # Rows that know some of the columns, but not all, look for neighbours. Rows that know none get the means.
+        gaps = any_of([F.col(c).isNull() for c in self.cols]) & any_of([F.col(c).isNotNull() for c in self.cols])
         marks = df.where(gaps).groupBy(known_mask(self.cols).alias("mask")).agg(
             F.approx_count_distinct(F.xxhash64(*self.cols)).alias("n")
         ).collect()  # one row per pattern
-        found = self._imputed(df.where(gaps), {r["mask"]: r["n"] for r in marks if r["mask"] not in (0, full)})
+        found = self._imputed(df.where(gaps), {r["mask"]: r["n"] for r in marks})
+        with_means = {c: F.coalesce(F.col(c), F.lit(self.means[c]).cast("double")) for c in self.cols}
         if found is None:
-            return df.withColumns({c: F.coalesce(F.col(c), F.lit(self.means[c]).cast("double")) for c in self.cols})
-        # Complete rows pass by without a shuffle; only rows with a gap meet their results.
+            return df.withColumns(with_means)
+        # All other rows pass by without a shuffle; only rows with a gap meet their results.
         names = {f"id__{j}": c for j, c in enumerate(self.cols)}
         on = [F.col(i).eqNullSafe(F.col(c)) for i, c in names.items()]
         joined = df.where(gaps).join(found, on, "left")
@@ -63,7 +64,7 @@ class KnnModel:
             for j, c in enumerate(self.cols)
         }
         filled = joined.select(*[values[c].alias(c) if c in values else F.col(f"`{c}`") for c in df.columns])
-        return df.where(~gaps).unionByName(filled)
+        return df.where(~gaps).withColumns(with_means).unionByName(filled)
 
     def _imputed(self, rows: DataFrame, patterns: dict[int, int]) -> DataFrame | None:
         """(id__j..., imp__j...): one row per distinct row with gaps."""

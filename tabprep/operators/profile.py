@@ -50,8 +50,10 @@ def value_counts(df: DataFrame, col: str, top: int | None = None) -> DataFrame:
     return ordered.limit(top) if top is not None else ordered
 
 
-def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """A4: number of distinct known values per column, spread by (column, value)."""
+def distinct_counts(df: DataFrame, cols: Sequence[str], approximate: bool = False) -> DataFrame:
+    """A4: number of distinct known values per column, spread by (column, value); a sketch in one scan on request."""
+    if approximate:
+        return summarise(df, cols, {"distinct": lambda c: F.approx_count_distinct(F.col(c))})
     counted = value_frequencies(df, cols).groupBy("variable").agg(F.count(F.lit(1)).alias("distinct"))
     names = local_table(df.sparkSession, [(c,) for c in cols], "variable string")
     return names.join(counted, "variable", "left").select("variable", F.coalesce("distinct", F.lit(0)).alias("distinct"))

@@ -14,6 +14,7 @@ from tabprep.operators.profile import file_variables, variable_availability
 from tabprep.operators.stacking import stack, stack_long
 from tabprep.sources.dictionary import ID_COLUMN, readable_names
 from tabprep.sources.modules import discover_files, write_table
+from tabprep.sizing import local_table
 
 SUBJECT = "subject_id"
 GLUCOSE = "glucose_value"
@@ -24,19 +25,27 @@ LABEL_THRESHOLD = 5.7
 Modules = Mapping[tuple[str, str], DataFrame]
 
 
-def read_modules(spark: SparkSession, root: str) -> dict[tuple[str, str], DataFrame]:
-    """S3: {(cycle, module): table} for `<root>/<cycle>/<module>.parquet`, cycles and modules in name order.
+def try_modules(spark: SparkSession, root: str) -> tuple[dict[tuple[str, str], DataFrame], DataFrame]:
+    """The readable tables below `root`, and (path, cycle, module, status, error) of all of them.
 
-    The listing has one row per module file; only schemas are read here. A file that cannot be read is left out.
+    The listing has one row per module table; only schemas are read here. A bad table does not stop the run.
     """
     listed = discover_files(spark, root).select("path", "cycle", "module").orderBy("cycle", "module").collect()
-    out = {}
+    tables, outcomes = {}, []
     for f in listed:
+        status, error = "processed", None
         try:
-            out[f["cycle"], f["module"]] = spark.read.parquet(f["path"])
-        except Exception:  # S8: an unreadable file is skipped, the run goes on
-            continue
-    return out
+            tables[f["cycle"], f["module"]] = spark.read.parquet(f["path"])
+        except Exception as failure:
+            status, error = "failed", str(failure).splitlines()[0][:200]
+        outcomes.append((f["path"], f["cycle"], f["module"], status, error))
+    schema = "path string, cycle string, module string, status string, error string"
+    return tables, local_table(spark, outcomes, schema)
+
+
+def read_modules(spark: SparkSession, root: str) -> dict[tuple[str, str], DataFrame]:
+    """S3: {(cycle, module): table} for `<root>/<cycle>/<module>.parquet`, in name order; bad tables are left out."""
+    return try_modules(spark, root)[0]
 
 
 def consolidate_modules(modules: Modules, unique: bool | None = None, null_label: int | None = None) -> DataFrame:

@@ -65,6 +65,11 @@ def not_yet_loaded(candidates: DataFrame, manifest: DataFrame, keys: Sequence[st
     return candidates.join(manifest.select(*keys), list(keys), "left_anti")
 
 
+def append_manifest(loaded: DataFrame, path: str, keys: Sequence[str] = ("file",)) -> None:
+    """Write back the keys of a finished load, so the next run skips them."""
+    loaded.select(*keys).distinct().write.mode("append").parquet(path)
+
+
 def load_outcomes(candidates: DataFrame, manifest: DataFrame, keys: Sequence[str] = ("file",)) -> DataFrame:
     """Candidates with `status` 'skipped' when already listed, else 'new'. The manifest has one row per key."""
     known = manifest.select(*keys, F.lit(True).alias("known"))

@@ -26,6 +26,7 @@ def test_summaries(people):
     assert rows(profile.value_counts(people, "s", top=1)) == [("a", 2)]
     assert rows(profile.levels(people, "s")) == [("a",), ("b",)]
     assert {tuple(r) for r in profile.column_modes(people, ["s", "y", "id"]).collect()} == {("s", "a", 2), ("y", "0", 2), ("id", "1", 1)}
+    assert rows(profile.distinct_counts(people, ["s", "x"], approximate=True)) == [("s", 2), ("x", 4)]
     assert {tuple(r) for r in profile.distinct_counts(people.withColumn("e", F.lit(None).cast("string")), ["s", "x", "e"]).collect()} == {("s", 2), ("x", 4), ("e", 0)}
 
 
@@ -106,6 +107,7 @@ def test_correlation(make):
 def test_crosstab(make):
     df = make([("a", 0), ("a", 1), ("b", 1), (None, 1), ("b", None)], "r string, c int")
     assert sorted(rows(association.crosstab(df, "r", "c", [0, 1]))) == [("All", 1, 2, 3), ("a", 1, 1, 2), ("b", 0, 1, 1)]
+    assert association.crosstab(df, "r", "c").columns == ["r", "0", "1", "All"]
     assert sorted(rows(association.crosstab(df, "r", "c", [0, 1], margins=False))) == [("a", 1, 1), ("b", 0, 1)]
     assert sorted(rows(association.crosstab_row_percent(df, "r", "c", [0, 1]))) == [("a", 50.0, 50.0), ("b", 0.0, 100.0)]
 

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from tabprep.functions.quantiles import exact_quantiles, median_of
+from tabprep.functions.quantiles import approximate_quantiles, exact_quantiles, median_of
 
 PROBS = [0.0, 0.25, 0.5, 0.9, 1.0]
 BRACKETED = {"one_task_bytes": 0, "one_task_rows": 0}
@@ -44,3 +44,9 @@ def test_tiny_inputs(make, options):
     assert median_of(make([(1.0,), (2.0,), (3.0,), (10.0,)], "x double"), ["x"], **options).first()["median"] == 2.5
     assert median_of(make([], "x double"), ["x"], **options).first()["median"] is None
     assert median_of(make([(None,)], "x double"), ["x"], **options).first()["median"] is None
+
+
+def test_approximate(data):
+    df, _, columns = data
+    found = approximate_quantiles(df, ["spread"], [0.5]).first()["q"][0]
+    assert abs((columns["spread"] <= found).mean() - 0.5) < 0.001

@@ -64,6 +64,21 @@ def test_link_harvest(make):
         links.harvest_links(pages, ["DEMO"], match="other")
 
 
+def test_manifest_grows(make, spark, tmp_path):
+    path = str(tmp_path / "manifest")
+    links.append_manifest(make([("a",), ("a",)], "file string"), path)
+    links.append_manifest(make([("b",)], "file string"), path)
+    assert sorted(rows(spark.read.parquet(path))) == [("a",), ("b",)]
+
+
+def test_bad_module_is_reported(spark, tree):
+    from tabprep.plans.consolidate import try_modules
+
+    tables, outcomes = try_modules(spark, tree)
+    assert list(tables) == [("2011-2012", "DEMO"), ("2013-2014", "BMX")]
+    assert rows(outcomes.where("status = 'failed'").select("module")) == [("BAD",)]
+
+
 def test_skip_known_files(make):
     found, manifest = make([("a",), ("b",)], "file string"), make([("b",)], "file string")
     assert rows(links.not_yet_loaded(found, manifest)) == [("a",)]

@@ -12,12 +12,13 @@ from workbench.registry import query, table
 
 
 @query("module_full_join", """
-    SELECT doc_id, lang, n_chars, quality, toxic FROM (SELECT doc_id, lang, n_chars FROM documents WHERE lang <> 'en')
-    FULL JOIN labels USING (doc_id)
+    SELECT doc_id, lang, n_chars, quality, toxic, priority FROM (SELECT doc_id, lang, n_chars FROM documents)
+    FULL JOIN labels USING (doc_id) FULL JOIN (SELECT o_orderkey AS doc_id, o_orderpriority AS priority FROM orders) USING (doc_id)
 """)
 def module_full_join(spark, root):
-    docs = table(spark, root, "documents").select("doc_id", "lang", "n_chars").where(F.col("lang") != "en")
-    return joins.join_modules({"documents": docs, "labels": table(spark, root, "labels")}, ["doc_id"])
+    docs = table(spark, root, "documents").select("doc_id", "lang", "n_chars")
+    orders = table(spark, root, "orders").select(F.col("o_orderkey").alias("doc_id"), F.col("o_orderpriority").alias("priority"))
+    return joins.join_modules({"documents": docs, "labels": table(spark, root, "labels"), "orders": orders}, ["doc_id"])
 
 
 def status_modules(orders):
@@ -59,12 +60,12 @@ def module_join_repeated(spark, root):
 
 
 @query("lookup_default", """
-    WITH level AS (SELECT c_nationkey AS level, max(c_acctbal) AS top FROM customer WHERE c_nationkey < 20 GROUP BY 1)
+    WITH level AS (SELECT c_nationkey AS level, max(c_acctbal) AS top FROM customer GROUP BY 1 HAVING max(c_acctbal) > 9800)
     SELECT s_suppkey, coalesce(top, -1.0::DOUBLE) AS top FROM supplier LEFT JOIN level ON s_nationkey = level
 """)
 def lookup_default(spark, root):
-    level = table(spark, root, "customer").where("c_nationkey < 20").groupBy(F.col("c_nationkey").alias("level")).agg(
-        F.max("c_acctbal").alias("best"))
+    level = table(spark, root, "customer").groupBy(F.col("c_nationkey").alias("level")).agg(
+        F.max("c_acctbal").alias("best")).where("best > 9800")
     suppliers = table(spark, root, "supplier").select("s_suppkey", "s_nationkey")
     return joins.lookup(suppliers, level, "s_nationkey", "best", "top", -1.0).select("s_suppkey", "top")
 
