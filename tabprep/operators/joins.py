@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabprep.functions.columns import any_of
 from tabprep.operators.stacking import stack
 from tabprep.sizing import hinted
 
@@ -65,15 +66,14 @@ def merge_unique(tables: Sequence[DataFrame], keys: Sequence[str], null_safe: bo
     keys = list(keys)
     stacked = stack(list(tables))
     values = [c for c in stacked.columns if c not in keys]
-
-    def merged(rows: DataFrame) -> DataFrame:
-        return rows.groupBy(*keys).agg(*[F.first(F.col(c), ignorenulls=True).alias(c) for c in values])
-
-    if null_safe:
-        return merged(stacked)
-    known = stacked.na.drop("any", subset=keys)
-    unknown = stacked.where(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))
-    return merged(known).unionByName(unknown)
+    group = list(keys)
+    if not null_safe:
+        # A row with a missing key is a group of its own, which also spreads such rows evenly.
+        missing = any_of([F.col(k).isNull() for k in keys])
+        stacked = stacked.withColumn("join__alone", F.when(missing, F.monotonically_increasing_id()))
+        group.append("join__alone")
+    merged = stacked.groupBy(*group).agg(*[F.first(F.col(c), ignorenulls=True).alias(c) for c in values])
+    return merged.select(*keys, *values)
 
 
 def _full_join(a: DataFrame, b: DataFrame, keys: list[str], null_safe: bool) -> DataFrame:

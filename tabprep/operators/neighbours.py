@@ -26,7 +26,7 @@ CHUNK_QUERIES = 16_384    # queries one task gets at a time
 ONE_BOX = 8               # a space of up to this many boxes' donors is not worth two rounds
 MAX_BOXES = 65_536        # per space; the split table sent to tasks stays this small
 SAMPLE_PER_BOX = 32
-MATRIX_CELLS = 4_000_000  # distance cells held at once inside a task
+MATRIX_CELLS = 500_000    # distance cells held at once inside a task; a block that stays in the processor's cache
 
 
 @dataclass(frozen=True)
@@ -101,7 +101,9 @@ def _nearest_in_chunk(donors: np.ndarray, queries: np.ndarray, k: int) -> tuple[
         block = queries[start:start + step]
         square = np.zeros((len(block), len(donors)))
         for j in range(donors.shape[1]):
-            square += (block[:, j, None] - donors[None, :, j]) ** 2
+            offset = np.subtract.outer(block[:, j], donors[:, j])
+            offset *= offset
+            square += offset
         if len(donors) > k:
             bound = np.partition(square, k - 1, axis=1)[:, k - 1]
             q, d = np.nonzero(square <= bound[:, None])

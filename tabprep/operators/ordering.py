@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabprep.session import materialise
-from tabprep.sizing import slice_count
 
 SLICE = "order__slice"
 
@@ -16,9 +15,9 @@ SLICE = "order__slice"
 def order_slices(df: DataFrame, order_by: Sequence[str], slices: int | None = None) -> DataFrame:
     """Range-partition by the order columns and fix each row's slice number in a checkpoint.
 
-    Slice numbers ascend with the order. The checkpoint makes them stable, so later steps can agree on them.
+    Slice numbers ascend with the order. The checkpoint makes them stable, so later steps can agree on them. Without
+    `slices` the session's shuffle partitions set the number, and adaptive execution merges small ones.
     """
-    slices = slices or slice_count(df)
     ranged = (
         df.repartitionByRange(slices, *order_by) if slices is not None else df.repartitionByRange(*order_by)
     )

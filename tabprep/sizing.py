@@ -16,9 +16,6 @@ from tabprep.session import materialise
 ONE_TASK_BYTES = 32 * 1024 * 1024
 # A table with at most this many rows may be sent to every executor.
 SMALL_ROWS = 100_000
-# Planned bytes of one slice of a range-partitioned table.
-SLICE_BYTES = 256 * 1024 * 1024
-MAX_SLICES = 50_000
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -55,10 +52,3 @@ def lookup_table(df: DataFrame, limit: int = SMALL_ROWS) -> tuple[DataFrame, boo
 def hinted(table: DataFrame, small: bool) -> DataFrame:
     """Broadcast a table proven small; leave any other to the planner and its skew handling."""
     return F.broadcast(table) if small else table
-
-
-def slice_count(df: DataFrame) -> int | None:
-    """Slices needed to keep each near SLICE_BYTES; None leaves the number to the session and adaptive execution."""
-    wanted = plan_bytes(df) // SLICE_BYTES
-    default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return wanted if default < wanted <= MAX_SLICES else None
