@@ -16,8 +16,9 @@ from workbench.registry import query, rounded, table
 
 def order_cycles(orders):
     """Orders by two-year cycle, a later cycle naming its price column differently."""
-    year = F.year("o_orderdate")
-    early, middle = year <= 1996, (year >= 1997) & (year <= 1999)
+    # Ranges of the date itself reach the scan; a year taken from it would not.
+    date, y1997, y2000 = F.col("o_orderdate"), F.to_timestamp(F.lit("1997-01-01")), F.to_timestamp(F.lit("2000-01-01"))
+    early, middle = date < y1997, (date >= y1997) & (date < y2000)
     return {
         "1995-1996": orders.where(early).select(
             F.col("o_orderkey").cast("double").alias("SEQN"), F.col("o_totalprice").alias("LBXTR"),
@@ -25,7 +26,7 @@ def order_cycles(orders):
         "1997-1999": orders.where(middle).select(
             F.col("o_orderkey").cast("double").alias("SEQN"), F.col("o_totalprice").alias("LBXTR"),
             F.col("o_custkey").alias("BMXWT")),
-        "2000-2001": orders.where(year >= 2000).select(
+        "2000-2001": orders.where(date >= y2000).select(
             F.col("o_orderkey").cast("double").alias("SEQN"), F.col("o_totalprice").alias("LBXTLG"),
             F.col("o_custkey").alias("BMXWT"), F.col("o_orderstatus").alias("note")),
     }

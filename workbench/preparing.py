@@ -122,27 +122,32 @@ def part_measures(spark, root):
     ))
 
 
-@query("impute_knn", f"""
-    WITH {PART_MEASURES},
-    pairs AS (
-        SELECT r.id, n.id AS donor, n.q AS dq, n.e AS de, n.d AS dd, n.t AS dt,
-               r.q IS NULL AS mq, r.e IS NULL AS me, r.d IS NULL AS md, r.t IS NULL AS mt,
-               coalesce((r.q - n.q) * (r.q - n.q), 0) + coalesce((r.e - n.e) * (r.e - n.e), 0)
-               + coalesce((r.d - n.d) * (r.d - n.d), 0) + coalesce((r.t - n.t) * (r.t - n.t), 0) AS sq,
-               (r.q - n.q IS NOT NULL)::INT + (r.e - n.e IS NOT NULL)::INT + (r.d - n.d IS NOT NULL)::INT + (r.t - n.t IS NOT NULL)::INT AS shared
-        FROM g r, g n WHERE r.q IS NULL OR r.e IS NULL OR r.d IS NULL OR r.t IS NULL),
-    cells AS (
-        SELECT id, 'q' AS c, donor, dq AS v, sqrt(sq * (4.0::DOUBLE / shared)) AS dist FROM pairs WHERE mq AND dq IS NOT NULL AND shared > 0
-        UNION ALL SELECT id, 'e', donor, de, sqrt(sq * (4.0::DOUBLE / shared)) FROM pairs WHERE me AND de IS NOT NULL AND shared > 0
-        UNION ALL SELECT id, 'd', donor, dd, sqrt(sq * (4.0::DOUBLE / shared)) FROM pairs WHERE md AND dd IS NOT NULL AND shared > 0
-        UNION ALL SELECT id, 't', donor, dt, sqrt(sq * (4.0::DOUBLE / shared)) FROM pairs WHERE mt AND dt IS NOT NULL AND shared > 0),
-    near AS (SELECT * FROM cells QUALIFY row_number() OVER (PARTITION BY id, c ORDER BY dist, donor) <= 5),
+def knn_sql(source: str, cols: list[str], k: int = 5) -> str:
+    """CTEs that impute `cols` of the CTE `source` (unique `id`) by looking at every pair; the last one is `imputed`."""
+    n = len(cols)
+    square = " + ".join(f"coalesce((r.{c} - n.{c}) * (r.{c} - n.{c}), 0)" for c in cols)
+    shared = " + ".join(f"(r.{c} - n.{c} IS NOT NULL)::INT" for c in cols)
+    gaps = " OR ".join(f"r.{c} IS NULL" for c in cols)
+    cells = " UNION ALL ".join(
+        f"SELECT id, '{c}' AS c, donor, v_{c} AS v, sqrt(sq * ({n}.0::DOUBLE / shared)) AS dist FROM pairs "
+        f"WHERE m_{c} AND v_{c} IS NOT NULL AND shared > 0" for c in cols
+    )
+    columns = ", ".join(f"coalesce(s.{c}, f_{c}.v, (SELECT avg({c}) FROM {source})) AS {c}" for c in cols)
+    joins = " ".join(f"LEFT JOIN filled f_{c} ON f_{c}.id = s.id AND f_{c}.c = '{c}'" for c in cols)
+    return f"""pairs AS (
+        SELECT r.id, n.id AS donor, {", ".join(f"n.{c} AS v_{c}, r.{c} IS NULL AS m_{c}" for c in cols)},
+               {square} AS sq, {shared} AS shared
+        FROM {source} r, {source} n WHERE {gaps}),
+    cells AS ({cells}),
+    near AS (SELECT * FROM cells QUALIFY row_number() OVER (PARTITION BY id, c ORDER BY dist, donor) <= {k}),
     filled AS (SELECT id, c, CASE WHEN min(dist) = 0 THEN avg(v) FILTER (dist = 0)
-                             ELSE sum(v / nullif(dist, 0)) / sum(1 / nullif(dist, 0)) END AS v FROM near GROUP BY id, c)
-    SELECT g.id, round(coalesce(g.q, fq.v, (SELECT avg(q) FROM g)), 4) AS q, round(coalesce(g.e, fe.v, (SELECT avg(e) FROM g)), 4) AS e,
-           round(coalesce(g.d, fd.v, (SELECT avg(d) FROM g)), 4) AS d, round(coalesce(g.t, ft.v, (SELECT avg(t) FROM g)), 4) AS t
-    FROM g LEFT JOIN filled fq ON fq.id = g.id AND fq.c = 'q' LEFT JOIN filled fe ON fe.id = g.id AND fe.c = 'e'
-           LEFT JOIN filled fd ON fd.id = g.id AND fd.c = 'd' LEFT JOIN filled ft ON ft.id = g.id AND ft.c = 't'
+                             ELSE sum(v / nullif(dist, 0)) / sum(1 / nullif(dist, 0)) END AS v FROM near GROUP BY id, c),
+    imputed AS (SELECT s.* REPLACE ({columns}) FROM {source} s {joins})"""
+
+
+@query("impute_knn", f"""
+    WITH {PART_MEASURES}, {knn_sql("g", ["q", "e", "d", "t"])}
+    SELECT id, round(q, 4) AS q, round(e, 4) AS e, round(d, 4) AS d, round(t, 4) AS t FROM imputed
 """)
 def impute_knn(spark, root):
     parts = part_measures(spark, root)
@@ -269,7 +274,18 @@ def prepare_flagship(spark, root):
     return rounded(plan.fit(survey).transform(survey), 8)
 
 
-@query("prepare_with_neighbours")
+@query("prepare_with_neighbours", f"""
+    WITH {PART_MEASURES}, raw AS (
+        SELECT id, q AS waist_cm, e AS weight_kg, d * 10 AS height_cm, t + 2 AS glucose_value,
+               CASE WHEN q > 25 THEN 'high' WHEN q > 20 THEN 'low' END AS gender FROM g),
+    staged AS (SELECT *, weight_kg / nullif((height_cm / 100.0::DOUBLE) * (height_cm / 100.0::DOUBLE), 0) AS bmi
+               FROM raw WHERE glucose_value IS NOT NULL),
+    mode AS (SELECT gender AS m FROM staged WHERE gender IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, gender LIMIT 1),
+    {knn_sql("staged", ["waist_cm", "weight_kg", "height_cm", "bmi"])}
+    SELECT round(waist_cm, 4) AS waist_cm, round(weight_kg, 4) AS weight_kg, round(height_cm, 4) AS height_cm, round(bmi, 4) AS bmi,
+           round(glucose_value, 4) AS glucose_value, (coalesce(gender, m) = 'low')::DOUBLE AS gender_low
+    FROM imputed, mode
+""")
 def prepare_with_neighbours(spark, root):
     """All ten steps, the nearest-neighbour step on the per-part measures."""
     parts = part_measures(spark, root).select(
