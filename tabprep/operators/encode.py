@@ -183,13 +183,15 @@ def fit_target(
     """Level tables of `(n * mean + m * overall) / (n + m)`. A missing target column leaves the data unchanged."""
     if target not in df.columns:
         return TargetMean(None, {})
-    overall = df.agg(F.avg(as_double(target))).first()[0]
-    tables = {}
+    t, overall, tables = as_double(target), None, {}
     for c in present(df, cols):
-        level = group_means(df, c, target).where("n > 0").select(
-            "level", smoothed(F.col("mean"), F.col("n"), F.lit(overall), smoothing).alias("encoded")
-        )
-        tables[c] = lookup_table(level, table_rows)
+        # One scan per column: the missing level is counted too, so the overall mean comes from the same small table.
+        sums = df.groupBy(F.col(c).alias("level")).agg(F.sum(t).alias("total"), F.count(t).alias("n")).where("n > 0")
+        sums, small = lookup_table(sums, table_rows)
+        overall = sums.agg(F.try_divide(F.sum("total"), F.sum("n"))).first()[0]
+        mean = F.try_divide(F.col("total"), F.col("n"))
+        encoded = smoothed(mean, F.col("n"), F.lit(overall).cast("double"), smoothing).alias("encoded")
+        tables[c] = (sums.where(F.col("level").isNotNull()).select("level", encoded), small)
     return TargetMean(overall, tables)
 
 

@@ -24,7 +24,7 @@ from tabprep.session import materialise
 BOX_DONORS = 8_192        # donors aimed at per box, and the most one task gets at a time
 CHUNK_QUERIES = 16_384    # queries one task gets at a time
 ONE_BOX = 8               # a space of up to this many boxes' donors is not worth two rounds
-MAX_BOXES = 65_536        # per space; the split table sent to tasks stays this small
+MAX_BOXES = 65_536        # of all spaces together; the tables sent to tasks and the sample stay this small
 SAMPLE_PER_BOX = 32
 MATRIX_CELLS = 500_000    # distance cells held at once inside a task; a block that stays in the processor's cache
 
@@ -155,7 +155,7 @@ def nearest(
 
     donors = materialise(_located(donors, donor_axes, shared))
     queries = materialise(_located(queries, query_axes, shared))
-    # One row per box: at most MAX_BOXES per space.
+    # One row per box: at most MAX_BOXES.
     chunks = F.broadcast(_pieces(donors, "chunks", box_donors))
 
     def round_of(wanted: DataFrame) -> DataFrame:
@@ -187,14 +187,15 @@ def _pieces(df: DataFrame, name: str, rows: int) -> DataFrame:
 
 
 def _plan_boxes(donors, axes, used, donor_rows, k, key, box_donors) -> dict[str, Boxes]:
+    large = [s for s, n in donor_rows.items() if n > ONE_BOX * box_donors]
+    deepest = int(np.log2(max(1, MAX_BOXES // max(1, len(large)))))
     depth = {
-        s: min(int(np.ceil(np.log2(n / box_donors))), int(np.log2(MAX_BOXES))) if n > ONE_BOX * box_donors else 0
-        for s, n in donor_rows.items()
+        s: min(int(np.ceil(np.log2(n / box_donors))), deepest) if s in large else 0 for s, n in donor_rows.items()
     }
     sample: dict[str, np.ndarray] = {}
     wanted = {s: (1 << d) * max(SAMPLE_PER_BOX, 2 * k) for s, d in depth.items() if d > 0}
     if wanted:
-        # Every m-th donor by hash; at most a few million numbers reach the driver, however large the space.
+        # Every m-th donor by hash; about SAMPLE_PER_BOX points per box reach the driver, however large the space.
         rate = F.lit(0)
         for s, n in wanted.items():
             rate = F.when(F.col("space") == s, F.lit(max(1, donor_rows[s] // n))).otherwise(rate)

@@ -141,6 +141,11 @@ def cross_validate(
     return validator.fit(labelled(df, target))
 
 
+def write_metadata(table: DataFrame, path: str) -> None:
+    """A fitted or metadata table as JSON lines."""
+    table.write.mode("overwrite").json(path)
+
+
 def run_metadata(
     spark: SparkSession, train_df: DataFrame, test_df: DataFrame, target: str, features: Sequence[str]
 ) -> DataFrame:

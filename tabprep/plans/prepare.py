@@ -16,6 +16,7 @@ from tabprep.operators.encode import EncodingModel, EncodingPlan
 from tabprep.operators.impute import ConstantImputer, fit_median, fit_mode
 from tabprep.operators.knn import KnnModel, fit_knn
 from tabprep.operators.profile import missing_totals, row_reduction
+from tabprep.session import run_together
 from tabprep.plans.typing import CATEGORIES, FLAGS, INTEGERS, define_types
 
 # The column lists of the preparation.
@@ -63,13 +64,15 @@ class PreparePlan:
     def fit(self, df: DataFrame) -> PreparedModel:
         staged = self.stage(df)
         keys = present(staged, self.keys)
-        knn = None
-        if self.knn_columns and present(staged, self.knn_columns):
-            if not keys:
-                raise ValueError("nearest-neighbour imputation needs a row key")
-            knn = fit_knn(staged, self.knn_columns, keys, self.neighbours)
-        medians = fit_median(staged, self.median_columns, skip=self.knn_columns)
-        modes = fit_mode(staged, self.mode_columns)
+        uses_knn = bool(present(staged, self.knn_columns))
+        if uses_knn and not keys:
+            raise ValueError("nearest-neighbour imputation needs a row key")
+        medians, modes, knn = run_together(
+            df.sparkSession,
+            lambda: fit_median(staged, self.median_columns, skip=self.knn_columns),
+            lambda: fit_mode(staged, self.mode_columns),
+            lambda: fit_knn(staged, self.knn_columns, keys, self.neighbours) if uses_knn else None,
+        )
         partial = PreparedModel(self, knn, medians, modes, EncodingModel({}))
         if not self.encoding.columns():
             return partial

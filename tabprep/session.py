@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -41,6 +44,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def run_together(spark: SparkSession, *queries: Callable[[], object]) -> list:
+    """Submit independent report queries at once, so that one's last tasks do not keep the cluster waiting."""
+    with ThreadPoolExecutor(max_workers=len(queries)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(q)) for q in queries]]
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write `df` as a Parquet table below the checkpoint folder and read on from there.
 

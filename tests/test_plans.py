@@ -172,7 +172,9 @@ def test_class_report_without_hits(make):
     assert tuple(out[0]) == (0, 0.0, 0.0, 0.0, 2) and out[1]["precision"] == pytest.approx(1 / 3)
 
 
-def test_run_metadata(spark, make):
+def test_run_metadata(spark, make, tmp_path):
     df = make([(0, 1.0), (1, 2.0), (1, 3.0)], "y int, a double")
     out = {(r["section"], r["name"]): r["value"] for r in modelling.run_metadata(spark, df, df.limit(1), "y", ["a"]).collect()}
     assert out["rows", "train"] == 3 and out["class_train", "1"] == 2 and out["feature", "a"] == 0 and out["columns", "test"] == 2
+    modelling.write_metadata(modelling.run_metadata(spark, df, df, "y", ["a"]), str(tmp_path / "meta"))
+    assert spark.read.json(str(tmp_path / "meta")).count() == 9

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tabprep.operators import encode, fill, impute, resample, scale, split
@@ -9,7 +11,8 @@ from tabprep.operators.knn import fit_knn
 from tabprep.plans import features as fx
 from tabprep.plans import modelling
 from tabprep.plans.prepare import PreparePlan
-from tabprep.session import materialise
+from tabprep.session import ensure_checkpoint_dir, materialise
+from tabprep.streaming.apply import module_stream, write_prepared
 from workbench.profiling import ORDER_GAPS, labelled_documents, order_gaps
 from workbench.registry import query, rounded, table
 
@@ -164,6 +167,21 @@ def encode_onehot(spark, root):
     return encode.fit_one_hot(customer, ["c_mktsegment"]).transform(customer)
 
 
+@query("stream_encode", """
+    SELECT c_custkey, c_acctbal, (c_mktsegment = 'BUILDING')::DOUBLE AS "c_mktsegment_BUILDING", (c_mktsegment = 'FURNITURE')::DOUBLE AS "c_mktsegment_FURNITURE",
+           (c_mktsegment = 'HOUSEHOLD')::DOUBLE AS "c_mktsegment_HOUSEHOLD", (c_mktsegment = 'MACHINERY')::DOUBLE AS "c_mktsegment_MACHINERY"
+    FROM customer
+""")
+def stream_encode(spark, root):
+    """A model fitted on the batch, applied to the same table arriving as a stream."""
+    customer = table(spark, root, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    model = encode.fit_one_hot(customer, ["c_mktsegment"])
+    place = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    stream = module_stream(spark, f"{root}/customer.parquet", customer.schema).drop("cycle", "module")
+    write_prepared(model, stream, f"{place}/out", f"{place}/progress").awaitTermination()
+    return spark.read.parquet(f"{place}/out")
+
+
 @query("encode_ordinal", f"""
     WITH {ORDER_GAPS}, lv AS (SELECT s, row_number() OVER (ORDER BY s) - 1 AS i FROM (SELECT DISTINCT o_orderstatus AS s FROM orders))
     SELECT o_orderkey, coalesce(CASE priority WHEN '5-LOW' THEN 0 WHEN '3-MEDIUM' THEN 1 WHEN '1-URGENT' THEN 2 END, -1)::DOUBLE AS priority,
