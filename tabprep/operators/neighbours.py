@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 
 from tabprep.session import materialise
 
-BOX_DONORS = 8_192        # donors aimed at per box, and the most one task gets at a time
+BOX_DONORS = 2_048        # donors aimed at per box
+CHUNK_BOXES = 8           # one task gets up to this many boxes' donors at a time
 CHUNK_QUERIES = 16_384    # queries one task gets at a time
-ONE_BOX = 8               # a space of up to this many boxes' donors is not worth two rounds
+ONE_BOX = 32              # a space of up to this many boxes' donors is not worth two rounds
 MAX_BOXES = 65_536        # of all spaces together; the tables sent to tasks and the sample stay this small
 SAMPLE_PER_BOX = 32
 MATRIX_CELLS = 500_000    # distance cells held at once inside a task; a block that stays in the processor's cache
@@ -142,10 +143,10 @@ def nearest(
     plain = {s: (t.axis, t.cut) for s, t in trees.items()}
     shared = donors.sparkSession.sparkContext.broadcast((plain, used))
     search = _Search(list(donor_axes), list(query_axes), used, k, key)
-    identity = list(query_axes)
+    identity, chunk_donors = list(query_axes), CHUNK_BOXES * box_donors
 
     if not any((t.axis >= 0).any() for t in trees.values()):
-        chunks = _per_space({s: -(-n // box_donors) for s, n in donor_rows.items()})
+        chunks = _per_space({s: -(-n // chunk_donors) for s, n in donor_rows.items()})
         parts = _per_space({s: -(-n // chunk_queries) for s, n in query_rows.items()})
         found = search.run(
             donors.withColumns({"box": F.lit(1), "chunks": chunks, "parts": parts}),
@@ -156,7 +157,7 @@ def nearest(
     donors = materialise(_located(donors, donor_axes, shared))
     queries = materialise(_located(queries, query_axes, shared))
     # One row per box: at most MAX_BOXES.
-    chunks = F.broadcast(_pieces(donors, "chunks", box_donors))
+    chunks = F.broadcast(_pieces(donors, "chunks", chunk_donors))
 
     def round_of(wanted: DataFrame) -> DataFrame:
         parts = F.broadcast(_pieces(wanted, "parts", chunk_queries))

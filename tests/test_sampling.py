@@ -39,7 +39,7 @@ def test_split_with_null_class(make):
         [(None, "train", 5), (None, "test", 5), (1, "train", 5), (1, "test", 5)], key=str)
 
 
-@pytest.mark.parametrize("box, chunk", [(8192, 16384), (2, 5)])
+@pytest.mark.parametrize("box, chunk", [(2048, 16384), (1, 5)])
 def test_oversampling(labelled, box, chunk):
     out = resample.oversample_minority(labelled, "y", ["a", "b"], "id", k=3, box_donors=box, chunk_queries=chunk)
     counts = {(r["y"], r["synthetic"]): r["n"] for r in out.groupBy("y", "synthetic").agg(F.count("*").alias("n")).collect()}
