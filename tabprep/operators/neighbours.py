@@ -24,7 +24,7 @@ from tabprep.session import materialise
 BOX_DONORS = 2_048        # donors aimed at per box
 CHUNK_BOXES = 8           # one task gets up to this many boxes' donors at a time
 CHUNK_QUERIES = 16_384    # queries one task gets at a time
-ONE_BOX = 32              # a space of up to this many boxes' donors is not worth two rounds
+ONE_BOX = 50              # a space of up to this many full boxes of distances is searched in one round
 MAX_BOXES = 65_536        # of all spaces together; the tables sent to tasks and the sample stay this small
 SAMPLE_PER_BOX = 32
 MATRIX_CELLS = 500_000    # distance cells held at once inside a task; a block that stays in the processor's cache
@@ -138,7 +138,9 @@ def nearest(
     positions compared in each space; the other axes just come along. `donor_rows` and `query_rows` are estimates that
     only steer how finely the work is cut. Returns space, query_axes, key, donor_axes and `square` = squared distance.
     """
-    trees = _plan_boxes(donors, donor_axes, used, donor_rows, k, key, box_donors)
+    # Cutting a space pays when the distances to all its donors would cost more than the second round.
+    large = {s for s, n in donor_rows.items() if n > 2 * box_donors and n * query_rows[s] > ONE_BOX * box_donors ** 2}
+    trees = _plan_boxes(donors, donor_axes, used, donor_rows, large, k, key, box_donors)
     # Plain arrays, so that unpickling needs nothing but numpy.
     plain = {s: (t.axis, t.cut) for s, t in trees.items()}
     shared = donors.sparkSession.sparkContext.broadcast((plain, used))
@@ -187,8 +189,7 @@ def _pieces(df: DataFrame, name: str, rows: int) -> DataFrame:
     return counts.select("space", "box", F.ceil(F.col("n") / F.lit(rows)).cast("int").alias(name))
 
 
-def _plan_boxes(donors, axes, used, donor_rows, k, key, box_donors) -> dict[str, Boxes]:
-    large = [s for s, n in donor_rows.items() if n > ONE_BOX * box_donors]
+def _plan_boxes(donors, axes, used, donor_rows, large, k, key, box_donors) -> dict[str, Boxes]:
     deepest = int(np.log2(max(1, MAX_BOXES // max(1, len(large)))))
     depth = {
         s: min(int(np.ceil(np.log2(n / box_donors))), deepest) if s in large else 0 for s, n in donor_rows.items()

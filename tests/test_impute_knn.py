@@ -77,7 +77,7 @@ def points():
     return values
 
 
-@pytest.mark.parametrize("box, chunk", [(2048, 16384), (50, 50), (10, 40)])
+@pytest.mark.parametrize("box, chunk", [(2048, 16384), (100, 50), (10, 40)])
 def test_neighbours_equal_brute_force(spark, points, box, chunk):
     """One box, one box in chunks, many boxes."""
     df, names = frame(spark, points)
