@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.llm import bpe, mixing, quality_rules, secret_scan, sharding, simhash
+from tabprep.llm import bpe, embed_dedup, language, mixing, quality_model, quality_rules, secret_scan, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,6 +48,11 @@ def op3_simhash(spark, root):
     return found.select("doc_id", code.alias("fingerprint"), "component_id")
 
 
+@query("op4_embedding_dedup")
+def op4_embedding_dedup(spark, root):
+    return embed_dedup.near_duplicates(read(spark, root, "embeddings"))
+
+
 @query("op5_quality_rules", rf"""
     WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
     w AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i
@@ -144,6 +149,28 @@ def op7_mixing(spark, root):
     return planned.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def remainder(parts: int):
+    """crc32 of the id as text, modulo `parts`."""
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
+@query("op8_quality_classifier")
+def op8_quality_classifier(spark, root):
+    docs = read(spark, root, "documents").select("doc_id", "text")
+    labels = read(spark, root, "labels").select("doc_id", "quality").where(remainder(3) != 1)
+    model = quality_model.fit(docs, labels)
+    held_out = F.coalesce(remainder(3) == 1, F.lit(False))
+    return model.transform(docs.withColumn("held_out", held_out))
+
+
+@query("op9_language_id")
+def op9_language_id(spark, root):
+    docs = read(spark, root, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs.where(remainder(4) != 2))
+    held_out = F.coalesce(remainder(4) == 2, F.lit(False))
+    return model.transform(docs.select("doc_id", "text", held_out.alias("held_out")))
+
+
 @query("op10_secret_scan")
 def op10_secret_scan(spark, root):
     found = secret_scan.find(read(spark, root, "documents").select("doc_id", "text"))
