@@ -11,6 +11,7 @@ without a word are neither counted nor judged and stay; repeated rows and ids ar
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,18 +48,18 @@ LETTER = r"\p{L}"
 PLAIN = r"[\p{L}\p{N}]"
 
 
-def repeated_words(words: Column) -> Column:
-    """How many words lie in a three-word window that the text holds at least twice.
+def windows(words: Column) -> Column:
+    """A 64-bit hash of every three-word window, in order."""
+    return F.when(F.size(words) < 3, F.array().cast("array<bigint>")).otherwise(let(words, lambda w: F.transform(
+        F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))))
 
-    Windows are sorted by a 64-bit hash, equal neighbours keep their positions, and each position covers the words
-    up to the next one, three at most.
-    """
-    def windows(w: Column) -> Column:
-        return F.sort_array(F.transform(
-            F.sequence(F.lit(0), F.size(w) - 3),
-            lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i")),
-        ))
 
+def repeated_words(hashes: Column) -> Column:
+    """How many words lie in a three-word window that the text holds at least twice, from the windows' hashes.
+
+    Where there are repeats, hashes are sorted with their positions, equal neighbours keep theirs, and each position
+    covers the words up to the next one, three at most.
+    """
     def positions(s: Column) -> Column:
         twice = F.filter(s, lambda x, i: (F.get(s, i - 1)["h"] == x["h"]) | (F.get(s, i + 1)["h"] == x["h"]))
         return F.sort_array(F.transform(twice, lambda x: x["i"]))
@@ -67,23 +68,28 @@ def repeated_words(words: Column) -> Column:
         steps = F.transform(p, lambda x, i: F.least(F.lit(3), F.coalesce(F.get(p, i + 1) - x, F.lit(3))))
         return F.aggregate(steps, F.lit(0), lambda a, x: a + x)
 
-    count = let(let(let(words, windows), positions), covered)
-    return F.when(F.size(words) < 3, F.lit(0)).otherwise(count).cast("bigint")
+    ordered = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    count = let(let(ordered, positions), covered)
+    return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), count).otherwise(F.lit(0)).cast("bigint")
 
 
 def line_fails(line: Column, limits: Limits = Limits()) -> Column:
-    """Whether a line with words is navigation, broken punctuation or boilerplate."""
+    """Whether a line with words is navigation, broken punctuation or boilerplate.
+
+    Each rule starts with a test that most lines end at once; counts follow only where it holds.
+    """
     n = F.regexp_count(line, F.lit(WORD))
     separators = F.regexp_count(line, F.lit(SEPARATOR))
     marked = F.regexp_count(line, F.lit(MARKED))
-    navigation = (separators >= limits.separators) & (separators >= n * limits.separator_share)
-    menu = (n < limits.short_line) & ~line.rlike(TERMINAL)
-    punctuation = (marked >= 2) & (marked >= n * limits.marked_share) | ~line.rlike(PLAIN)
-    low = F.lower(line)
-    boilerplate = F.lit(False)
-    for phrase in BOILERPLATE:
-        boilerplate = boilerplate | F.contains(low, F.lit(phrase))
-    return (n > 0) & (navigation | menu | punctuation | boilerplate)
+    several_words = line.rlike(f"(?:{WORD}[\\x20\\x09-\\x0D]+){{{limits.short_line - 1}}}{WORD}")
+    navigation = line.rlike("[|»›•·]") & (separators >= limits.separators) & (separators >= n * limits.separator_share)
+    menu = ~several_words & ~line.rlike(TERMINAL)
+    punctuation = line.rlike(MARKED) & (marked >= 2) & (marked >= n * limits.marked_share) | ~line.rlike(PLAIN)
+
+    def boilerplate(low: Column) -> Column:
+        return reduce(lambda a, b: a | b, [F.contains(low, F.lit(phrase)) for phrase in BOILERPLATE])
+
+    return line.rlike(WORD) & (navigation | menu | punctuation | let(F.lower(line), boilerplate))
 
 
 def word_chars(text: Column) -> Column:
@@ -97,6 +103,7 @@ def _judged(df: DataFrame, text_col: str, limits: Limits) -> DataFrame:
     """`df` with each output as a column `rules__<output>`."""
     staged = with_outputs(
         df, rules__text=whole(text_col), rules__words=words_of(whole(text_col)), rules__lines=F.split(whole(text_col), "\n", -1))
+    staged = with_outputs(staged, rules__windows=windows(F.col("rules__words")))
     lines = F.col("rules__lines")
     spoken = F.filter(lines, lambda x: x.rlike(WORD))
     staged = with_outputs(
@@ -105,7 +112,7 @@ def _judged(df: DataFrame, text_col: str, limits: Limits) -> DataFrame:
         rules__word_chars=word_chars(F.col("rules__text")),
         rules__n_symbols=(F.length("rules__text") - F.length(F.translate("rules__text", SYMBOLS, ""))).cast("bigint"),
         rules__n_dup_lines=let(spoken, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint"),
-        rules__n_repeat_words=repeated_words(F.col("rules__words")),
+        rules__n_repeat_words=repeated_words(F.col("rules__windows")),
         rules__clean_text=F.array_join(F.filter(lines, lambda x: ~line_fails(x, limits)), "\n"),
     )
     n, total = F.col("rules__n_words"), F.col("rules__word_chars")

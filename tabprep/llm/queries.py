@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.llm import bpe, embed_dedup, language, mixing, quality_model, quality_rules, secret_scan, sharding, simhash
+from tabprep.llm import (
+    bpe, embed_dedup, language, mixing, quality_model, quality_rules, secret_scan, sharding, simhash, suffix_dedup,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,6 +37,12 @@ def sql_in(values) -> str:
 RULES = quality_rules.Limits()
 
 
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark, root):
+    docs = read(spark, root, "documents").select("doc_id", "text")
+    return suffix_dedup.dedup(docs, out=("n_bytes", "n_removed", "n_spans", "kept_sha256"))
+
+
 @query("op2_bpe")
 def op2_bpe(spark, root):
     docs = read(spark, root, "documents").select("doc_id", "text")
