@@ -7,7 +7,8 @@ Copies: every document of a source is due target / size copies. The whole part i
 document draws u from a hash of its id and text, its rank is the odds of u divided by the odds of its inclusion
 probability, and documents are taken in rank order while their words fit into what is left of the target. The gap that
 the first document too many leaves is filled in `fill_rounds` further passes by documents that fit into it, again in
-rank order. So the sample has a fixed size in words, short of the target by less than the smallest step.
+rank order. Last, the smallest document left is taken if that comes nearer to the target than leaving the gap. So the
+sample has a fixed size in words, off the target by less than half of a small document where the source has small ones.
 
 Plan: the draw decides alone, so a source is described by a few cut values, found on (source, draw, size) rows: sums by
 slice of the draw (about sqrt(n) slices for n documents) find the slice with the cut, and only that slice is sorted.
@@ -120,6 +121,14 @@ def _taken(round_no: int) -> Column:
     return inside & (F.col("room0") > 0) if round_no == 0 else inside & (F.col("size") <= F.col(f"room{round_no}"))
 
 
+def _nearest(rows: DataFrame, sources: DataFrame, room: str) -> DataFrame:
+    """Add to `sources` the smallest of the `rows` left, where taking it comes nearer than the room left."""
+    smallest = rows.groupBy("key").agg(F.min(F.struct("size", "rank")).alias("last"))
+    better = F.col("last.size") - F.col(room) < F.col(room)
+    return materialise(sources.join(smallest, "key", "left").select(
+        *sources.columns, F.when(better, F.col("last.size")).alias("last_size"), F.when(better, F.col("last.rank")).alias("last_rank")))
+
+
 def mix_plan(df: DataFrame, id_col: str, text_col: str, source_col: str, size: Column, mix: Mix) -> DataFrame:
     """Decide the copies: `df` with mix__size, mix__source_size, mix__target and mix__copies."""
     name = quoted(source_col).cast("string")
@@ -149,13 +158,17 @@ def mix_plan(df: DataFrame, id_col: str, text_col: str, source_col: str, size: C
             "slice": F.floor(F.col("draw") * F.col("slices")),
         })
 
-    for n in range(mix.fill_rounds + 1):
+    def left(rounds: int) -> DataFrame:
         rows = ranked(narrow, sources).where(F.col("share") > 0)
-        for earlier in range(n):
+        for earlier in range(rounds):
             rows = rows.where(~_taken(earlier))
-        if n:
-            rows = rows.where(F.col("size") <= F.col(f"room{n}"))
+        return rows
+
+    for n in range(mix.fill_rounds + 1):
+        rows = left(n).where(F.col("size") <= F.col(f"room{n}")) if n else left(0)
         sources = _cut(rows.select("key", "slice", "rank", "size"), sources, f"room{n}", f"cut{n}", f"room{n + 1}")
+    gap = f"room{mix.fill_rounds + 1}"
+    sources = _nearest(left(mix.fill_rounds + 1).where(F.col("size") > F.col(gap)).select("key", "rank", "size"), sources, gap)
 
     carried = [c for c in drawn.columns if not c.startswith("mix__")]
     met = ranked(drawn.select(
@@ -164,6 +177,7 @@ def mix_plan(df: DataFrame, id_col: str, text_col: str, source_col: str, size: C
     extra = F.lit(False)
     for n in range(mix.fill_rounds + 1):
         extra = extra | _taken(n)
+    extra = extra | F.coalesce((F.col("size") == F.col("last_size")) & (F.col("rank") == F.col("last_rank")), F.lit(False))
     return met.select(
         *[F.col("row")[c].alias(c) for c in carried],
         F.col("size").alias("mix__size"), F.col("source_size").alias("mix__source_size"), F.col("target").alias("mix__target"),

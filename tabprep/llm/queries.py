@@ -149,8 +149,12 @@ def op6_sharding(spark, root):
                   OVER (PARTITION BY source ORDER BY rank) <= room1 AS in1 FROM g1),
     g2 AS (SELECT *, room1 - coalesce(sum(size) FILTER (in1) OVER (PARTITION BY source), 0) AS room2 FROM r2),
     r3 AS (SELECT *, share > 0 AND NOT in0 AND NOT in1 AND size <= room2 AND sum(size) FILTER (NOT in0 AND NOT in1 AND size <= room2)
-                  OVER (PARTITION BY source ORDER BY rank) <= room2 AS in2 FROM g2)
-    SELECT doc_id, size, source_size, target, (size * (sure + (in0 OR in1 OR in2)::INT))::BIGINT AS taken FROM r3
+                  OVER (PARTITION BY source ORDER BY rank) <= room2 AS in2 FROM g2),
+    g3 AS (SELECT *, room2 - coalesce(sum(size) FILTER (in2) OVER (PARTITION BY source), 0) AS room3,
+                  share > 0 AND NOT in0 AND NOT in1 AND NOT in2 AS free FROM r3),
+    r4 AS (SELECT *, free AND size > room3 AND size - room3 < room3
+                  AND row_number() OVER (PARTITION BY source, free AND size > room3 ORDER BY size, rank) = 1 AS in3 FROM g3)
+    SELECT doc_id, size, source_size, target, (size * (sure + (in0 OR in1 OR in2 OR in3)::INT))::BIGINT AS taken FROM r4
 """)
 def op7_mixing(spark, root):
     planned = mixing.plan(read(spark, root, "documents").select("doc_id", "text", "source"))

@@ -264,8 +264,8 @@ def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     rebuilt = let(F.aggregate("scan__spans", start, step), lambda x: F.concat(
         x["out"], F.substring(text, x["at"] + 1, F.length(text))))
-    changed = F.when(F.size("scan__spans") > 0, rebuilt).otherwise(quoted(text_col))
-    new = {text_col: changed}
+    changed = scanned.withColumn("scan__new", F.when(F.size("scan__spans") > 0, rebuilt))
+    new = {text_col: F.coalesce(F.col("scan__new"), quoted(text_col))}
     if "n_chars" in df.columns and text_col == "text":
-        new["n_chars"] = F.when(F.size("scan__spans") > 0, F.length(rebuilt).cast("bigint")).otherwise(quoted("n_chars"))
-    return scanned.select(*[(new[c] if c in new else quoted(c)).alias(c) for c in df.columns])
+        new["n_chars"] = F.coalesce(F.length("scan__new").cast("bigint"), quoted("n_chars"))
+    return changed.select(*[(new[c] if c in new else quoted(c)).alias(c) for c in df.columns])

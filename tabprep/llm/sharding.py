@@ -41,16 +41,15 @@ def shard_by_bytes(
     # One row per slice of the range partitioning: a few thousand numbers at any size.
     before, every = Window.orderBy("shard__slice"), Window.partitionBy()
     starts = totals.select(
-        F.col("shard__slice").alias("slice"),
+        F.col("shard__slice").alias("shard__of"),
         (F.sum("bytes").over(before) - F.col("bytes")).alias("shard__bytes_before"),
         (F.sum("rows").over(before) - F.col("rows")).alias("shard__rows_before"),
         F.sum("bytes").over(every).alias("shard__total"),
     )
     inside = Window.partitionBy("shard__slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     located = placed.select(
-        "*", F.sum(size).over(inside).alias("shard__sum"), F.row_number().over(inside.rowsBetween(
-            Window.unboundedPreceding, Window.currentRow)).alias("shard__row"),
-    ).join(F.broadcast(starts), F.col("shard__slice") == F.col("slice"))
+        "*", F.sum(size).over(inside).alias("shard__sum"), F.row_number().over(inside).alias("shard__row")
+    ).join(F.broadcast(starts), F.col("shard__slice") == F.col("shard__of"))
     # Twice the middle byte, so that all is whole numbers.
     middle = 2 * (F.col("shard__bytes_before") + F.col("shard__sum")) - size
     numbered = with_outputs(

@@ -166,7 +166,7 @@ def classes(signed: DataFrame, id_col: str, code_col: str = "fingerprint", limit
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> DataFrame:
     """Fingerprint (bigint) and component_id of every row, with the columns of `df` but the text."""
-    signed = materialise(with_fingerprint(df, text_col))
+    signed = materialise(with_fingerprint(df.drop("component_id"), text_col))
     found = classes(signed, id_col, limit=limit)
     return signed.join(
         found.select(F.col("code").alias("fingerprint"), F.col("component").alias("component_id")), "fingerprint")

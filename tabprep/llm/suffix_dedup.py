@@ -332,8 +332,10 @@ def _numbered(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Dat
     listed = materialise(rows.select(
         F.col("suffix__id").isNotNull().alias("named"), "suffix__id", "suffix__digest").distinct())
     numbers = materialise(with_row_index(listed, ["named", "suffix__id", "suffix__digest"], "suffix__doc"))
-    on = rows["suffix__id"].eqNullSafe(numbers["suffix__id"]) & (rows["suffix__digest"] == numbers["suffix__digest"])
-    rows = materialise(rows.join(numbers, on).select(*[rows[c] for c in rows.columns], "suffix__doc").drop("suffix__id", "suffix__digest"))
+    numbers = numbers.select(
+        "suffix__doc", F.col("suffix__id").alias("suffix__other"), F.col("suffix__digest").alias("suffix__same"))
+    on = F.col("suffix__id").eqNullSafe(F.col("suffix__other")) & (F.col("suffix__digest") == F.col("suffix__same"))
+    rows = materialise(rows.join(numbers, on).drop("suffix__id", "suffix__digest", "suffix__other", "suffix__same"))
     once = rows.select(F.col("suffix__doc").alias("doc"), F.col("suffix__text").alias("text")).dropDuplicates(["doc"])
     return rows, once
 
@@ -389,8 +391,7 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length:
     """Replace the text by any of: its bytes, bytes removed, maximal stretches removed, `kept` bytes and their digest."""
     rows, docs = _numbered(df, id_col, text_col)
     found = materialise(repeated_stretches(docs, length))
-    spans = found.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    kept = [quoted(c) for c in df.columns if c not in out and c != text_col]
-    joined = rows.join(spans, rows["suffix__doc"] == spans["doc"], "left").select(*kept, "suffix__text", "spans")
+    spans = found.groupBy(F.col("doc").alias("suffix__doc")).agg(F.collect_list(F.struct("start", "end")).alias("suffix__spans"))
+    joined = rows.join(spans, "suffix__doc", "left").select(*others(df, [*out, text_col]), "suffix__text", "suffix__spans")
     schema = T.StructType([*joined.schema.fields[:-2], *[T.StructField(n, OUTPUTS[n]) for n in out]])
     return joined.mapInArrow(_removal_task(list(out)), schema)
