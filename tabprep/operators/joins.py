@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tabprep.functions.columns import any_of
 from tabprep.operators.stacking import stack
+from tabprep.session import materialise
 from tabprep.sizing import hinted
 
 
@@ -28,16 +29,6 @@ def rename_overlap(tables: Mapping[str, DataFrame], keys: Sequence[str]) -> dict
     return out
 
 
-def has_repeated_keys(tables: Mapping[str, DataFrame], keys: Sequence[str], null_safe: bool = False) -> bool:
-    """Does any table hold a key twice? One exchange over the key columns alone."""
-    tagged = [df.select(*keys, F.lit(m).alias("module")) for m, df in tables.items()]
-    counted = stack(tagged)
-    if not null_safe:
-        counted = counted.na.drop("any", subset=list(keys))
-    repeated = counted.groupBy(*keys, "module").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return not repeated.isEmpty()
-
-
 def join_modules(
     tables: Mapping[str, DataFrame],
     keys: Sequence[str],
@@ -46,48 +37,72 @@ def join_modules(
 ) -> DataFrame:
     """Full outer join of all module tables on the key columns.
 
-    With unique keys (checked when `unique` is None) the tables are stacked and grouped once, one exchange for any
-    number of modules, where a chain of full joins would exchange the growing result for every module. With repeated
-    keys the chain is used, because matching repeats multiplies rows. A NULL key matches nothing unless `null_safe`.
+    The tables are stacked and grouped by key once, one exchange for any number of modules, and the same grouping counts
+    each key per module. `unique=True` says that no module repeats a key, and fails if one does. Otherwise the grouped
+    rows are written once; the keys that repeat, if any, are taken out and joined module by module, as matching repeats
+    multiply rows. A NULL key matches nothing unless `null_safe`.
     """
-    keys = list(keys)
-    tables = rename_overlap(tables, keys)
+    tables = rename_overlap(tables, list(keys))
     if len(tables) == 1:
         return next(iter(tables.values()))
-    if unique is None:
-        unique = not has_repeated_keys(tables, keys, null_safe)
-    if not unique:
-        return reduce(lambda a, b: _full_join(a, b, keys, null_safe), tables.values())
-    return merge_unique(list(tables.values()), keys, null_safe)
+    return join_groups([list(tables.values())], keys, unique, null_safe)
 
 
-def merge_unique(tables: Sequence[DataFrame], keys: Sequence[str], null_safe: bool = False) -> DataFrame:
-    """Full outer join of tables that hold each key at most once: stack them and group once by key."""
+def join_groups(
+    groups: Sequence[Sequence[DataFrame]], keys: Sequence[str], unique: bool | None = None, null_safe: bool = False
+) -> DataFrame:
+    """The join of each group of tables, stacked. No key may be in two groups; they still share one grouping."""
     keys = list(keys)
-    stacked = stack(list(tables))
-    values = [c for c in stacked.columns if c not in keys]
+    flat = [t for group in groups for t in group]
+    values = list(dict.fromkeys(c for t in flat for c in t.columns if c not in keys))
+    grouped = _grouped(flat, keys, values, null_safe)
+    most = F.greatest(*[F.col(_count(i)) for i in range(len(flat))], F.lit(1))
+    if unique:
+        repeated = F.raise_error(F.lit("a module repeats a key")).cast("boolean")
+        return grouped.where(F.when(most > 1, repeated).otherwise(True)).select(*keys, *values)
+    fixed = materialise(grouped)
+    several = fixed.where(most > 1)
+    once = fixed.where(most <= 1).select(*keys, *values)
+    if several.isEmpty():
+        return once
+    counts = materialise(several.select(*keys, *[_count(i) for i in range(len(flat))]))
+    parts, first = [once], 0
+    for group in groups:
+        numbers = range(first, first + len(group))
+        first += len(group)
+        mine = counts.where(F.greatest(*[F.col(_count(i)) for i in numbers], F.lit(0)) > 0)
+        parts.append(_multiplied(mine, group, numbers, keys))
+    return stack(parts).select(*keys, *values)
+
+
+def _count(i: int) -> str:
+    return f"join__n{i}"
+
+
+def _grouped(tables: Sequence[DataFrame], keys: list[str], values: list[str], null_safe: bool) -> DataFrame:
+    """One row per key: the first value of every column, and how often each table holds the key."""
+    stacked = stack([t.withColumn("join__table", F.lit(i)) for i, t in enumerate(tables)])
     group = list(keys)
     if not null_safe:
         # A row with a missing key is a group of its own, which also spreads such rows evenly.
         missing = any_of([F.col(k).isNull() for k in keys])
         stacked = stacked.withColumn("join__alone", F.when(missing, F.monotonically_increasing_id()))
         group.append("join__alone")
-    merged = stacked.groupBy(*group).agg(*[F.first(F.col(c), ignorenulls=True).alias(c) for c in values])
-    return merged.select(*keys, *values)
+    counts = [F.count_if(F.col("join__table") == i).alias(_count(i)) for i in range(len(tables))]
+    return stacked.groupBy(*group).agg(*[F.first(F.col(c), ignorenulls=True).alias(c) for c in values], *counts)
 
 
-def _full_join(a: DataFrame, b: DataFrame, keys: list[str], null_safe: bool) -> DataFrame:
-    """Full join as left join plus unmatched right rows; both of those can split a hot key at run time."""
+def _multiplied(counts: DataFrame, tables: Sequence[DataFrame], numbers: Sequence[int], keys: list[str]) -> DataFrame:
+    """The full join for the keys in `counts`. A table that lacks a key gets an empty row for it, so that all joins are
+    inner ones, in which adaptive execution can split a hot key of either side; each table is read once."""
     names = {k: f"right__{k}" for k in keys}
-    right = b.withColumnsRenamed(names)
-
-    def matches(k: str):
-        return F.col(k).eqNullSafe(F.col(names[k])) if null_safe else F.col(k) == F.col(names[k])
-
-    on = reduce(lambda x, y: x & y, [matches(k) for k in keys])
-    left = a.join(right, on, "left").drop(*names.values())
-    rest = right.join(a.select(*keys), on, "left_anti").withColumnsRenamed({v: k for k, v in names.items()})
-    return left.unionByName(rest, allowMissingColumns=True)
+    on = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+    out = counts.select(*keys)
+    for i, table in zip(numbers, tables):
+        absent = counts.where(F.col(_count(i)) == 0).select(*keys)
+        filled = table.unionByName(absent, allowMissingColumns=True).withColumnsRenamed(names)
+        out = out.join(filled, on).drop(*names.values())
+    return out
 
 
 def lookup(

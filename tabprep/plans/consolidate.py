@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabprep.functions.columns import normalise_nan
 from tabprep.operators.clean import threshold_label
-from tabprep.operators.joins import has_repeated_keys, join_modules, merge_unique, rename_overlap
+from tabprep.operators.joins import join_groups, rename_overlap
 from tabprep.operators.profile import file_variables, variable_availability
 from tabprep.operators.stacking import stack, stack_long
 from tabprep.sources.dictionary import ID_COLUMN, readable_names
@@ -37,7 +37,7 @@ def try_modules(spark: SparkSession, root: str) -> tuple[dict[tuple[str, str], D
         try:
             tables[f["cycle"], f["module"]] = spark.read.parquet(f["path"])
         except Exception as failure:
-            status, error = "failed", str(failure).splitlines()[0][:200]
+            status, error = "failed", str(failure)
         outcomes.append((f["path"], f["cycle"], f["module"], status, error))
     schema = "path string, cycle string, module string, status string, error string"
     return tables, local_table(spark, outcomes, schema)
@@ -60,13 +60,7 @@ def consolidate_modules(modules: Modules, unique: bool | None = None, null_label
         cycles.setdefault(cycle, {})[module] = table
     keys = ["cycle", SUBJECT]
     cycles = {cycle: rename_overlap(tables, keys) for cycle, tables in cycles.items()}
-    flat = {f"{cycle}/{module}": df for cycle, tables in cycles.items() for module, df in tables.items()}
-    if unique is None:
-        unique = not has_repeated_keys(flat, keys)
-    if unique:
-        wide = merge_unique(list(flat.values()), keys)
-    else:
-        wide = stack([join_modules(tables, keys, unique=False) for tables in cycles.values()])
+    wide = join_groups([list(tables.values()) for tables in cycles.values()], keys, unique)
     if GLUCOSE in wide.columns:
         wide = threshold_label(wide, GLUCOSE, LABEL_THRESHOLD, LABEL, null_label)
     return wide

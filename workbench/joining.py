@@ -44,18 +44,24 @@ def module_join_chain(spark, root):
 
 
 @query("module_join_repeated", """
-    SELECT custkey, o_orderkey, c_name, n_accounts
+    SELECT custkey, o_orderkey, c_name, n_accounts, c_mktsegment, s_name, rich
     FROM (SELECT o_custkey AS custkey, o_orderkey FROM orders)
     FULL JOIN (SELECT c_custkey AS custkey, c_name FROM customer) USING (custkey)
     FULL JOIN (SELECT c_custkey AS custkey, c_nationkey AS n_accounts FROM customer WHERE c_acctbal > 5000) USING (custkey)
+    FULL JOIN (SELECT c_custkey AS custkey, c_mktsegment FROM customer WHERE c_nationkey < 9) USING (custkey)
+    FULL JOIN (SELECT s_nationkey::BIGINT AS custkey, s_name FROM supplier) USING (custkey)
+    FULL JOIN (SELECT s_suppkey AS custkey, s_acctbal > 5000 AS rich FROM supplier) USING (custkey)
 """)
 def module_join_repeated(spark, root):
-    customer = table(spark, root, "customer")
+    customer, supplier = table(spark, root, "customer"), table(spark, root, "supplier")
+    key = F.col("c_custkey").alias("custkey")
     return joins.join_modules({
         "orders": table(spark, root, "orders").select(F.col("o_custkey").alias("custkey"), "o_orderkey"),
-        "names": customer.select(F.col("c_custkey").alias("custkey"), "c_name"),
-        "accounts": customer.where("c_acctbal > 5000").select(
-            F.col("c_custkey").alias("custkey"), F.col("c_nationkey").alias("n_accounts")),
+        "names": customer.select(key, "c_name"),
+        "accounts": customer.where("c_acctbal > 5000").select(key, F.col("c_nationkey").alias("n_accounts")),
+        "segments": customer.where("c_nationkey < 9").select(key, "c_mktsegment"),
+        "suppliers": supplier.select(F.col("s_nationkey").cast("bigint").alias("custkey"), "s_name"),
+        "rich": supplier.select(F.col("s_suppkey").alias("custkey"), (F.col("s_acctbal") > 5000).alias("rich")),
     }, ["custkey"])
 
 
