@@ -22,9 +22,12 @@ def present(df: DataFrame, cols: Iterable[str], on_missing: str = "ignore") -> l
 
 
 def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
-    """Numeric columns in schema order, minus the excluded ones."""
+    """Numeric columns in schema order, minus the excluded ones and those marked as categories."""
     skip = set(exclude)
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in skip]
+    return [
+        f.name for f in df.schema.fields
+        if isinstance(f.dataType, T.NumericType) and f.name not in skip and not f.metadata.get("category")
+    ]
 
 
 def is_floating(df: DataFrame, name: str) -> bool:

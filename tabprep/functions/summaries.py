@@ -38,13 +38,16 @@ def as_double(name: str) -> Column:
     return F.col(name).cast("double")
 
 
-# A value of any type as one sortable struct; exactly one field is set, or none for NULL.
+# A value of any type as one sortable struct; exactly one field is set, or none for NULL. Every decimal type among the
+# columns has a field of its own, so that no digit is lost.
 VALUE_FIELDS = {"whole": "bigint", "number": "double", "flag": "boolean", "moment": "timestamp", "text": "string"}
 
 
 def value_field(kind: T.DataType) -> str:
     if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return "whole"
+    if isinstance(kind, T.DecimalType):
+        return f"decimal_{kind.precision}_{kind.scale}"
     if isinstance(kind, T.NumericType):
         return "number"
     if isinstance(kind, T.BooleanType):
@@ -54,10 +57,15 @@ def value_field(kind: T.DataType) -> str:
     return "text"
 
 
-def _as_value(df: DataFrame, name: str) -> Column:
+def _value_fields(df: DataFrame, cols: Sequence[str]) -> dict[str, str]:
+    kinds = [df.schema[c].dataType for c in cols]
+    return VALUE_FIELDS | {value_field(k): k.simpleString() for k in kinds if isinstance(k, T.DecimalType)}
+
+
+def _as_value(df: DataFrame, name: str, fields: Mapping[str, str]) -> Column:
     own = value_field(df.schema[name].dataType)
     return F.struct(*[
-        (F.col(name) if field == own else F.lit(None)).cast(kind).alias(field) for field, kind in VALUE_FIELDS.items()
+        (F.col(name) if field == own else F.lit(None)).cast(kind).alias(field) for field, kind in fields.items()
     ])
 
 
@@ -66,9 +74,9 @@ def plain(value) -> object:
     return next((v for v in value if v is not None), None)
 
 
-def value_text(value: str) -> Column:
+def value_text(df: DataFrame, value: str) -> Column:
     """The value struct as text."""
-    return F.coalesce(*[F.col(value)[field].cast("string") for field in VALUE_FIELDS])
+    return F.coalesce(*[F.col(value)[f.name].cast("string") for f in df.schema[value].dataType.fields])
 
 
 def value_frequencies(df: DataFrame, cols: Sequence[str], with_nulls: bool = False) -> DataFrame:
@@ -77,8 +85,9 @@ def value_frequencies(df: DataFrame, cols: Sequence[str], with_nulls: bool = Fal
     Counting is partially aggregated before the shuffle, so a value held by a third of the rows costs one row per
     task, and the table is spread by (variable, value) however many distinct values there are.
     """
+    fields = _value_fields(df, cols)
     entries = F.array(*[
-        F.struct(F.lit(c).alias("variable"), _as_value(df, c).alias("value"), F.col(c).isNotNull().alias("known"))
+        F.struct(F.lit(c).alias("variable"), _as_value(df, c, fields).alias("value"), F.col(c).isNotNull().alias("known"))
         for c in cols
     ])
     long = df.select(F.inline(entries))

@@ -60,13 +60,7 @@ def target_correlation(df: DataFrame, target: str, cols: Sequence[str], top: int
     return ranked.limit(top) if top is not None else ranked
 
 
-def _pivoted(counts: DataFrame, row: str, col: str, levels: Sequence) -> DataFrame:
-    return counts.groupBy(row).agg(*[
-        F.coalesce(F.sum(F.when(F.col(col) == str(v), F.col("n"))), F.lit(0)).alias(str(v)) for v in levels
-    ])
-
-
-MAX_LEVELS = 1_000  # a crosstab has one column per level
+MAX_LEVELS = 1_000  # a pivoted crosstab has one column per level
 
 
 def _levels(df: DataFrame, col: str, levels: Sequence | None) -> Sequence:
@@ -75,28 +69,45 @@ def _levels(df: DataFrame, col: str, levels: Sequence | None) -> Sequence:
         return levels
     rows = collect_bounded(df.select(col).where(F.col(col).isNotNull()).distinct(), MAX_LEVELS)
     if rows is None:
-        raise ValueError(f"{col} has more than {MAX_LEVELS} levels; swap rows and columns or count in long form")
+        raise ValueError(f"{col} has more than {MAX_LEVELS} levels: swap rows and columns, or use crosstab_long")
     return sorted(r[0] for r in rows)
 
 
+def crosstab_long(df: DataFrame, row: str, col: str, margins: bool = True) -> DataFrame:
+    """A16 for any number of levels: (row, col, all_rows, all_columns, n). NULL excluded.
+
+    A margin has NULL in the column it sums over and its flag set, so no level's name can be taken for a margin.
+    """
+    known = df.where(F.col(row).isNotNull() & F.col(col).isNotNull())
+    grouped = known.cube(row, col) if margins else known.groupBy(row, col)
+    flags = [F.grouping(c) == 1 if margins else F.lit(False) for c in (row, col)]
+    return grouped.agg(
+        F.max(flags[0]).alias("all_rows") if not margins else flags[0].alias("all_rows"),
+        F.max(flags[1]).alias("all_columns") if not margins else flags[1].alias("all_columns"),
+        F.count(F.lit(1)).alias("n"))
+
+
 def crosstab(
     df: DataFrame, row: str, col: str, levels: Sequence | None = None, margins: bool = True, total: str = "All"
 ) -> DataFrame:
-    """Counts by (row, column) with an `All` row and column. NULL excluded. Given levels save a query."""
+    """Counts by (row, column) with an `All` row and column. NULL excluded. Given levels save a query.
+
+    Levels are compared in their own type and only labelled afterwards.
+    """
     levels = _levels(df, col, levels)
-    known = df.where(F.col(row).isNotNull() & F.col(col).isNotNull())
-    if not margins:
-        counts = known.groupBy(row, col).agg(F.count(F.lit(1)).alias("n"))
-        return _pivoted(counts.select(F.col(row).cast("string"), F.col(col).cast("string"), "n"), row, col, levels)
-    cube = known.cube(row, col).agg(
-        F.count(F.lit(1)).alias("n"), F.grouping(row).alias("g_row"), F.grouping(col).alias("g_col")
-    )
-    labelled = cube.select(
-        F.when(F.col("g_row") == 1, total).otherwise(F.col(row).cast("string")).alias(row),
-        F.when(F.col("g_col") == 1, total).otherwise(F.col(col).cast("string")).alias(col),
-        "n",
-    )
-    return _pivoted(labelled, row, col, [*levels, total])
+    kind = df.schema[col].dataType
+    cells = crosstab_long(df, row, col, margins)
+
+    def cell(v) -> Column:
+        return ~F.col("all_columns") & F.col(col).eqNullSafe(F.lit(v).cast(kind))
+
+    def summed(where: Column, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(where, F.col("n"))), F.lit(0)).alias(name)
+
+    columns = [summed(cell(v), str(v)) for v in levels] + ([summed(F.col("all_columns"), total)] if margins else [])
+    counted = cells.groupBy(row, "all_rows").agg(*columns)
+    label = F.when(F.col("all_rows"), F.lit(total)).otherwise(F.col(row).cast("string"))
+    return counted.select(label.alias(row), *[F.col(f"`{c}`") for c in counted.columns if c not in (row, "all_rows")])
 
 
 def crosstab_row_percent(
@@ -106,5 +117,5 @@ def crosstab_row_percent(
     levels = _levels(df, col, levels)
     known = df.where(F.col(row).isNotNull() & F.col(col).isNotNull())
     return known.groupBy(row).agg(*[
-        F.round(percent(F.count_if(F.col(col) == F.lit(v)), F.count(F.lit(1))), places).alias(str(v)) for v in levels
+        F.round(percent(F.count_if(F.col(col).eqNullSafe(F.lit(v).cast(df.schema[col].dataType))), F.count(F.lit(1))), places).alias(str(v)) for v in levels
     ])

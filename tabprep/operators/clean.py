@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.functions.columns import any_of, interval_label, present
+from tabprep.functions.columns import any_of, interval_label, number_or_null, present
 
 
 def require_value(df: DataFrame, target: str) -> DataFrame:
@@ -26,10 +26,10 @@ def drop_ids(df: DataFrame, id_cols: Sequence[str] = ("subject_id",)) -> DataFra
 
 
 def recode_yes_no(df: DataFrame, cols: Sequence[str], yes: float = 1, null_as: int | None = 0) -> DataFrame:
-    """The yes code becomes 1 and any other answer 0; a missing answer becomes `null_as`."""
+    """The yes code becomes 1 and any other answer, text included, 0; a missing answer becomes `null_as`."""
     def flag(c: str) -> Column:
         return (
-            F.when(F.col(c) == F.lit(yes), F.lit(1)).when(F.col(c).isNotNull(), F.lit(0))
+            F.when(number_or_null(df, c) == F.lit(float(yes)), F.lit(1)).when(F.col(c).isNotNull(), F.lit(0))
             .otherwise(F.lit(null_as)).cast("bigint")
         )
 

@@ -66,7 +66,8 @@ def levels(df: DataFrame, col: str) -> DataFrame:
 
 def column_modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(variable, value as text, n), smallest value on ties."""
-    return modes(value_frequencies(df, cols)).select("variable", value_text("value").alias("value"), "n")
+    found = modes(value_frequencies(df, cols))
+    return found.select("variable", value_text(found, "value").alias("value"), "n")
 
 
 def medians(df: DataFrame, cols: Sequence[str], **options) -> DataFrame:
@@ -162,7 +163,7 @@ def describe_all(df: DataFrame, cols: Sequence[str] | None = None, **options) ->
         tops = value_frequencies(df, others).groupBy("variable").agg(
             F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"), best.alias("b")
         ).select("variable", "count", "unique", F.col("b.value").alias("value"), (-F.col("b.neg")).alias("freq"))
-        tops = tops.withColumn("top", value_text("value"))
+        tops = tops.withColumn("top", value_text(tops, "value"))
         listed = local_table(df.sparkSession, [(c,) for c in others], "variable string")
         filled = listed.join(tops, "variable", "left").withColumn("count", F.coalesce("count", F.lit(0)))
         parts.append(shaped(filled.withColumn("unique", F.coalesce("unique", F.lit(0)))))

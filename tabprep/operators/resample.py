@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabprep.functions.columns import any_of, nan_to_null
 from tabprep.operators.knn import distinct_donors
 from tabprep.operators.neighbours import BOX_DONORS, CHUNK_QUERIES, nearest
 from tabprep.operators.split import hash_cuts, row_hash, uniform
+from tabprep.session import materialise
 from tabprep.sizing import lookup_table
 
 
@@ -54,20 +56,29 @@ def oversample_minority(
 ) -> DataFrame:
     """All rows plus synthetic minority rows until minority = `ratio` * majority.
 
-    Every minority row gets the same number of draws, give or take one. Draw r of a row picks a neighbour and a
-    position on the way to it from md5(seed:key:r), so results do not depend on partitioning. Minority rows need
-    all features. Adds `synthetic` and `draw`; other columns of a synthetic row are NULL, its key is its seed row's.
+    Every complete minority row gets the same number of draws, give or take one. Draw r of a row picks a neighbour and
+    a position on the way to it from md5(seed:key:r), so results do not depend on partitioning. Minority rows with a
+    missing feature count towards the class but are neither seeds nor neighbours; fewer than two complete ones are an
+    error, as nothing can be made from them. Adds `synthetic` and `draw`; other columns of a synthetic row are NULL, its
+    key is its seed row's.
     """
-    sizes = df.where(F.col(target).isNotNull()).groupBy(target).agg(F.count(F.lit(1)).alias("n")).orderBy("n", target)
+    numbers = [nan_to_null(F.col(c).cast("double")) for c in features]
+    complete = ~any_of([v.isNull() for v in numbers])
+    sizes = df.where(F.col(target).isNotNull()).groupBy(target).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(complete).alias("complete")).orderBy("n", target)
     rows = sizes.limit(3).collect()
     if len(rows) != 2:
         raise ValueError("two classes are needed")
-    minority, count = rows[0][target], rows[0]["n"]
-    missing = max(0, int(round(rows[1]["n"] * ratio)) - count)
+    minority, count = rows[0][target], rows[0]["complete"]
+    missing = max(0, int(round(rows[1]["n"] * ratio)) - rows[0]["n"])
     original = df.withColumns({"synthetic": F.lit(False), "draw": F.lit(None).cast("bigint")})
     if not missing:
         return original
-    minority_rows = df.where(F.col(target) == F.lit(minority))
+    if count < 2:
+        raise ValueError(f"{missing} rows are asked for, but only {count} minority rows have all features")
+    # Read once: the cut, the donors, the searches and the draws all start from these rows.
+    minority_rows = materialise(
+        df.where((F.col(target) == F.lit(minority)) & complete).select(key, target, *features))
     each, extra = divmod(missing, count)
     if extra:
         cuts, _ = lookup_table(hash_cuts(minority_rows, target, key, F.lit(extra), seed))  # one row

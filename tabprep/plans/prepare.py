@@ -16,7 +16,7 @@ from tabprep.operators.encode import EncodingModel, EncodingPlan
 from tabprep.operators.impute import ConstantImputer, fit_median, fit_mode
 from tabprep.operators.knn import KnnModel, fit_knn
 from tabprep.operators.profile import missing_totals, row_reduction
-from tabprep.session import run_together
+from tabprep.session import materialise, run_together
 from tabprep.plans.typing import CATEGORIES, FLAGS, INTEGERS, define_types
 
 # The column lists of the preparation.
@@ -62,7 +62,7 @@ class PreparePlan:
         return apply_rules(df, blood_pressure_rules(df))
 
     def fit(self, df: DataFrame) -> PreparedModel:
-        staged = self.stage(df)
+        staged = materialise(self.stage(df))  # the input is read once, however many fits follow
         keys = present(staged, self.keys)
         uses_knn = bool(present(staged, self.knn_columns))
         if uses_knn and not keys:
@@ -100,7 +100,7 @@ class PreparedModel:
         """Steps 1 to 10. Without nearest-neighbour columns it is row-local and also takes a stream."""
         imputed = self.impute(self.plan.stage(df))
         if not keep_ids:
-            imputed = drop_ids(imputed, self.plan.id_columns)
+            imputed = drop_ids(imputed, [*self.plan.id_columns, *self.plan.keys])
         return self.encoders.transform(imputed)
 
 

@@ -112,14 +112,16 @@ def flat_variables_for_cycle(cycle: str, rows: Sequence[tuple] = tuple(VARIABLES
 def valid_variables(cycles: DataFrame, dictionary: DataFrame, cycle_col: str = "cycle") -> DataFrame:
     """P1 as a join: every (cycle, variable) whose validity range holds the cycle's first year.
 
-    The dictionary has one row per variable of the questionnaire, tens of rows, and Spark sends it whole.
+    Ranges are spelled out year by year between the first and the last cycle, which leaves a join on the year.
     """
     years = cycles.withColumn("cycle_year", cycle_year(F.col(cycle_col), DEFAULT_YEAR))
-    valid = (
-        (F.col("year_from").isNull() | (F.col("cycle_year") >= F.col("year_from")))
-        & (F.col("year_to").isNull() | (F.col("cycle_year") <= F.col("year_to")))
-    )
-    return years.join(F.broadcast(dictionary), valid, "inner")
+    first, last = years.agg(F.min("cycle_year"), F.max("cycle_year")).first()
+    if first is None:
+        first = last = DEFAULT_YEAR
+    low = F.greatest(F.coalesce(F.col("year_from").cast("int"), F.lit(first)), F.lit(first)).cast("int")
+    high = F.least(F.coalesce(F.col("year_to").cast("int"), F.lit(last)), F.lit(last)).cast("int")
+    spelled = dictionary.where(low <= high).withColumn("valid_year", F.explode(F.sequence(low, high)))
+    return years.join(spelled, F.col("cycle_year") == F.col("valid_year")).drop("valid_year")
 
 
 def coalesce_aliases(df: DataFrame, aliases: Mapping[str, Sequence[str]] = ALIASES) -> DataFrame:

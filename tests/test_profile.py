@@ -158,3 +158,42 @@ def test_ranges(make):
     assert tuple(outliers.range_violations(df, [("x", 2, 8), ("absent", 0, 1)]).first()) == ("x", 3, 2.0, 8.0, 2)
     assert [r[0] for r in outliers.enforce_ranges(df, [("x", 2, None)]).collect()] == [None, 5.0, None, 9.0]
     assert [r[0] for r in outliers.enforce_ranges(df, [("x", 2, 8)], "drop").collect()] == [5.0, None]
+
+
+def test_p_values_at_any_size():
+    from tabprep.functions.student import two_sided_p
+
+    # Two-sided p of the normal limit, and of small degrees of freedom from closed forms.
+    assert two_sided_p(2.0, 1) == pytest.approx(1 - 2 / math.pi * math.atan(2.0), rel=1e-13)
+    assert two_sided_p(2.0, 2) == pytest.approx(1 - 2 / math.sqrt(6), rel=1e-13)
+    for t in (0.0, 0.01, 0.5, 2.0, 6.0, 12.0):
+        for dof in (1e8, 1e10, 1e12, 1e13):
+            assert two_sided_p(t, dof) == pytest.approx(math.erfc(t / math.sqrt(2)), rel=2 * (t**4 + 1) / dof + 1e-12)
+        # Both sides of the change of method agree.
+        assert two_sided_p(t, 0.999e7) == pytest.approx(two_sided_p(t, 1.001e7), rel=1e-5 * (t**4 + 1) / 4e3 + 1e-8)
+    assert two_sided_p(None, 5) is None and two_sided_p(float("inf"), 5) == 0.0 and two_sided_p(1.0, 0) is None
+
+
+def test_crosstab_levels_keep_their_type(make):
+    df = make([("x", True, 1.5e7, "All"), ("x", False, 1.5e7, "b"), ("All", True, 2.0, "b"), (None, True, 2.0, "b")],
+              "k string, flag boolean, num double, word string")
+    assert rows(association.crosstab(df, "k", "flag"), "False", "k") == [("All", 0, 1, 1), ("All", 1, 2, 3), ("x", 1, 1, 2)]
+    assert rows(association.crosstab(df, "flag", "num", margins=False), "flag") == [("false", 0, 1), ("true", 2, 1)]
+    long = rows(association.crosstab_long(df, "k", "word"))
+    assert ("All", "b", False, False, 1) in long and (None, None, True, True, 3) in long and len(long) == 8
+
+
+def test_wide_decimals_keep_their_digits(make):
+    df = make([("20000000000000000000.01",), ("20000000000000000000.02",), ("20000000000000000000.02",)], "t string").selectExpr(
+        "cast(t as decimal(38,2)) AS d", "cast(1.5 as decimal(3,1)) AS e")
+    assert rows(profile.distinct_counts(df, ["d", "e"]), "variable") == [("d", 2), ("e", 1)]
+    assert rows(profile.column_modes(df, ["d", "e"]), "variable") == [("d", "20000000000000000000.02", 2), ("e", "1.5", 3)]
+
+
+def test_category_marks_are_not_numbers(make):
+    from tabprep.operators.clean import mark_category
+
+    df = mark_category(make([(1, 2.0), (1, 3.0)], "code int, v double"), ["code"])
+    found = {r["variable"]: r for r in profile.describe_all(df).collect()}
+    assert found["code"]["top"] == "1" and found["code"]["mean"] is None and found["v"]["mean"] == 2.5
+    assert profile.quality_summary(df).first()["numeric_columns"] == 1

@@ -70,3 +70,13 @@ def test_scaling(make, spark):
     assert rows(model.transform(df)) == [(-1.0, 0.0, None), (1.0, 0.0, None), (None, 0.0, None)]
     assert rows(model.transform(make([(5.0, 7, 1.0)], "x double, c int, e double"))) == [(3.0, 2.0, 1.0)]
     assert model.to_table(spark).count() == 3
+
+
+def test_incomplete_minority_rows_are_not_seeds(make):
+    data = [(i, 0, float(i), None if i % 10 == 0 else float(i % 7)) for i in range(40)] + [(100 + i, 1, 1.0, 1.0) for i in range(120)]
+    df = make(data, "id int, y int, a double, b double")
+    out = resample.oversample_minority(df, "y", ["a", "b"], "id")
+    made = out.where("synthetic")
+    assert made.count() == 80 and made.where("a is null or b is null or id % 10 = 0").isEmpty()
+    with pytest.raises(ValueError, match="only 1"):
+        resample.oversample_minority(df.where("y = 1 or id in (1, 10, 20)"), "y", ["a", "b"], "id")

@@ -204,6 +204,15 @@ def flag_recode(spark, root):
     return clean.to_integer(recoded, ["sevenths"]).select("doc_id", "quality", "toxic", "sevenths")
 
 
+@query("flag_text", """
+    SELECT c_custkey, CASE WHEN c_nationkey % 3 = 0 THEN 1 WHEN c_nationkey % 3 < 3 THEN 0 END::BIGINT AS answer FROM customer
+""")
+def flag_text(spark, root):
+    third = F.col("c_nationkey") % 3
+    answer = F.when(third == 0, F.lit("1")).when(third == 1, F.lit("Yes")).otherwise(F.col("c_mktsegment"))
+    return clean.recode_yes_no(table(spark, root, "customer").select("c_custkey", answer.alias("answer")), ["answer"])
+
+
 @query("type_definition", """
     SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END::BIGINT AS smoker,
            trunc(c_acctbal)::BIGINT AS age_years, c_nationkey AS ethnicity

@@ -365,6 +365,29 @@ def oversample_minority(spark, root):
     return rounded(resample.oversample_minority(rows, "quality", ["chars", "words"], "doc_id"))
 
 
+@query("oversample_incomplete", """
+    WITH x AS (SELECT doc_id AS k, quality, n_chars::DOUBLE AS a, CASE WHEN doc_id % 5 <> 0 THEN len(string_split(text, ' '))::DOUBLE END AS b
+               FROM documents JOIN labels USING (doc_id)),
+    c AS (SELECT * FROM x WHERE quality = 0 AND b IS NOT NULL),
+    n AS (SELECT count(*) FILTER (quality = 1) - count(*) FILTER (quality = 0) AS missing, count(*) FILTER (quality = 0 AND b IS NOT NULL) AS usable FROM x),
+    p AS (SELECT x.k, y.k AS k2, y.a AS a2, y.b AS b2, (x.a - y.a) * (x.a - y.a) + (x.b - y.b) * (x.b - y.b) AS sq
+          FROM c AS x, c AS y WHERE x.k <> y.k),
+    near AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY sq, k2) AS r FROM p QUALIFY r <= 5),
+    sizes AS (SELECT k, count(*) AS m FROM near GROUP BY k),
+    seeds AS (SELECT k, a, b, missing // usable + (row_number() OVER (ORDER BY md5('42:' || k), k) <= missing % usable)::INT AS draws FROM c, n),
+    drawn AS (SELECT k, a, b, unnest(generate_series(1, draws)) AS draw FROM seeds),
+    dice AS (SELECT *, md5('42:' || k || ':' || draw) AS h FROM drawn),
+    u AS (SELECT dice.*, floor(('0x' || substr(h, 1, 8))::BIGINT / 4294967296.0::DOUBLE * m) + 1 AS pick,
+                 ('0x' || substr(h, 9, 8))::BIGINT / 4294967296.0::DOUBLE AS gap FROM dice JOIN sizes USING (k))
+    SELECT k AS doc_id, 0 AS quality, round(a + gap * (a2 - a), 4) AS chars, round(b + gap * (b2 - b), 4) AS words, true AS synthetic, draw
+    FROM u JOIN near USING (k) WHERE r = pick
+    UNION ALL SELECT k, quality, a, b, false, NULL FROM x
+""")
+def oversample_incomplete(spark, root):
+    rows = text_features(spark, root).drop("toxic").withColumn("words", F.when(F.col("doc_id") % 5 != 0, F.col("words")))
+    return rounded(resample.oversample_minority(rows, "quality", ["chars", "words"], "doc_id"))
+
+
 @query("pressure_features", """
     WITH v AS (SELECT o_orderkey, 100 + o_totalprice / 9000 AS s, 60 + o_totalprice / 20000 AS d FROM orders)
     SELECT o_orderkey, round(d + (s - d) / 3, 4) AS map, round(s - d, 4) AS pulse, round(s / d, 4) AS ratio FROM v

@@ -208,7 +208,25 @@ def t_statistics(spark, root):
     return rounded(rounded(rows.drop("var0", "var1"), 6, ("mean0", "mean1")), 4, ("t",))
 
 
-@query("t_test_p")
+# With whole degrees of freedom the two-sided p is one minus a finite trigonometric sum (Abramowitz and Stegun 26.7.3, 26.7.4).
+@query("t_test_p", r"""
+    WITH x AS (SELECT quality, n_chars::DOUBLE AS n_chars, doc_id::DOUBLE AS doc_id FROM documents JOIN labels USING (doc_id)),
+    l AS (SELECT quality, 'n_chars' AS variable, n_chars AS v FROM x UNION ALL SELECT quality, 'doc_id', doc_id FROM x),
+    s AS (SELECT variable, count(v) FILTER (quality = 0) AS n0, count(v) FILTER (quality = 1) AS n1, avg(v) FILTER (quality = 0) AS m0,
+                 avg(v) FILTER (quality = 1) AS m1, var_samp(v) FILTER (quality = 0) AS s0, var_samp(v) FILTER (quality = 1) AS s1
+          FROM l GROUP BY variable),
+    t AS (SELECT variable, n0 + n1 - 2 AS dof, (m0 - m1) / sqrt(((n0 - 1) * s0 + (n1 - 1) * s1) / (n0 + n1 - 2) * (1 / n0 + 1 / n1)) AS t FROM s),
+    a AS (SELECT *, atan(abs(t) / sqrt(dof)) AS theta, dof % 2 AS odd FROM t),
+    terms AS (SELECT variable, t, dof, theta, odd,
+                     list_transform(range(0, CASE WHEN odd = 1 THEN (dof - 1) // 2 ELSE dof // 2 END), lambda k:
+                         coalesce(list_product(list_transform(range(1, k + 1), lambda j:
+                             CASE WHEN odd = 1 THEN 2.0::DOUBLE * j / (2 * j + 1) ELSE (2.0::DOUBLE * j - 1) / (2 * j) END)), 1)
+                         * pow(cos(theta), 2 * k + odd)) AS ts FROM a),
+    p AS (SELECT variable, t, dof, 1 - CASE WHEN odd = 1 THEN 2 / pi() * (theta + sin(theta) * coalesce(list_sum(ts), 0))
+                                       ELSE sin(theta) * coalesce(list_sum(ts), 0) END AS p FROM terms)
+    SELECT variable, round(t, 6) AS t, dof, round(p, 6) AS p,
+           CASE WHEN p < 0.001 THEN '***' WHEN p < 0.01 THEN '**' WHEN p < 0.05 THEN '*' ELSE 'ns' END AS significance FROM p
+""")
 def t_test_p(spark, root):
     rows = association.t_test(labelled_documents(spark, root), "quality", ["n_chars", "doc_id"])
     return rounded(rows.select("variable", "t", "dof", "p", "significance"), 6)
@@ -236,6 +254,71 @@ def crosstab_margins(spark, root):
     return association.crosstab(table(spark, root, "orders"), "o_orderpriority", "o_orderstatus", ["F", "O", "P"])
 
 
+@query("crosstab_typed", """
+    SELECT CASE WHEN grouping(o_orderpriority) = 1 THEN 'All' ELSE o_orderpriority END AS o_orderpriority,
+           count(*) FILTER (o_totalprice < 150000) AS "False", count(*) FILTER (o_totalprice >= 150000) AS "True", count(*) AS "All"
+    FROM orders GROUP BY ROLLUP (o_orderpriority)
+""")
+def crosstab_typed(spark, root):
+    rows = table(spark, root, "orders").withColumn("dear", F.col("o_totalprice") >= 150000)
+    return association.crosstab(rows, "o_orderpriority", "dear")
+
+
+@query("crosstab_large_numbers", """
+    SELECT CASE WHEN grouping(c_mktsegment) = 1 THEN 'All' ELSE c_mktsegment END AS c_mktsegment,
+           count(*) FILTER (c_nationkey % 3 = 0) AS "0.0", count(*) FILTER (c_nationkey % 3 = 1) AS "15000000.0",
+           count(*) FILTER (c_nationkey % 3 = 2) AS "30000000.0", count(*) AS "All"
+    FROM customer GROUP BY ROLLUP (c_mktsegment)
+""")
+def crosstab_large_numbers(spark, root):
+    rows = table(spark, root, "customer").withColumn("amount", (F.col("c_nationkey") % 3) * F.lit(1.5e7))
+    return association.crosstab(rows, "c_mktsegment", "amount")
+
+
+@query("crosstab_long", """
+    SELECT o_orderstatus, o_custkey, grouping(o_orderstatus) = 1 AS all_rows, grouping(o_custkey) = 1 AS all_columns, count(*) AS n
+    FROM orders GROUP BY CUBE (o_orderstatus, o_custkey)
+""")
+def crosstab_long(spark, root):
+    return association.crosstab_long(table(spark, root, "orders"), "o_orderstatus", "o_custkey")
+
+
+@query("decimal_modes", """
+    WITH c AS (SELECT ('20000000000000000000.0' || (s_suppkey % 7))::DECIMAL(38, 2) AS amount FROM supplier),
+    n AS (SELECT amount, count(*) AS n FROM c GROUP BY amount)
+    SELECT 'amount' AS variable, arg_min(amount, (-n, amount))::VARCHAR AS value, max(n) AS n, count(*) AS distinct_values FROM n
+""")
+def decimal_modes(spark, root):
+    text = F.concat(F.lit("20000000000000000000.0"), (F.col("s_suppkey") % 7).cast("string"))
+    rows = table(spark, root, "supplier").select(text.cast("decimal(38,2)").alias("amount"))
+    distinct = profile.distinct_counts(rows, ["amount"]).withColumnRenamed("distinct", "distinct_values")
+    return profile.column_modes(rows, ["amount"]).join(distinct, "variable")
+
+
+@query("describe_category", """
+    SELECT 'l_linenumber' AS variable, count(*) AS count, count(DISTINCT l_linenumber) AS "unique",
+           (SELECT l_linenumber::VARCHAR FROM lineitem GROUP BY l_linenumber ORDER BY count(*) DESC, l_linenumber LIMIT 1) AS top,
+           (SELECT count(*) FROM lineitem GROUP BY l_linenumber ORDER BY 1 DESC LIMIT 1) AS freq FROM lineitem
+""")
+def describe_category(spark, root):
+    from tabprep.operators.clean import mark_category
+
+    rows = mark_category(table(spark, root, "lineitem").select("l_linenumber"), ["l_linenumber"])
+    return profile.describe_all(rows).select("variable", "count", "unique", "top", "freq")
+
+
+@query("type_census", """
+    SELECT type, count(*) AS columns FROM (VALUES ('bigint'), ('bigint'), ('bigint'), ('category'), ('category'), ('category'), ('double'),
+        ('double'), ('double'), ('double'), ('timestamp_ntz')) AS t(type)
+    WHERE (SELECT count(*) FROM lineitem) > 0 GROUP BY type
+""")
+def type_census(spark, root):
+    from tabprep.operators.clean import mark_category
+
+    rows = mark_category(table(spark, root, "lineitem"), ["l_linenumber", "l_returnflag", "l_linestatus"])
+    return profile.type_census(rows)
+
+
 @query("crosstab_row_pct", """
     SELECT CASE WHEN p_size > 0 AND p_size <= 18 THEN '< 18' WHEN p_size <= 35 THEN '18-34' WHEN p_size <= 50 THEN '35-49' END AS band,
            round(100.0::DOUBLE * count(*) FILTER (p_type = 'PROMO') / count(*), 2) AS "PROMO",
