@@ -16,9 +16,10 @@ from tabprep.functions.summaries import as_double, plain, value_frequencies
 from tabprep.operators.joins import lookup
 from tabprep.operators.ordering import with_row_index
 from tabprep.operators.split import row_hash
+from tabprep.session import materialise
 from tabprep.sizing import SMALL_ROWS, collect_bounded, hinted, lookup_table
 
-# A wide one-hot table gets one column per level; beyond this use the sparse encoder.
+# A one-hot table gets one column per level up to this many levels, and one map column beyond.
 WIDE_LEVELS = 1_000
 # Ordered levels up to this many travel inside the expression; beyond it as a table.
 INLINE_LEVELS = 1_000
@@ -45,12 +46,18 @@ def _distinct_levels(df: DataFrame, cols: Sequence[str], limit: int, with_nulls:
 
 @dataclass(frozen=True)
 class OneHot:
-    """One double column per level, the first level dropped by default, originals removed."""
+    """One double column per level, the first level dropped by default, originals removed.
+
+    A column with more than WIDE_LEVELS levels becomes one column `<name>_onehot` instead, a map from the place of the
+    row's level among the kept ones to 1.0; it is empty for the dropped level. Levels are in the same order, NULL last.
+    """
 
     levels: dict[str, list]
     drop_first: bool = True
     unseen: str = "error"
     float_text: bool = False
+    tables: dict[str, tuple[DataFrame, bool]] = field(default_factory=dict)
+    null_places: dict[str, int | None] = field(default_factory=dict)
 
     def column_names(self) -> list[str]:
         return [f"{c}_{level_text(v, self.float_text)}" for c, v in self._kept()]
@@ -77,7 +84,22 @@ class OneHot:
             .alias(f"{c}_{level_text(v, self.float_text)}")
             for c, v in self._kept() if c in names
         ]
-        return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in names], *made)
+        df = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in names], *made)
+        for c in present(df, self.tables):
+            df = self._mapped(df, c)
+        return df
+
+    def _mapped(self, df: DataFrame, name: str) -> DataFrame:
+        table, small = self.tables[name]
+        met = lookup(df, table, name, "idx", "onehot__place", None, small)
+        place = F.when(F.col(name).isNull(), F.lit(self.null_places[name]).cast("bigint")).otherwise(F.col("onehot__place"))
+        if self.unseen == "error":
+            unseen = F.raise_error(F.concat(F.lit(f"unseen level in {name}: "), F.coalesce(F.col(name).cast("string"), F.lit("NULL"))))
+            place = F.coalesce(place, unseen.cast("bigint"))
+        kept = place - 1 if self.drop_first else place
+        empty = F.create_map().cast("map<bigint,double>")
+        cell = F.when(kept >= 0, F.create_map(kept, F.lit(1.0))).otherwise(empty)
+        return met.select(*[F.col(f"`{c}`") for c in df.columns if c != name], cell.alias(f"{name}_onehot"))
 
 
 def fit_one_hot(
@@ -88,9 +110,19 @@ def fit_one_hot(
     if not cols:
         return OneHot({}, drop_first, unseen, float_text)
     levels = _distinct_levels(df, cols, WIDE_LEVELS, with_nulls=True)
-    if levels is None:
-        raise ValueError(f"more than {WIDE_LEVELS} levels: use fit_one_hot_sparse")
-    return OneHot(levels, drop_first, unseen, float_text)
+    if levels is not None:
+        return OneHot(levels, drop_first, unseen, float_text)
+    levels, tables, nulls = {}, {}, {}
+    for c in cols:
+        few = _distinct_levels(df, [c], WIDE_LEVELS, with_nulls=True)
+        if few is not None:
+            levels |= few
+            continue
+        found = materialise(df.select(F.col(c).alias("level")).distinct())
+        indexed = with_row_index(found.where(F.col("level").isNotNull()), ["level"], "idx")
+        tables[c] = lookup_table(indexed)
+        nulls[c] = None if found.where(F.col("level").isNull()).isEmpty() else indexed.count()
+    return OneHot(levels, drop_first, unseen, float_text, tables, nulls)
 
 
 def fit_one_hot_sparse(df: DataFrame, cols: Sequence[str], drop_first: bool = True) -> PipelineModel:

@@ -114,9 +114,9 @@ def lookup(
     a hot level.
     """
     right = hinted(table.select(F.col(table_key).alias("lookup__key"), F.col(value).alias("lookup__value")), small)
-    filler = default if not isinstance(default, (int, float, str)) else F.lit(default)
+    filler = F.lit(default) if default is None or isinstance(default, (int, float, str)) else default
     found = df.join(right, F.col(key) == F.col("lookup__key"), "left")
     result = F.coalesce(F.col("lookup__value"), filler)
     if out in df.columns:
         return found.select(*[result.alias(out) if c == out else F.col(f"`{c}`") for c in df.columns])
-    return found.select(*df.columns, result.alias(out))
+    return found.select(*[F.col(f"`{c}`") for c in df.columns], result.alias(out))

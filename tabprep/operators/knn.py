@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tabprep.functions.columns import any_of, nan_to_null, present
 from tabprep.operators.neighbours import BOX_DONORS, CHUNK_QUERIES, nearest
 
-MAX_COLUMNS = 10  # patterns of missing cells double with every column
+MAX_COLUMNS = 62  # a pattern of missing cells is a bigint with one bit per column
 
 
 def key_column(keys: Sequence[str]) -> Column:
@@ -23,9 +23,9 @@ def key_column(keys: Sequence[str]) -> Column:
 
 def known_mask(cols: Sequence[str]) -> Column:
     """Bit j is set when column j of the row is known."""
-    out = F.lit(0)
+    out = F.lit(0).cast("bigint")
     for j, c in enumerate(cols):
-        out = out + F.when(F.col(c).isNotNull(), F.lit(1 << j)).otherwise(F.lit(0))
+        out = out + F.when(F.col(c).isNotNull(), F.lit(1 << j).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
     return out
 
 
@@ -123,17 +123,17 @@ class KnnModel:
 
 def _spaces(groups: dict[int, set[str]]) -> Column:
     """The spaces a row takes part in, by its pattern `mask`."""
-    entries = [x for mask, names in groups.items() for x in (F.lit(mask), F.array(*[F.lit(n) for n in sorted(names)]))]
+    entries = [x for mask, names in groups.items() for x in (F.lit(mask).cast("bigint"), F.array(*[F.lit(n) for n in sorted(names)]))]
     return F.create_map(*entries)[F.col("mask")]
 
 
 def _shared_mask() -> Column:
-    return F.split("space", ":")[1].cast("int")
+    return F.split("space", ":")[1].cast("bigint")
 
 
 def _shared_value(j: int, name: str) -> Column:
     """Column j where the row's space compares it, else NULL."""
-    return F.when(_shared_mask().bitwiseAND(1 << j) != 0, F.col(name))
+    return F.when(_shared_mask().bitwiseAND(F.lit(1 << j).cast("bigint")) != 0, F.col(name))
 
 
 def distinct_donors(donors: DataFrame, axes: Sequence[str | Column], k: int) -> DataFrame:

@@ -32,8 +32,19 @@ def test_one_hot_unseen_level(make):
 def test_one_hot_many_levels(spark, monkeypatch):
     monkeypatch.setattr(encode, "WIDE_LEVELS", 5)
     df = spark.range(6).select(F.col("id").cast("string").alias("s"))
-    with pytest.raises(ValueError, match="sparse"):
-        encode.fit_one_hot(df, ["s"])
+    df = df.withColumn("few", F.col("s") % 2).union(spark.createDataFrame([(None, 1.0)], "s string, few double"))
+    model = encode.fit_one_hot(df, ["s", "few"])
+    out = model.transform(df)
+    assert out.columns == ["few_1", "s_onehot"]
+    assert sorted(map(str, rows(out.select("s_onehot")))) == sorted(
+        ["({},)"] + [f"({{{i}: 1.0}},)" for i in range(6)])  # the first level is dropped, NULL comes last
+    everything = encode.fit_one_hot(df, ["s"], drop_first=False).transform(df.where("s is null"))
+    assert rows(everything.select("s_onehot")) == [({6: 1.0},)]
+    other = spark.createDataFrame([("z", 1.0)], "s string, few double")
+    with pytest.raises(Exception, match="unseen level in s: z"):
+        model.transform(other).collect()
+    assert rows(encode.fit_one_hot(df, ["s"], unseen="ignore").transform(other).select("s_onehot")) == [({},)]
+    df = df.where("s is not null")
     vectors = encode.fit_one_hot_sparse(df, ["s"]).transform(df).orderBy("s").select("s_vec").collect()
     assert [sum(v[0].toArray()) for v in vectors] == [0, 1, 1, 1, 1, 1]  # the first level is dropped
 
