@@ -13,8 +13,7 @@ from tabprep.operators.joins import join_groups, rename_overlap
 from tabprep.operators.profile import file_variables, variable_availability
 from tabprep.operators.stacking import stack, stack_long
 from tabprep.sources.dictionary import ID_COLUMN, readable_names
-from tabprep.sources.modules import discover_files, write_table
-from tabprep.sizing import local_table
+from tabprep.sources.modules import probe_tables, write_table
 
 SUBJECT = "subject_id"
 GLUCOSE = "glucose_value"
@@ -26,21 +25,10 @@ Modules = Mapping[tuple[str, str], DataFrame]
 
 
 def try_modules(spark: SparkSession, root: str) -> tuple[dict[tuple[str, str], DataFrame], DataFrame]:
-    """The readable tables below `root`, and (path, cycle, module, status, error) of all of them.
-
-    The listing has one row per module table; only schemas are read here. A bad table does not stop the run.
-    """
-    listed = discover_files(spark, root).select("path", "cycle", "module").orderBy("cycle", "module").collect()
-    tables, outcomes = {}, []
-    for f in listed:
-        status, error = "processed", None
-        try:
-            tables[f["cycle"], f["module"]] = spark.read.parquet(f["path"])
-        except Exception as failure:
-            status, error = "failed", str(failure)
-        outcomes.append((f["path"], f["cycle"], f["module"], status, error))
-    schema = "path string, cycle string, module string, status string, error string"
-    return tables, local_table(spark, outcomes, schema)
+    """The readable tables below `root` by (cycle, module), and the outcome of every table."""
+    _, outcomes = probe_tables(spark, root)
+    read = outcomes.where("status = 'processed'").orderBy("cycle", "module").collect()  # one row per module table
+    return {(f["cycle"], f["module"]): spark.read.parquet(f["path"]) for f in read}, outcomes
 
 
 def read_modules(spark: SparkSession, root: str) -> dict[tuple[str, str], DataFrame]:

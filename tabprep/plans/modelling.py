@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabprep.operators.ordering import SLICE, order_slices
+from tabprep.operators.scale import Scaler
 from tabprep.sizing import local_table
 
 LABEL_OUT = "model__label"
@@ -147,10 +148,13 @@ def write_metadata(table: DataFrame, path: str) -> None:
 
 
 def run_metadata(
-    spark: SparkSession, train_df: DataFrame, test_df: DataFrame, target: str, features: Sequence[str]
+    spark: SparkSession, train_df: DataFrame, test_df: DataFrame, target: str, features: Sequence[str],
+    scaler: Scaler | None = None,
 ) -> DataFrame:
-    """(section, name, value): shapes, class counts and feature names of a run, as a table to store."""
+    """(section, name, value): shapes, class counts, feature names and scaling figures of a run, as a table to store."""
     listed = [("feature", f, float(i)) for i, f in enumerate(features)]
+    for name, (mean, std) in (scaler.figures if scaler else {}).items():
+        listed += [("scale_mean", name, mean), ("scale_std", name, std)]
     listed += [("columns", "train", float(len(train_df.columns))), ("columns", "test", float(len(test_df.columns)))]
     out = local_table(spark, listed, "section string, name string, value double")
     for part, df in (("train", train_df), ("test", test_df)):

@@ -50,6 +50,19 @@ def run_together(spark: SparkSession, *queries: Callable[[], object]) -> list:
         return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(q)) for q in queries]]
 
 
+_tables: list[str] = []
+
+
+def remove_tables(spark: SparkSession) -> int:
+    """Delete the tables that `materialise` has written in this process; results that still read them are lost."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    removed = 0
+    while _tables:
+        path = jvm.org.apache.hadoop.fs.Path(_tables.pop())
+        removed += bool(path.getFileSystem(conf).delete(path, True))
+    return removed
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write `df` as a Parquet table below the checkpoint folder and read on from there.
 
@@ -59,4 +72,5 @@ def materialise(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _tables.append(path)
     return spark.read.schema(df.schema).parquet(path)

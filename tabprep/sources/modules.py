@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabprep.functions.columns import file_stem, parent_name, table_path
+from tabprep.sizing import local_table
 
 
 def read_table(spark: SparkSession, path: str, cols: Sequence[str] | None = None) -> DataFrame:
@@ -38,17 +39,37 @@ def discover_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> D
     )
 
 
-def read_tolerant(spark: SparkSession, root: str, merge_schema: bool = True) -> DataFrame:
-    """All module files of a tree in one scan, stacked by name, unreadable ones skipped.
+def probe_tables(spark: SparkSession, root: str) -> tuple[list[str], DataFrame]:
+    """The paths of the readable tables below `root`, and (path, cycle, module, status, error) of all of them.
 
-    Adds `cycle` and `module` from each file's place. The schema is merged over the readable files.
+    The listing has one row per module table; only file footers are read. A bad table does not stop the run.
     """
-    df = (
-        spark.read.option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true")
-        .option("mergeSchema", str(merge_schema).lower()).option("pathGlobFilter", "*.parquet").parquet(root)
-    )
+    listed = discover_files(spark, root).select("path", "cycle", "module").orderBy("cycle", "module").collect()
+    good, outcomes = [], []
+    for f in listed:
+        status, error = "processed", None
+        try:
+            spark.read.parquet(f["path"])
+            good.append(f["path"])
+        except Exception as failure:
+            status, error = "failed", str(failure)
+        outcomes.append((f["path"], f["cycle"], f["module"], status, error))
+    schema = "path string, cycle string, module string, status string, error string"
+    return good, local_table(spark, outcomes, schema)
+
+
+def read_tolerant(spark: SparkSession, root: str, merge_schema: bool = True) -> tuple[DataFrame | None, DataFrame]:
+    """All readable module tables of a tree in one scan, stacked by name, and the outcome of every table.
+
+    Unreadable tables are left out and listed with their errors; damage that only shows while rows are read fails the
+    query, so that no total is quietly short. Adds `cycle` and `module` from each file's place.
+    """
+    good, outcomes = probe_tables(spark, root)
+    if not good:
+        return None, outcomes
+    df = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(*good)
     path = table_path(F.col("_metadata.file_path"))
-    return df.select("*", parent_name(path).alias("cycle"), file_stem(path).alias("module"))
+    return df.select("*", parent_name(path).alias("cycle"), file_stem(path).alias("module")), outcomes
 
 
 def load_summary(outcomes: DataFrame, cycle_col: str = "cycle", status_col: str = "status") -> DataFrame:

@@ -32,7 +32,9 @@ def tree(make, tmp_path):
 def test_tolerant_read(spark, tree):
     listed = modules.discover_files(spark, tree).select("cycle", "module")
     assert sorted(rows(listed)) == [("2011-2012", "DEMO"), ("2013-2014", "BAD"), ("2013-2014", "BMX")]
-    out = modules.read_tolerant(spark, tree)
+    out, outcomes = modules.read_tolerant(spark, tree)
+    failed = {(r["cycle"], r["module"]): r["error"] for r in outcomes.collect() if r["status"] == "failed"}
+    assert list(failed) == [("2013-2014", "BAD")] and failed["2013-2014", "BAD"] and outcomes.count() == 3
     assert sorted(rows(out.select("SEQN", "RIDAGEYR", "BMXWT", "cycle", "module")), key=str) == [
         (1.0, 30.0, None, "2011-2012", "DEMO"), (2.0, 40.0, None, "2011-2012", "DEMO"), (3.0, None, 70.0, "2013-2014", "BMX")]
 
@@ -87,3 +89,13 @@ def test_skip_known_files(make):
 def test_work_list(spark):
     out = links.work_list(spark, ["c1", "c2"], ["A", "B"])
     assert rows(out, "seq") == [("c1", "A", 0), ("c1", "B", 1), ("c2", "A", 2), ("c2", "B", 3)]
+
+
+def test_written_tables_can_be_removed(spark):
+    import os
+
+    from tabprep.session import materialise, remove_tables
+
+    remove_tables(spark)
+    path = materialise(spark.range(5).toDF("x")).inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(path) and remove_tables(spark) == 1 and not os.path.exists(path) and remove_tables(spark) == 0

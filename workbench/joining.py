@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tabprep.operators import joins
-from tabprep.plans.consolidate import availability_report, consolidate_modules, stack_modules
+from tabprep.plans.consolidate import availability_report, consolidate, consolidate_modules, read_modules, stack_modules
+from tabprep.plans.harmonise import clean_module
+from tabprep.session import ensure_checkpoint_dir
+from tabprep.sizing import local_table
 from tabprep.sources import links, modules
 from workbench.cleaning import order_cycles
 from workbench.registry import query, table
@@ -103,6 +108,42 @@ def consolidate_cycles(spark, root):
     return wide.select("cycle", "subject_id", "triglycerides", "weight_kg", "glucose_value", "diabetes_risk")
 
 
+# Survey years in which the modules' variable names are valid.
+SURVEY_YEARS = {"1995-1996": "2015-2016", "1997-1999": "2017-2018", "2000-2001": "2021-2023"}
+
+
+@query("cycle_tree", """
+    WITH o AS (SELECT CASE WHEN year(o_orderdate) <= 1996 THEN '2015-2016' WHEN year(o_orderdate) <= 1999 THEN '2017-2018'
+                           ELSE '2021-2023' END AS cycle, o_orderkey::DOUBLE AS subject_id, o_totalprice AS tri,
+                      CASE WHEN year(o_orderdate) >= 1997 THEN o_custkey::DOUBLE END AS weight_kg FROM orders),
+    g AS (SELECT cycle, c_custkey::DOUBLE AS subject_id, c_acctbal / 1000 AS glucose_value
+          FROM customer, (VALUES ('2015-2016'), ('2017-2018'), ('2021-2023')) AS c(cycle))
+    SELECT 'row' AS kind, cycle, subject_id, tri, weight_kg, glucose_value, NULL AS note FROM o FULL JOIN g USING (cycle, subject_id)
+    UNION ALL SELECT 'refused', '2015-2016', NULL, NULL, NULL, NULL, 'SEQN not found'
+    UNION ALL SELECT 'refused', '2017-2018', NULL, NULL, NULL, NULL, 'no rows'
+""")
+def cycle_tree(spark, root):
+    """Raw module files, gated and harmonised into a second tree, consolidated into a third, read back."""
+    top = f"{ensure_checkpoint_dir(spark)}/tree-{uuid.uuid4().hex}"
+    raw = {(SURVEY_YEARS[cycle], module): df for (cycle, module), df in survey_modules(spark, root).items()}
+    one = next(iter(raw.values()))
+    raw["2015-2016", "NOID"] = one.drop("SEQN")
+    raw["2017-2018", "EMPTY"] = one.where(F.lit(False))
+    for (cycle, module), df in raw.items():
+        modules.write_table(df, f"{top}/raw/{cycle}/{module}.parquet")
+    refused = []
+    for (cycle, module), df in read_modules(spark, f"{top}/raw").items():
+        verdict = clean_module(df, cycle, f"{top}/clean/{cycle}/{module}.parquet")
+        if not verdict.ok:
+            refused.append((cycle, verdict.reason))
+    wide = consolidate(spark, f"{top}/clean", f"{top}/wide")
+    rows = wide.select(
+        F.lit("row").alias("kind"), F.col("cycle").cast("string").alias("cycle"), "subject_id", F.col("TRIGLY").alias("tri"), "weight_kg",
+        "glucose_value", F.lit(None).cast("string").alias("note"))
+    table_of = local_table(spark, refused, "cycle string, note string").withColumn("kind", F.lit("refused"))
+    return rows.unionByName(table_of, allowMissingColumns=True)
+
+
 @query("stack_modules", """
     WITH c(cycle) AS (VALUES ('1995-1996'), ('1997-1999'), ('2000-2001')),
     o AS (SELECT CASE WHEN year(o_orderdate) <= 1996 THEN '1995-1996' WHEN year(o_orderdate) <= 1999 THEN '1997-1999'

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tabprep.operators import encode, fill, impute, resample, scale, split
@@ -13,6 +14,7 @@ from tabprep.plans import modelling
 from tabprep.plans.prepare import PreparePlan
 from tabprep.plans.store import load_model, save_model
 from tabprep.session import ensure_checkpoint_dir, materialise
+from tabprep.sizing import local_table
 from tabprep.streaming.apply import module_stream, write_prepared
 from workbench.profiling import ORDER_GAPS, labelled_documents, order_gaps
 from workbench.registry import ORACLES, query, rounded, table
@@ -521,16 +523,44 @@ def train_forest(spark, root):
         F.count(F.lit(1)).alias("support"), ((found >= 0) & (found <= 1)).alias("is_share"))
 
 
+@query("forest_importance", """
+    SELECT unnest(['chars', 'words']) AS feature, count(*) > 0 AS is_share, true AS sums_to_one FROM labels
+""")
+def forest_importance(spark, root):
+    training, _ = split_text(spark, root)
+    model = modelling.train(training, "quality", ["chars", "words"], "random_forest", numTrees=100)
+    shares = modelling.importances(spark, model, ["chars", "words"])
+    total = F.sum("importance").over(Window.partitionBy())
+    return shares.select("feature", F.col("importance").between(0, 1).alias("is_share"), (F.abs(total - 1) < 1e-9).alias("sums_to_one"))
+
+
+@query("cross_validated", """
+    SELECT unnest(range(3)) AS setting, count(*) > 0 AS is_share, true AS best_is_one_of_them FROM labels
+""")
+def cross_validated(spark, root):
+    """Three folds over a grid, boosted trees: the area of every setting."""
+    training, _ = split_text(spark, root)
+    validated = modelling.cross_validate(training, "quality", ["chars", "words"], "boosted_trees", {"maxDepth": [2, 3, 5]}, maxIter=5)
+    areas = list(enumerate(map(float, validated.avgMetrics)))
+    best = max(a for _, a in areas)
+    rows = local_table(spark, areas, "setting bigint, area double")
+    return rows.select("setting", F.col("area").between(0, 1).alias("is_share"),
+                       F.lit(any(a == best for _, a in areas)).alias("best_is_one_of_them"))
+
+
 @query("run_metadata", """
     WITH h AS (SELECT doc_id, quality, md5('42:' || doc_id) AS h FROM labels),
     r AS (SELECT *, row_number() OVER (PARTITION BY quality ORDER BY h, doc_id) AS rn, count(*) OVER (PARTITION BY quality) AS n FROM h),
-    s AS (SELECT quality, CASE WHEN rn <= round(n * 0.8) THEN 'train' ELSE 'test' END AS part FROM r)
+    s AS (SELECT doc_id, quality, CASE WHEN rn <= round(n * 0.8) THEN 'train' ELSE 'test' END AS part FROM r)
     SELECT 'class_' || part AS section, quality::VARCHAR AS name, count(*)::DOUBLE AS value FROM s GROUP BY ALL
     UNION ALL SELECT 'rows', part, count(*)::DOUBLE FROM s GROUP BY ALL
+    UNION ALL SELECT 'scale_mean', 'doc_id', round(avg(doc_id::DOUBLE), 4) FROM s WHERE part = 'train'
+    UNION ALL SELECT 'scale_std', 'doc_id', round(stddev_pop(doc_id::DOUBLE), 4) FROM s WHERE part = 'train'
     UNION ALL SELECT * FROM (VALUES ('columns', 'train', 2.0::DOUBLE), ('columns', 'test', 2.0::DOUBLE), ('feature', 'doc_id', 0.0::DOUBLE))
 """)
 def run_metadata(spark, root):
     labels = table(spark, root, "labels").select("doc_id", "quality")
     marked = split.fit_split(labels, "quality", "doc_id").transform(labels)
     parts = [marked.where(F.col("split") == p).drop("split") for p in ("train", "test")]
-    return modelling.run_metadata(spark, *parts, "quality", ["doc_id"])
+    scaler = scale.fit_scaler(parts[0], ["doc_id"])
+    return rounded(modelling.run_metadata(spark, *parts, "quality", ["doc_id"], scaler))
