@@ -11,7 +11,8 @@ language and n-gram, so a hot language shuffles no more than a rare one. The mod
 is one scan of whole texts.
 
 Defined cases: a null text, or one without a letter, is `und` with score 0 and flagged; so is every text if there is
-nothing to learn from; rows without a language are not learned from; repeated texts get equal results; an empty table
+nothing to learn from; rows without a language, and languages whose texts have no letter, are not learned; repeated texts
+get equal results; an empty table
 gives no rows.
 """
 
