@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabprep.functions.summaries import as_double, summarise, wide_to_rows
+from tabprep.session import materialise
 from tabprep.sizing import ONE_TASK_BYTES, fits_one_task, hinted, lookup_table
 
 SKETCH_ACCURACY = 100_000
@@ -53,9 +54,9 @@ def _direct(slim: DataFrame, cols: list[str], probs: list[float], by: list[str])
 
 
 def _bracketed(
-    slim: DataFrame, cols: list[str], probs: list[float], by: list[str], one_task_rows: int, accuracy: int
+    slim: DataFrame, cols: list[str], probs: list[float], by: list[str], one_task_rows: int, accuracy: int, widening: int = 1
 ) -> DataFrame:
-    margin = BRACKET_MARGIN / accuracy
+    margin = BRACKET_MARGIN * widening / accuracy
     edges = [x for p in probs for x in (max(0.0, p - margin), min(1.0, p + margin))]
     sketch = slim.groupBy(*by).agg(
         *[F.percentile_approx(F.col(c), edges, accuracy).alias(f"e__{i}") for i, c in enumerate(cols)],
@@ -94,9 +95,19 @@ def _bracketed(
         row = brackets.select(F.struct("*").alias("s")).scalar()
         marked = slim.withColumn("s", row).select(*cols, "s.*")
 
-    below = marked.groupBy(*by).agg(
-        *[F.count_if(F.col(cols[i]) < F.col(f"a__{i}_{j}")).alias(f"below__{i}_{j}") for i, j in slots]
-    )
+    below = materialise(marked.groupBy(*by).agg(
+        *[F.count_if(F.col(cols[i]) < F.col(f"a__{i}_{j}")).alias(f"below__{i}_{j}") for i, j in slots],
+        *[F.count_if(F.col(cols[i]) <= F.col(f"b__{i}_{j}")).alias(f"upto__{i}_{j}") for i, j in slots],
+        *[F.max(F.col(f"n__{i}")).alias(f"n__{i}") for i in range(len(cols))],
+    ))
+    # A sketch may be off by more than it promises; then wider brackets are tried, which end at the whole range.
+    missed = F.lit(False)
+    for i, j in slots:
+        at = F.lit(probs[j]) * (F.col(f"n__{i}") - 1)
+        missed = missed | ((F.col(f"n__{i}") > 0) & (
+            (F.floor(at) < F.col(f"below__{i}_{j}")) | (F.ceil(at) >= F.col(f"upto__{i}_{j}"))))
+    if not below.where(missed).isEmpty():
+        return _bracketed(slim, cols, probs, by, one_task_rows, accuracy, widening * 16)
     inside = [
         F.when(
             F.col(cols[i]).between(F.col(f"a__{i}_{j}"), F.col(f"b__{i}_{j}")),
@@ -147,10 +158,7 @@ def _bracketed(
         F.max(F.when((first <= F.col("r2")) & (F.col("r2") < F.col("upto")), F.col("v"))).alias("v2"),
         F.max("frac").alias("frac"),
     )
-    # A wanted rank outside its bracket would break the sketch's guarantee: fail instead of guessing.
-    value = F.when(
-        F.col("v1").isNull() | F.col("v2").isNull(), F.raise_error(F.lit("quantile bracket missed its rank"))
-    ).otherwise(F.col("v1") * (1 - F.col("frac")) + F.col("v2") * F.col("frac"))
+    value = F.col("v1") * (1 - F.col("frac")) + F.col("v2") * F.col("frac")
     values = matched(targets, picked.select(*keys, value.cast("double").alias("value")), "left")
     names = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("ci") + 1)
     return (

@@ -79,18 +79,23 @@ def value_text(df: DataFrame, value: str) -> Column:
     return F.coalesce(*[F.col(value)[f.name].cast("string") for f in df.schema[value].dataType.fields])
 
 
+def long_values(df: DataFrame, cols: Sequence[str], *keep: Column) -> DataFrame:
+    """One row per row and column: (keep..., variable, value, known); `value` is a value struct."""
+    fields = _value_fields(df, cols)
+    entries = F.array(*[
+        F.struct(F.lit(c).alias("variable"), _as_value(df, c, fields).alias("value"), F.col(c).isNotNull().alias("known"))
+        for c in cols
+    ])
+    return df.select(*keep, F.inline(entries))
+
+
 def value_frequencies(df: DataFrame, cols: Sequence[str], with_nulls: bool = False) -> DataFrame:
     """(variable, value, n) for all columns in one scan; `value` is a value struct.
 
     Counting is partially aggregated before the shuffle, so a value held by a third of the rows costs one row per
     task, and the table is spread by (variable, value) however many distinct values there are.
     """
-    fields = _value_fields(df, cols)
-    entries = F.array(*[
-        F.struct(F.lit(c).alias("variable"), _as_value(df, c, fields).alias("value"), F.col(c).isNotNull().alias("known"))
-        for c in cols
-    ])
-    long = df.select(F.inline(entries))
+    long = long_values(df, cols)
     if not with_nulls:
         long = long.where("known")
     return long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabprep.functions.columns import present
-from tabprep.functions.summaries import as_double, plain, value_frequencies
+from tabprep.functions.summaries import as_double, long_values, plain, value_field, value_frequencies
 from tabprep.operators.joins import lookup
 from tabprep.operators.ordering import with_row_index
 from tabprep.operators.split import row_hash
@@ -215,15 +215,23 @@ def fit_target(
     """Level tables of `(n * mean + m * overall) / (n + m)`. A missing target column leaves the data unchanged."""
     if target not in df.columns:
         return TargetMean(None, {})
-    t, overall, tables = as_double(target), None, {}
-    for c in present(df, cols):
-        # One scan per column: the missing level is counted too, so the overall mean comes from the same small table.
-        sums = df.groupBy(F.col(c).alias("level")).agg(F.sum(t).alias("total"), F.count(t).alias("n")).where("n > 0")
-        sums, small = lookup_table(sums, table_rows)
-        overall = sums.agg(F.try_divide(F.sum("total"), F.sum("n"))).first()[0]
-        mean = F.try_divide(F.col("total"), F.col("n"))
-        encoded = smoothed(mean, F.col("n"), F.lit(overall).cast("double"), smoothing).alias("encoded")
-        tables[c] = (sums.where(F.col("level").isNotNull()).select("level", encoded), small)
+    cols = present(df, cols)
+    if not cols:
+        return TargetMean(None, {})
+    # One scan and one shuffle for all columns. The missing level is counted too, so that the levels of any one column
+    # add up to the overall mean.
+    long = long_values(df, cols, as_double(target).alias("t"))
+    sums = materialise(
+        long.groupBy("variable", "value").agg(F.sum("t").alias("total"), F.count("t").alias("n")).where("n > 0"))
+    overall = sums.where(F.col("variable") == cols[0]).agg(F.try_divide(F.sum("total"), F.sum("n"))).first()[0]
+    mean = F.try_divide(F.col("total"), F.col("n"))
+    encoded = smoothed(mean, F.col("n"), F.lit(overall).cast("double"), smoothing).alias("encoded")
+    tables = {}
+    for c in cols:
+        kind = df.schema[c].dataType
+        level = F.col("value")[value_field(kind)].cast(kind)
+        levels = sums.where((F.col("variable") == c) & level.isNotNull()).select(level.alias("level"), encoded)
+        tables[c] = lookup_table(levels, table_rows)
     return TargetMean(overall, tables)
 
 

@@ -29,6 +29,15 @@ def test_against_numpy(data, options):
         assert q == pytest.approx(list(np.nanquantile(columns[name], PROBS)), abs=1e-9)
 
 
+def test_missed_brackets_are_widened(data, monkeypatch):
+    monkeypatch.setattr("tabprep.functions.quantiles.BRACKET_MARGIN", 1e-3)
+    df, group, columns = data
+    found = {(r["g"], r["variable"]): r["q"] for r in exact_quantiles(
+        df, list(columns), PROBS, by=["g"], **{**BRACKETED, "accuracy": 20}).collect()}
+    for (g, name), q in found.items():
+        assert q == pytest.approx(list(np.nanquantile(columns[name][group == g], PROBS)), abs=1e-9)
+
+
 @pytest.mark.parametrize("options", [{"one_task_bytes": 1 << 62}, {**BRACKETED, "accuracy": 100}, {}])
 def test_groups(data, options):
     df, group, columns = data
