@@ -26,8 +26,7 @@ def test_query(spark, db, name):
     df = queries()[name](spark, ROOT)
     plan = plan_of(df)
     assert "CartesianProduct" not in plan
-    # The dictionary join on year ranges is the one join without an equality; its small side is fixed.
-    assert "BroadcastNestedLoopJoin" not in plan or name == "valid_variables"
+    assert "BroadcastNestedLoopJoin" not in plan
     verdict, _ = compare(spark, db, ROOT, name, lambda *_: df, oracle_sql().get(name))
     assert verdict.startswith(("ok", "rows-only")), verdict
 

@@ -391,17 +391,24 @@ def boxplot_stats(spark, root):
     return rounded(outliers.box_plot_figures(table(spark, root, "events"), ["value"], by=["event_type"]))
 
 
-@query("outlier_summary", f"""
-    {_FENCES}, {_Z},
-    t AS (SELECT quantile_cont(l_tax, 0.25) AS a, quantile_cont(l_tax, 0.75) AS b FROM lineitem)
-    SELECT 'value' AS variable, count(*) FILTER (value < lo OR value > hi) AS iqr_outliers,
-           round(100.0::DOUBLE * count(*) FILTER (value < lo OR value > hi) / count(*), 4) AS iqr_pct,
-           count(*) FILTER (abs((value - m) / sd) > 3) AS z_outliers,
-           round(100.0::DOUBLE * count(*) FILTER (abs((value - m) / sd) > 3) / count(*), 4) AS z_pct
-    FROM events, f, s
+# One variable is flagged by both methods, one by the fences alone, one by the z-score alone, one by neither.
+@query("outlier_summary", """
+    WITH x AS (SELECT value, (event_id % 5 = 0)::INT::DOUBLE AS fifth,
+                      CASE WHEN event_id % 1000 = 0 THEN 3.5 WHEN event_id % 2 = 0 THEN 1 ELSE -1 END::DOUBLE AS sides, user_id::DOUBLE AS user_id
+               FROM events),
+    l AS (UNPIVOT x ON value, fifth, sides, user_id INTO NAME variable VALUE v),
+    f AS (SELECT variable, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3, avg(v) AS m, stddev_pop(v) AS sd FROM l GROUP BY variable),
+    c AS (SELECT variable, count(*) AS n, count(*) FILTER (v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1)) AS i,
+                 count(*) FILTER (abs((v - m) / sd) > 3) AS z FROM l JOIN f USING (variable) GROUP BY variable)
+    SELECT variable, nullif(i, 0) AS iqr_outliers, CASE WHEN i > 0 THEN round(100.0::DOUBLE * i / n, 4) END AS iqr_pct,
+           nullif(z, 0) AS z_outliers, CASE WHEN z > 0 THEN round(100.0::DOUBLE * z / n, 4) END AS z_pct FROM c WHERE i > 0 OR z > 0
 """)
 def outlier_summary(spark, root):
-    events, cols = table(spark, root, "events"), ["value", "user_id"]
+    number = F.col("event_id")
+    sides = F.when(number % 1000 == 0, 3.5).when(number % 2 == 0, 1.0).otherwise(-1.0)
+    events = table(spark, root, "events").select(
+        "value", (number % 5 == 0).cast("double").alias("fifth"), sides.alias("sides"), "user_id")
+    cols = ["value", "fifth", "sides", "user_id"]
     return rounded(outliers.outlier_summary(
         outliers.iqr_outliers(events, cols), outliers.zscore_outliers(events, cols)))
 
