@@ -36,6 +36,12 @@ def work_list(spark: SparkSession, cycles: Sequence[str], modules: Sequence[str]
     return local_table(spark, rows, "cycle string, module string, seq int")
 
 
+def work_list_of(cycles: DataFrame, cycle_col: str, modules: Sequence[str]) -> DataFrame:
+    """S9 from a table: every distinct cycle in it with every module code."""
+    found = cycles.select(F.col(cycle_col).cast("string").alias("cycle")).where("cycle is not null").distinct()
+    return found.select("cycle", F.explode(F.array(*[F.lit(m) for m in modules])).alias("module"))
+
+
 def harvest_links(
     pages: DataFrame,
     codes: Sequence[str],

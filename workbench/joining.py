@@ -221,8 +221,7 @@ def load_summary(spark, root):
     SELECT cycle, module FROM c, (VALUES ('DEMO'), ('BMX'), ('BPX')) AS m(module)
 """)
 def work_list(spark, root):
-    cycles = [r[0] for r in table(spark, root, "orders").select("o_orderpriority").distinct().collect()]  # five values
-    return links.work_list(spark, sorted(cycles), ["DEMO", "BMX", "BPX"]).select("cycle", "module")
+    return links.work_list_of(table(spark, root, "orders"), "o_orderpriority", ["DEMO", "BMX", "BPX"])
 
 
 @query("discover_files")
