@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.text import SPACES, WORD, let, others, quoted, whole, with_outputs, words_of
+from tabprep.llm.text import WORD, let, others, quoted, whole, with_outputs, words_of
 
 SYMBOLS = "#*$%&|<>"
 # What a page frame or a notice says, lower case.
@@ -43,6 +43,7 @@ class Limits:
 
 SEPARATOR = r"(^|[\x20\x09-\x0D])[|»›•·]+(?=[\x20\x09-\x0D]|$)"
 MARKED = r"(?:[#$%&*^~=<>|+]{2,}|!{2,}|\?{3,})"
+MARKS = "[#$%&*^~=<>|+!?]"  # without one of these nothing is marked
 TERMINAL = "[.!?…:;。！？][\"'”’»)\\]]*[\\x20\\x09-\\x0D]*$"
 LETTER = r"\p{L}"
 PLAIN = r"[\p{L}\p{N}]"
@@ -84,7 +85,7 @@ def line_fails(line: Column, limits: Limits = Limits()) -> Column:
     several_words = line.rlike(f"(?:{WORD}[\\x20\\x09-\\x0D]+){{{limits.short_line - 1}}}{WORD}")
     navigation = line.rlike("[|»›•·]") & (separators >= limits.separators) & (separators >= n * limits.separator_share)
     menu = ~several_words & ~line.rlike(TERMINAL)
-    punctuation = line.rlike(MARKED) & (marked >= 2) & (marked >= n * limits.marked_share) | ~line.rlike(PLAIN)
+    punctuation = line.rlike(MARKS) & (marked >= 2) & (marked >= n * limits.marked_share) | ~line.rlike(PLAIN)
 
     def boilerplate(low: Column) -> Column:
         return reduce(lambda a, b: a | b, [F.contains(low, F.lit(phrase)) for phrase in BOILERPLATE])
@@ -92,8 +93,13 @@ def line_fails(line: Column, limits: Limits = Limits()) -> Column:
     return line.rlike(WORD) & (navigation | menu | punctuation | let(F.lower(line), boilerplate))
 
 
-def word_chars(text: Column) -> Column:
-    return F.length(F.translate(text, SPACES, "")).cast("bigint")
+def word_chars(words: Column) -> Column:
+    return F.length(F.array_join(words, "")).cast("bigint")
+
+
+def symbols(text: Column) -> Column:
+    found = F.length(text) - F.length(F.translate(text, SYMBOLS, ""))
+    return F.when(text.rlike(f"[{SYMBOLS}]"), found).otherwise(F.lit(0)).cast("bigint")
 
 
 OUTPUTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "clean_text", "lost_share", "kept")
@@ -109,17 +115,22 @@ def _judged(df: DataFrame, text_col: str, limits: Limits) -> DataFrame:
     staged = with_outputs(
         staged,
         rules__n_words=F.size("rules__words").cast("bigint"),
-        rules__word_chars=word_chars(F.col("rules__text")),
-        rules__n_symbols=(F.length("rules__text") - F.length(F.translate("rules__text", SYMBOLS, ""))).cast("bigint"),
+        rules__word_chars=word_chars(F.col("rules__words")),
+        rules__n_symbols=symbols(F.col("rules__text")),
         rules__n_dup_lines=let(spoken, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint"),
         rules__n_repeat_words=repeated_words(F.col("rules__windows")),
-        rules__clean_text=F.array_join(F.filter(lines, lambda x: ~line_fails(x, limits)), "\n"),
+        rules__kept_lines=F.filter(lines, lambda x: ~line_fails(x, limits)),
     )
+    untouched = F.size("rules__kept_lines") == F.size("rules__lines")
+    staged = with_outputs(
+        staged, rules__clean_text=F.when(untouched, F.col("rules__text")).otherwise(F.array_join("rules__kept_lines", "\n")),
+        rules__left=F.when(untouched, F.col("rules__word_chars")).otherwise(
+            word_chars(words_of(F.array_join("rules__kept_lines", "\n")))))
     n, total = F.col("rules__n_words"), F.col("rules__word_chars")
     staged = with_outputs(
         staged,
         rules__base_failed=(n < limits.min_words) | (F.col("rules__n_repeat_words") * 100 > n * limits.max_repeat_percent),
-        rules__lost_share=F.when(total > 0, 1 - word_chars(F.col("rules__clean_text")) / total).otherwise(0.0),
+        rules__lost_share=F.when(total > 0, 1 - F.col("rules__left") / total).otherwise(0.0),
     )
     return with_outputs(staged, rules__kept=~F.col("rules__base_failed") & (F.col("rules__lost_share") <= limits.max_lost))
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 # A word is a run of characters other than space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
-SPACES = " \t\n\x0b\x0c\r"
 
 
 def quoted(name: str) -> Column:
