@@ -96,11 +96,14 @@ class PreparedModel:
             staged = self.knn.transform(staged)
         return self.plan.finish(self.modes.transform(self.medians.transform(staged)))
 
-    def transform(self, df: DataFrame, keep_ids: bool = False) -> DataFrame:
-        """Steps 1 to 10. Without nearest-neighbour columns it is row-local and also takes a stream."""
+    def transform(self, df: DataFrame, keep_ids: bool = False, keep_keys: bool = False) -> DataFrame:
+        """Steps 1 to 10. Without nearest-neighbour columns it is row-local and also takes a stream.
+
+        Ids and keys are dropped unless kept; `keep_keys` keeps the keys that are no ids, such as the cycle.
+        """
         imputed = self.impute(self.plan.stage(df))
         if not keep_ids:
-            imputed = drop_ids(imputed, [*self.plan.id_columns, *self.plan.keys])
+            imputed = drop_ids(imputed, [*self.plan.id_columns, *([] if keep_keys else self.plan.keys)])
         return self.encoders.transform(imputed)
 
 
