@@ -26,6 +26,7 @@ from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -34,7 +35,8 @@ from pyspark.sql import types as T
 
 from tabprep.llm.text import others, quoted, whole
 
-MEMO = 1_000_000
+MEMO = 400_000
+ROWS = 500
 # A queue entry has the place in its lower bits; a piece has fewer symbols than that.
 SHIFT = 40
 PLACE = (1 << SHIFT) - 1
@@ -212,7 +214,8 @@ def _column(name: str, encoded: list[bytes], decoded: list[str]) -> pa.Array:
     if name == "n_tokens":
         return pa.array([len(i) // 4 for i in encoded], pa.int64())
     if name == "ids":
-        return pa.array([unpacked(i) for i in encoded], KINDS["ids"][1])
+        ends = np.cumsum([0, *[len(i) // 4 for i in encoded]], dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(encoded), "<i4").astype(np.int32)))
     if name == "decoded":
         return pa.array(decoded, pa.string())
     if name == "ids_sha256":
@@ -220,6 +223,13 @@ def _column(name: str, encoded: list[bytes], decoded: list[str]) -> pa.Array:
     return pa.array([hashlib.sha256(d.encode()).hexdigest() for d in decoded], pa.string())
 
 
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose texts and ids take little memory as Python objects."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, ROWS):
+            yield batch.slice(begin, ROWS)
+
+
 def encode(df: DataFrame, text_col: str = "text", path: str | None = None, out: Sequence[str] = ("ids",)) -> DataFrame:
     """Add any of `ids`, `n_tokens`, `decoded` and the SHA-256 digests `ids_sha256` and `decoded_sha256`."""
     sent = df.sparkSession.sparkContext.broadcast(read_definition(path))
@@ -230,7 +240,7 @@ def encode(df: DataFrame, text_col: str = "text", path: str | None = None, out:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(sent.value)
-        for batch in batches:
+        for batch in _small(batches):
             encoded = [tokenizer.encode(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
             decoded = [tokenizer.decode_packed(i) for i in encoded] if with_text else []
             columns = [*batch.columns[:-1], *[_column(n, encoded, decoded) for n in out]]
@@ -247,7 +257,7 @@ def decode(df: DataFrame, ids_col: str = "ids", path: str | None = None, out: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(sent.value)
-        for batch in batches:
+        for batch in _small(batches):
             texts = [tokenizer.decode(ids) for ids in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=schema.names)
 
