@@ -144,5 +144,7 @@ def judge(df: DataFrame, text_col: str = "text", limits: Limits = Limits()) -> D
 def clean(df: DataFrame, text_col: str = "text", limits: Limits = Limits()) -> DataFrame:
     """The kept documents with their cleaned text; columns as in `df`, `n_chars` follows the text where there is one."""
     changed = {text_col: F.col("rules__clean_text"), "n_chars": F.length("rules__clean_text").cast("bigint")}
-    judged = _judged(df, text_col, limits).where("rules__kept")
+    # A filter is not moved below a projection with a row number, where it would compute all rules a second time.
+    judged = _judged(df, text_col, limits).withColumn("rules__row", F.monotonically_increasing_id())
+    judged = judged.where(F.col("rules__kept") & (F.col("rules__row") >= 0))
     return judged.select(*[(changed[c] if c in changed else quoted(c)).alias(c) for c in df.columns])
