@@ -205,7 +205,7 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
         F.xxhash64("label", "dim", "shard").alias("shard"), (F.col("shard") != F.col("own")).alias("foreign"),
         "node", "weight", "vector")
     n_shards = dealt.agg(F.sum("shards")).first()[0] or 1
-    parts = int(min(n_shards, 20_000))
+    parts = int(min(4 * n_shards, 20_000))  # more than shards, so that two of them seldom share a task
     sent = asked.repartitionByRange(parts, "shard").sortWithinPartitions("shard", "foreign")
     answers = materialise(sent.mapInArrow(_shard_task(search), "node bigint, links bigint, tie bigint"))
 
