@@ -5,9 +5,12 @@ copies cost nothing further and still count as links. The classes of a label are
 by a hash; each shard is one task that builds a graph (`hnsw.py`) over its classes and searches it for every class of
 the label: first its own, then, in a stream, those of the other shards.
 
-Searches start with beams of `beam`. Before it answers, the shard audits itself: for `audit` of its classes the links
-found are held against an exact scan of the shard, and beams double until `recall` of them are found. A search whose
-whole beam lies within the threshold is repeated with a wider one, until the beam reaches past the links; when a beam
+Searches start with beams of `beam`. Before it answers, the shard audits itself: its classes are drawn at random until
+`linked` of them have a link to another class or none is left, their links are found by an exact scan, and beams double
+until the mean share that a class with links finds reaches `recall`. Searches from other shards are audited alike as they
+arrive: up to `foreign` of them are drawn until `linked` have a link, `audit` of every batch after that, and the batch is
+answered with the beam that the audited ones need; batches answered before are not searched again. A search whose whole
+beam lies within the threshold is repeated with a wider one, until the beam reaches past the links; when a beam
 would hold a good part of the shard, the shard is scanned exactly instead. All links are verified in double precision.
 
 A task returns one row per searched class (number of links, its nearest tie) and ties to the local component's root, so
@@ -47,6 +50,8 @@ class Search:
     beam: int = 32
     audit: int = 256
     recall: float = 0.995
+    linked: int = 200
+    foreign: int = 10_000
 
 
 def usable(vector: Column, label: Column) -> Column:
@@ -63,20 +68,47 @@ class Shard:
         self.norm = np.linalg.norm(vectors, axis=1)
         self.graph = Graph(vectors / self.norm[:, None])
         self.beam = search.beam
-        self._audit()
-
-    def _audit(self) -> None:
-        """Widen the beam until a sample finds its links."""
-        n = len(self.wide)
-        picked = np.arange(0, n, max(1, n // self.search.audit))
-        exact = list(self._scan(self.wide[picked]))
-        total = sum(len(j) for _, j in exact)
-        while total and not self._whole(self.beam):
-            found = sum(len(j) for _, j in self._links(self.wide[picked], self.beam))
-            if found >= self.search.recall * total:
+        self.asked = 0  # searches of other shards drawn so far
+        self.pools = {True: [], False: []}  # own and other classes with links: (vector, own place or -1, number of links)
+        self.audit(vectors, True)
+
+    def audit(self, vectors: np.ndarray, own: bool) -> None:
+        """Draw vectors until enough of them have links, and widen the beam until theirs are found."""
+        if self._whole(self.beam):
+            return
+        n, pool = len(vectors), self.pools[own]
+        if own:
+            most = n
+        elif len(pool) < self.search.linked and self.asked < self.search.foreign:
+            most = max(self.search.foreign - self.asked, self.search.audit)
+        else:
+            most = self.search.audit
+        drawn = np.random.default_rng(n).permutation(n)[:most]
+        for begin in range(0, len(drawn), self.search.audit):
+            # What is drawn beyond the first ones only serves to fill the pool.
+            if begin and len(pool) >= self.search.linked:
+                break
+            picked = drawn[begin:begin + self.search.audit]
+            place = picked if own else np.full(len(picked), -1)
+            total = self._tally(self._scan(vectors[picked]), place)
+            pool += [(vectors[picked[k]], place[k], total[k]) for k in np.flatnonzero(total)]
+            self.asked += 0 if own else len(picked)
+        del pool[:-2 * max(self.search.linked, self.search.audit)]
+        if not pool:
+            return
+        sample, place, total = (np.array(x) for x in zip(*pool))
+        while not self._whole(self.beam):
+            if (self._tally(self._links(sample, self.beam), place) / total).mean() >= self.search.recall:
                 break
             self.beam *= 2
 
+    def _tally(self, links, place: np.ndarray) -> np.ndarray:
+        """How many links each vector has, the one to itself left out."""
+        total = np.zeros(len(place), np.int64)
+        for i, j in links:
+            np.add.at(total, i, place[i] != j)
+        return total
+
     def _whole(self, beam: int) -> bool:
         return beam * 4 >= len(self.wide)
 
@@ -124,6 +156,8 @@ def _answers(shard: Shard, node, weight, ask_node, ask_vectors, own: bool, label
     """One row per searched class: its links' weight; and ties that join its component."""
     total = np.zeros(len(ask_node), np.int64)
     a, b = [], []
+    if not own:
+        shard.audit(ask_vectors, False)
     for i, j in shard.links(ask_vectors):
         if own:
             i, j = i[i != j], j[i != j]

@@ -86,6 +86,63 @@ def test_beams_widen_past_dense_groups():
     assert (found[:40] == near[:40].sum(axis=1)).all()
 
 
+def paired(n, dim, pairs, seed):
+    """Scattered vectors, few of which have one partner."""
+    rng = np.random.default_rng(seed)
+    vectors = rng.normal(size=(n, dim))
+    vectors[n - pairs:] = vectors[:pairs] + 0.05 * rng.normal(size=(pairs, dim))
+    return vectors
+
+
+def short_sighted(monkeypatch):
+    """Searches that find a vector itself at any beam, and others only from 64 on."""
+    nearest = hnsw.Graph.nearest
+
+    def search(self, queries, beam):
+        ids, sims = nearest(self, queries, beam)
+        return (ids, sims) if beam >= 64 else (ids, np.where(sims > 1 - 1e-6, sims, np.float32(-2)))
+
+    monkeypatch.setattr(hnsw.Graph, "nearest", search)
+
+
+def test_audit_leaves_links_to_itself_out(monkeypatch):
+    short_sighted(monkeypatch)
+    vectors = paired(3000, 24, 3, 7)
+    shard = embed_dedup.Shard(vectors, embed_dedup.Search(beam=16))
+    near = plain_links(vectors)
+    assert near.sum() == 6 and shard.beam == 64
+    found = np.zeros_like(near)
+    for i, j in shard.links(vectors):
+        found[i, j] = True
+    np.fill_diagonal(found, False)
+    assert (found == near).all()
+
+
+def test_audit_weighs_vectors_not_links(monkeypatch):
+    nearest = hnsw.Graph.nearest
+    dense = clustered(200, 24, 1, 0.03, 8)
+    vectors = np.concatenate([dense, paired(3800, 24, 60, 9)])
+
+    def search(self, queries, beam):
+        ids, sims = nearest(self, queries, beam)
+        blind = (queries @ dense[0] / np.linalg.norm(dense[0]) < 0.9) & (beam < 64)
+        return ids, np.where(blind[:, None] & (sims < 1 - 1e-6), np.float32(-2), sims)
+
+    monkeypatch.setattr(hnsw.Graph, "nearest", search)
+    assert embed_dedup.Shard(vectors, embed_dedup.Search(beam=16)).beam >= 64
+
+
+def test_searches_of_other_shards_are_audited(monkeypatch):
+    short_sighted(monkeypatch)
+    vectors = paired(4000, 24, 20, 10)
+    here, there = vectors[:3900], vectors[3900:]  # no two here are near
+    shard = embed_dedup.Shard(here, embed_dedup.Search(beam=16))
+    assert shard.beam == 16
+    place = np.arange(len(here))
+    answers = embed_dedup._answers(shard, place, np.ones(len(here), np.int64), 5000 + np.arange(100), there, False, place.copy())
+    assert sum(answers.column(1).to_pylist()) == 20
+
+
 # Quality ----------------------------------------------------------------------------------------------------------------
 
 def test_quality_held_out(spark):
