@@ -16,7 +16,8 @@ hold a suffix array of the whole table, so equal strings are first brought toget
 A passage that many documents share has many different runs at its edges, where the neighbouring text takes part. Such
 anchors are found in a sample of about SAMPLE documents (SHARE of them); their strings are sent singly, by a hash of the
 string itself, so that copies are settled within batches and no anchor gathers a share of all rows. The sample only
-chooses the route; either way finds the same repeats.
+chooses the route; either way finds the same repeats. After the meeting the bytes of every anchor's different runs are
+counted; if some exceed CHUNK, stages 1 and 2 are repeated with the strings of those anchors sent singly too.
 
 Hashes are 64 bits and compared only within an anchor; the anchor adds another 64.
 
@@ -340,11 +341,29 @@ def _numbered(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Dat
     return rows, once
 
 
+def _met(docs: DataFrame, length: int, hot: np.ndarray) -> DataFrame:
+    runs = docs.mapInArrow(_runs_task(length, hot), RUNS)
+    return materialise(runs.repartition("key").mapInArrow(_meeting_task(length), ROWS))
+
+
+def _large_anchors(met: DataFrame, length: int) -> np.ndarray:
+    """Anchors whose different runs do not fit into one suffix array, ascending; each stands for over CHUNK bytes."""
+    size = met.where("key is not null").groupBy("key").agg(F.sum(F.col("number") + length - 1).alias("size"))
+    found = size.where(F.col("size") > CHUNK).select("key").toPandas()
+    return np.sort(found["key"].to_numpy(np.int64).view(np.uint64))
+
+
+def _gathered(docs: DataFrame, length: int) -> DataFrame:
+    """Stages 1 and 2, again with the strings of large anchors sent singly if there are any."""
+    hot = _hot_anchors(docs, length)
+    met = _met(docs, length, hot)
+    large = _large_anchors(met, length)
+    return _met(docs, length, np.union1d(hot, large)) if len(large) else met
+
+
 def repeated_stretches(docs: DataFrame, length: int = 100) -> DataFrame:
     """(doc, start, end) of stretches to remove; they may overlap. `docs` has unique numbers `doc` and `text`."""
-    hot = _hot_anchors(docs, length)
-    runs = docs.mapInArrow(_runs_task(length, hot), RUNS)
-    met = materialise(runs.repartition("key").mapInArrow(_meeting_task(length), ROWS))
+    met = _gathered(docs, length)
     unclear = met.where("key is not null")
     wanted = unclear.groupBy("doc").agg(F.collect_list(F.struct("key", "start", "number")).alias("runs"))
     pieces = docs.join(wanted, "doc").select("doc", "text", "runs").mapInArrow(

@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tabprep.llm import bpe, graph, gray, simhash, suffix, suffix_dedup
 from tests.llm.brute import kept_bytes
@@ -62,6 +63,19 @@ def test_suffix_dedup(docs, monkeypatch):
     hold_dedup(suffix_dedup.dedup(table).collect(), texts, {i: i for i in texts})
 
 
+def test_no_anchor_outgrows_a_chunk(docs, monkeypatch):
+    # One passage between different edges, in too few documents to count as hot.
+    passage = sentence(40, 900)[:160]
+    texts = {i: sentence(12, i) + passage + sentence(12, 500 + i) for i in range(40)}
+    table = docs([(i, t, "en", "a") for i, t in texts.items()])
+    plain = table.select(F.col("doc_id").alias("doc"), "text")
+    assert len(suffix_dedup._hot_anchors(plain, 100)) == 0
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 2_000)
+    assert len(suffix_dedup._large_anchors(suffix_dedup._met(plain, 100, np.empty(0, np.uint64)), 100))
+    assert len(suffix_dedup._large_anchors(suffix_dedup._gathered(plain, 100), 100)) == 0
+    hold_dedup(suffix_dedup.dedup(table).collect(), texts, {i: i for i in texts})
+
+
 def test_suffix_dedup_small_chunks():
     from pyarrow import RecordBatch, array, binary
 
