@@ -2,7 +2,8 @@
 
 First stage: only suffixes smaller than their successors are sorted directly, seven characters at a time and only where
 they still tie. Second stage: buckets are scanned in character order, and the suffixes before those scanned that are
-larger than their successors follow from the scan. Comparisons stop at DEPTH characters, more than any string asked for.
+larger than their successors follow from the scan. Comparisons stop at a depth that the caller sets; `repeats` takes the
+strings' length, rounded up to whole words.
 """
 
 from __future__ import annotations
@@ -10,12 +11,16 @@ from __future__ import annotations
 import numpy as np
 
 PACK, BITS = 7, 9  # characters in a machine word, bits of a character: a byte plus one, zero separates texts
-DEPTH = 105
+DEPTH = 105  # where the caller sets none
 
 
-def _packed(t: np.ndarray) -> np.ndarray:
+def _depth(length: int) -> int:
+    return -(-length // PACK) * PACK
+
+
+def _packed(t: np.ndarray, depth: int = DEPTH) -> np.ndarray:
     """For each place its next seven characters as one number."""
-    padded = np.concatenate([t, np.zeros(DEPTH + PACK, t.dtype)]).astype(np.uint64)
+    padded = np.concatenate([t, np.zeros(depth + PACK, t.dtype)]).astype(np.uint64)
     out = np.zeros(len(padded), np.uint64)
     for k in range(PACK):
         out[:len(out) - k] |= padded[k:] << np.uint64(BITS * (PACK - 1 - k))
@@ -33,8 +38,8 @@ def _smaller_than_next(t: np.ndarray) -> np.ndarray:
     return up[np.minimum.accumulate(next_[::-1])[::-1]]
 
 
-def _sort_directly(places: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Sort suffixes by their first DEPTH characters, one word at a time among those that tie so far."""
+def _sort_directly(places: np.ndarray, words: np.ndarray, depth: int) -> np.ndarray:
+    """Sort suffixes by their first `depth` characters, one word at a time among those that tie so far."""
     first = words[places]
     order = np.argsort(first, kind="stable")
     places, first = places[order], first[order]
@@ -44,7 +49,7 @@ def _sort_directly(places: np.ndarray, words: np.ndarray) -> np.ndarray:
     open_[tie] = open_[tie + 1] = True
     at = np.flatnonzero(open_)
     label = group[at]
-    for offset in range(PACK, DEPTH, PACK):
+    for offset in range(PACK, depth, PACK):
         if not len(at):
             break
         word = words[places[at] + offset]
@@ -58,13 +63,13 @@ def _sort_directly(places: np.ndarray, words: np.ndarray) -> np.ndarray:
     return places
 
 
-def suffix_array(t: np.ndarray, words: np.ndarray | None = None) -> np.ndarray:
-    """Places of all suffixes of `t` (characters 1 to 256, 0 between texts), sorted by DEPTH characters at least."""
+def suffix_array(t: np.ndarray, words: np.ndarray | None = None, depth: int = DEPTH) -> np.ndarray:
+    """Places of all suffixes of `t` (characters 1 to 256, 0 between texts), sorted by `depth` characters at least."""
     if not len(t):
         return np.empty(0, np.int64)
-    words = _packed(t) if words is None else words
+    words = _packed(t, depth) if words is None else words
     direct = _smaller_than_next(t)
-    sorted_ = _sort_directly(np.flatnonzero(direct), words)
+    sorted_ = _sort_directly(np.flatnonzero(direct), words, depth)
     top = 1 << BITS
     first = t[sorted_]
     cuts = np.searchsorted(first, np.arange(top + 1))
@@ -105,8 +110,9 @@ def repeats(texts: list[bytes], starts: np.ndarray, length: int) -> np.ndarray:
     """Class of equal strings of `length` bytes from the given places of the joined texts (one place apart)."""
     joined = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.uint16) + 1
     joined[np.cumsum([len(x) + 1 for x in texts]) - 1] = 0
-    words = _packed(joined)
-    order = suffix_array(joined, words)
+    depth = _depth(length)
+    words = _packed(joined, depth)
+    order = suffix_array(joined, words, depth)
     asked = np.full(len(joined), -1, np.int64)
     asked[starts] = np.arange(len(starts))
     who = asked[order]

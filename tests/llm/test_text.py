@@ -30,6 +30,16 @@ def test_suffix_array_order(seed):
     assert all(a <= b for a, b in zip(keys, keys[1:]))
 
 
+@pytest.mark.parametrize("length", [100, 106, 150, 300])
+def test_repeats_of_any_length(length):
+    # Strings that differ only in their last characters, in turns.
+    start = sentence(80, 7).encode()[:length - 3]
+    texts = [start + end for end in (b"abc", b"abd", b"xbc") * 10]
+    starts = np.arange(len(texts)) * (length + 1)
+    classes = suffix.repeats(texts, starts, length)
+    assert len(set(classes)) == 3 and len(set(zip(texts, classes))) == 3
+
+
 def hostile_documents():
     """Passages shared at edges and inside, repeats within a document, periods, binary-like and multi-byte text."""
     random.seed(5)
