@@ -53,11 +53,15 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]{12,}"),
     Rule("hex", r"[0-9a-f]{32,}"),
 )
+# A key's body: up to its END line where only what keys hold stands before it, else as far as lines of base64 go. Breaks may
+# be written as \n. Loops over groups are bounded, since Java's need stack; 400 lines are more than any key has.
+KEY_BODY = (r"(?:[A-Za-z0-9+/=\\:,\x20\t\r\n-]*?-----END [A-Z ]*PRIVATE KEY-----"
+            r"|(?:(?:[\x20\t\r\n]|\\[rn]){0,8}[A-Za-z0-9+/]{16,}={0,2}){1,400})?")
 FURTHER = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----" + KEY_BODY),
 )
 RULES = BASE + FURTHER
 
