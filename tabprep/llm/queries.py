@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabprep.llm import (
-    bpe, embed_dedup, language, mixing, quality_model, quality_rules, secret_scan, sharding, simhash, suffix_dedup,
+    alignment, bpe, embed_dedup, hamming_index, infill, language, mixing, quality_model, quality_rules, secret_scan, sharding, simhash,
+    suffix_dedup,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -193,3 +194,38 @@ def op10_secret_scan(spark, root):
         F.sha2(secret_scan.joined(base), 256).alias("base_sha256"),
         secret_scan.joined(F.col("spans")).alias("spans"),
     )
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark, root):
+    docs = read(spark, root, "documents").select("doc_id", "text")
+    out = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    return alignment.align(docs, out=out).select("doc_id", *out)
+
+
+@query("op12_fill_in_middle", r"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || doc_id::VARCHAR) AS h FROM documents),
+    u AS (SELECT doc_id, text, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS units,
+                 list_transform([1, 9, 17, 25], lambda i: ('0x' || h[i:i + 7])::BIGINT) AS draw FROM d),
+    n AS (SELECT *, len(units)::BIGINT AS n, draw[1] % (len(units) + 1) AS x, draw[2] % (len(units) + 1) AS y,
+                 CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                           OR draw[3] % 100 >= 100 THEN 'plain'
+                      WHEN draw[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM u),
+    p AS (SELECT *, array_to_string(units[1:least(x, y)], '') AS prefix,
+                 array_to_string(units[least(x, y) + 1:greatest(x, y)], '') AS middle,
+                 array_to_string(units[greatest(x, y) + 1:], '') AS suffix FROM n)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+                  ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+           sha256(text) AS restored_sha256 FROM p
+""")
+def op12_fill_in_middle(spark, root):
+    docs = read(spark, root, "documents").select("doc_id", "text")
+    out = ("n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+    return infill.fill_in_middle(docs, out=out).select("doc_id", *out)
+
+
+@query("op13_nearest_neighbours")
+def op13_nearest_neighbours(spark, root):
+    return hamming_index.nearest(read(spark, root, "embeddings"), F.col("id") % 20 == 0)
