@@ -27,6 +27,8 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -42,22 +44,27 @@ SAMPLE_VALUES = 4_000_000  # numbers the sample may hold
 LENGTHS = 8  # vector lengths for which rotations are learned, the most frequent; others get random directions
 TURNS = 20  # of the rotation's fit
 PROBES = 400  # rows of the sample whose neighbours show how far codes stray
+WORTHWHILE = 256  # values worth a step
+PROBE_COST = 8  # looking a value up costs as much as comparing with so many
 NORM_STEPS = 4  # norm bands per doubling
 
 
+KINDS = {8: np.uint8, 16: np.uint16, 32: np.uint32, 64: np.uint64}
+
+
 @dataclass(frozen=True)
 class Search:
     k: int = 20
     bits: int = 256
-    chunk: int = 16
+    chunk: int = 64
     sample: int = 20_000
     inside: float = 0.98
     slice_rows: int = 32_768
     block_rows: int = 4_096
 
     def __post_init__(self):
-        if self.bits % 64 or self.chunk not in (8, 16) or self.k < 1:
-            raise ValueError("bits must be a multiple of 64, chunks of 8 or 16 bits, k positive")
+        if self.bits % 64 or self.chunk not in KINDS or self.k < 1:
+            raise ValueError("bits must be a multiple of 64, chunks of 8, 16, 32 or 64 bits, k positive")
 
 
 # Codes ------------------------------------------------------------------------------------------------------------------
@@ -111,6 +118,12 @@ def slack_of(x: np.ndarray, turn: np.ndarray, search: Search) -> float:
     return max(2.0, float(np.quantile(np.concatenate(stray), search.inside)))
 
 
+@lru_cache(maxsize=64)
+def _flips(chunk: int, step: int) -> np.ndarray:
+    """All values with `step` of `chunk` bits set."""
+    return np.array([sum(1 << b for b in bits) for bits in combinations(range(chunk), step)], KINDS[chunk])
+
+
 # The index of a slice ----------------------------------------------------------------------------------------------------
 
 class Tables:
@@ -120,7 +133,7 @@ class Tables:
         self.x, self.code, self.weight, self.search, self.slack = vectors, code, weight, search, slack
         norm = np.linalg.norm(vectors, axis=1)
         self.least, self.most = norm.min(), norm.max()
-        self.kind = np.uint16 if search.chunk == 16 else np.uint8
+        self.kind = KINDS[search.chunk]
         parts = code.view(self.kind)
         self.parts = parts.shape[1]
         values, members, begin, self.table = [], [], [], [0]
@@ -133,13 +146,6 @@ class Tables:
             self.table.append(self.table[-1] + len(value))
         self.values, self.members = np.concatenate(values), np.concatenate(members)
         self.begin = np.r_[np.concatenate(begin), len(self.members)]
-        # Place of every value of every table among the values, or -1.
-        self.place = np.full((self.parts, 1 << search.chunk), -1, np.int32)
-        for t in range(self.parts):
-            self.place[t, values[t]] = np.arange(self.table[t], self.table[t + 1])
-        flips = np.arange(1 << search.chunk).astype(self.kind)
-        far = np.bitwise_count(flips)
-        self.flips = [flips[far == r] for r in range(search.chunk + 1)]
 
     def radius(self, floor: float, size: float) -> int:
         """Codes within it hold all but the stated share of the vectors whose product reaches `floor`; -1 where none can."""
@@ -156,42 +162,65 @@ class Tables:
         size = float(np.linalg.norm(q))
         given = floor > -math.inf
         limit = self.radius(floor, size)
-        chunks, near = code.view(self.kind), None
         seen = np.zeros(len(self.code), bool)
         found, product = np.empty(0, np.int64), np.empty(0)
-        waiting = np.empty(0, np.int64)  # candidates met whose whole code lies beyond the radius so far
-        for step in range(self.search.chunk + 1):
-            if limit < step * self.parts:
-                break
-            if 2 * len(self.flips[step]) * self.parts < len(self.values):
-                place = self.place[np.arange(self.parts)[:, None], chunks[:, None] ^ self.flips[step][None, :]].ravel()
-                place = place[place >= 0]
-            else:
-                if near is None:
-                    near = np.bitwise_count(self.values ^ np.repeat(chunks, np.diff(self.table)))
-                place = np.flatnonzero(near == step)
+        waiting, distance = np.empty(0, np.int64), np.empty(0, np.int64)  # met, but beyond the radius so far
+        shells = self._shells(code.view(self.kind))
+        # With a floor the radius is known, and all its values are asked at once.
+        step = min(self.search.chunk, limit // self.parts) if given else 0
+        while limit >= 0:
+            place, step = shells(step, given)
             count = self.begin[place + 1] - self.begin[place]
             member = self.members[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - self.begin[place], count)]
             fresh = np.zeros(len(seen), bool)
             fresh[member] = True
-            fresh &= ~seen
-            seen |= fresh
-            waiting = np.r_[waiting, np.flatnonzero(fresh)]
+            fresh = np.flatnonzero(fresh & ~seen)
+            seen[fresh] = True
+            waiting, distance = np.r_[waiting, fresh], np.r_[distance, apart(self.code[fresh], code)]
             whole = min(limit, (step + 1) * self.parts - 1)  # every code within it has been met
-            inside = apart(self.code[waiting], code) <= whole
-            new, waiting = waiting[inside], waiting[~inside]
-            found, product = np.r_[found, new], np.r_[product, self.x[new] @ q]
-            if not given or len(found) > need:
+            inside = distance <= whole
+            new, waiting, distance = waiting[inside], waiting[~inside], distance[~inside]
+            if len(new):
+                found, product = np.r_[found, new], np.r_[product, self.x[new] @ q]
                 keep, bar = self._best(found, product, need, size)
                 found, product = found[keep], product[keep]
                 if bar > floor:
                     floor = bar
                     limit = min(limit, self.radius(floor, size))
-            if whole >= limit:
+            if whole >= limit or step >= self.search.chunk:
                 break
+            step += 1
         keep = product >= floor - self._noise(size)
         return found[keep], product[keep]
 
+    def _shells(self, chunks: np.ndarray):
+        """Places of the values at distance `step` from the query's substrings, or up to it; and the distance reached."""
+        ranked = cuts = None
+
+        def at(step: int, upto: bool) -> tuple[np.ndarray, int]:
+            nonlocal ranked, cuts
+            if ranked is None and math.comb(self.search.chunk, step) * self.parts * PROBE_COST <= len(self.values) and not (upto and step):
+                flips, places = _flips(self.search.chunk, step), []
+                for t in range(self.parts):
+                    values = self.values[self.table[t]:self.table[t + 1]]
+                    wanted = chunks[t] ^ flips
+                    met = np.searchsorted(values, wanted)
+                    met = met[values[np.minimum(met, len(values) - 1)] == wanted]
+                    places.append(met + self.table[t])
+                return np.concatenate(places), step
+            if upto:
+                return np.flatnonzero(np.bitwise_count(self.values ^ np.repeat(chunks, np.diff(self.table))) <= step), step
+            if ranked is None:
+                near = np.bitwise_count(self.values ^ np.repeat(chunks, np.diff(self.table)))
+                ranked = np.argsort(near, kind="stable")
+                cuts = np.searchsorted(near[ranked], np.arange(self.search.chunk + 2))
+            # As many further distances as double what has been met, so that sparse ones cost no step each.
+            reached = int(np.searchsorted(cuts[1:], 2 * cuts[step] + WORTHWHILE))
+            reached = min(max(step, reached), self.search.chunk)
+            return ranked[cuts[step]:cuts[reached + 1]], reached
+
+        return at
+
     def _noise(self, size: float) -> float:
         return 1e-12 * size * self.most
 
