@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabprep.functions.columns import any_of, nan_to_null, present
-from tabprep.operators.neighbours import BOX_DONORS, CHUNK_QUERIES, nearest
-
-MAX_COLUMNS = 62  # a pattern of missing cells is a bigint with one bit per column
+from tabprep.operators.gap_neighbours import nearest_for_gaps
+from tabprep.operators.neighbours import BOX_DONORS, CHUNK_QUERIES
+from tabprep.session import materialise
 
 
 def key_column(keys: Sequence[str]) -> Column:
@@ -21,14 +21,6 @@ def key_column(keys: Sequence[str]) -> Column:
     return F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
 
 
-def known_mask(cols: Sequence[str]) -> Column:
-    """Bit j is set when column j of the row is known."""
-    out = F.lit(0).cast("bigint")
-    for j, c in enumerate(cols):
-        out = out + F.when(F.col(c).isNotNull(), F.lit(1 << j).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
-    return out
-
-
 @dataclass(frozen=True)
 class KnnModel:
     """I1. Donors are the fit rows; means back up rows that share no coordinate with any donor."""
@@ -36,7 +28,7 @@ class KnnModel:
     cols: list[str]
     k: int
     donors: DataFrame | None
-    pattern_rows: dict[int, int] = field(default_factory=dict)
+    rows: int = 0
     means: dict[str, float | None] = field(default_factory=dict)
     box_donors: int = BOX_DONORS
     chunk_queries: int = CHUNK_QUERIES
@@ -48,13 +40,8 @@ class KnnModel:
         df = df.withColumns(kinds)
         # Rows that know some of the columns, but not all, look for neighbours. Rows that know none get the means.
         gaps = any_of([F.col(c).isNull() for c in self.cols]) & any_of([F.col(c).isNotNull() for c in self.cols])
-        marks = df.where(gaps).groupBy(known_mask(self.cols).alias("mask")).agg(
-            F.approx_count_distinct(F.xxhash64(*self.cols)).alias("n")
-        ).collect()  # one row per pattern
-        found = self._imputed(df.where(gaps), {r["mask"]: r["n"] for r in marks})
         with_means = {c: F.coalesce(F.col(c), F.lit(self.means[c]).cast("double")) for c in self.cols}
-        if found is None:
-            return df.withColumns(with_means)
+        found = self._imputed(df.where(gaps))
         # All other rows pass by without a shuffle; only rows with a gap meet their results.
         names = {f"id__{j}": c for j, c in enumerate(self.cols)}
         on = [F.col(i).eqNullSafe(F.col(c)) for i, c in names.items()]
@@ -66,74 +53,26 @@ class KnnModel:
         filled = joined.select(*[values[c].alias(c) if c in values else F.col(f"`{c}`") for c in df.columns])
         return df.where(~gaps).withColumns(with_means).unionByName(filled)
 
-    def _imputed(self, rows: DataFrame, patterns: dict[int, int]) -> DataFrame | None:
-        """(id__j..., imp__j...): one row per distinct row with gaps."""
+    def _imputed(self, rows: DataFrame) -> DataFrame:
+        """(id__j..., imp__j...): one row per distinct row with gaps. Rows that are equal are searched once."""
         bits = range(len(self.cols))
-        pairs = [
-            (donor, query) for donor in self.pattern_rows for query in patterns if donor & query and donor & ~query
-        ]
-        if not pairs:
-            return None
-        name = {(d, q): f"{d}:{d & q}" for d, q in pairs}
-        used = {name[p]: [j for j in bits if (p[0] & p[1]) >> j & 1] for p in pairs}
-        donor_rows = {name[d, q]: self.pattern_rows[d] for d, q in pairs}
-        query_rows: dict[str, int] = {}
-        donor_spaces: dict[int, set[str]] = {}
-        query_spaces: dict[int, set[str]] = {}
-        for d, q in pairs:
-            query_rows[name[d, q]] = query_rows.get(name[d, q], 0) + patterns[q]
-            donor_spaces.setdefault(d, set()).add(name[d, q])
-            query_spaces.setdefault(q, set()).add(name[d, q])
         ids, values = [f"id__{j}" for j in bits], [f"v__{j}" for j in bits]
-        placed = self.donors.withColumn("space", F.explode(_spaces(donor_spaces))).drop("mask")
-        donors = distinct_donors(placed, [_shared_value(j, f"v__{j}") for j in bits], self.k)
-        distinct_rows = rows.select(
-            known_mask(self.cols).alias("mask"), *[F.col(c).alias(f"id__{j}") for j, c in enumerate(self.cols)]
-        ).distinct()
-        queries = distinct_rows.withColumn("space", F.explode(_spaces(query_spaces))).drop("mask")
-        found = nearest(donors, queries, values, ids, used, donor_rows, query_rows, self.k, "key",
-                        self.box_donors, self.chunk_queries)
-        return self._combine(found, ids)
-
-    def _combine(self, found: DataFrame, ids: list[str]) -> DataFrame:
-        """Merge the spaces: k nearest per missing cell, weighted by inverse distance."""
-        shared = F.bit_count(_shared_mask())
-        distance = F.sqrt(F.col("square") * (F.lit(float(len(self.cols))) / shared))
-        cells = F.array(*[
-            F.when(F.col(f"id__{j}").isNull() & F.col(f"v__{j}").isNotNull(),
-                   F.struct(F.lit(j).alias("j"), F.col(f"v__{j}").alias("v")))
-            for j in range(len(self.cols))
-        ])
-        long = found.withColumn("distance", distance).select(
-            *ids, "key", "distance", F.explode(F.filter(cells, lambda c: c.isNotNull())).alias("cell")
-        )
-        nearest_first = Window.partitionBy(*ids, "cell.j").orderBy("distance", "key")
-        chosen = long.withColumn("rank", F.row_number().over(nearest_first)).where(F.col("rank") <= self.k)
-        d, v = F.col("distance"), F.col("cell.v")
+        distinct_rows = rows.select(*[F.col(c).alias(f"id__{j}") for j, c in enumerate(self.cols)]).distinct()
+        # Writing the table fixes the numbers.
+        queries = materialise(distinct_rows.withColumn("query", F.monotonically_increasing_id()))
+        donors = self.donors.where(any_of([F.col(v).isNotNull() for v in values]))
+        donors = distinct_donors(donors.withColumn("space", F.lit(0)), values, self.k).drop("space")
+        asked = queries.withColumnsRenamed(dict(zip(ids, values)))
+        found = nearest_for_gaps(donors, asked, values, "key", "query", self.rows, queries.count(), self.k,
+                                 self.box_donors, self.chunk_queries)
+        d, v = F.col("distance"), F.col("value")
         weight = F.try_divide(F.lit(1.0), d)
         weighted = F.try_divide(F.sum(v * weight), F.sum(weight))
         exact = F.avg(F.when(d == 0, v))
-        per_cell = chosen.groupBy(*ids, F.col("cell.j").alias("j")).agg(
-            F.when(F.min(d) == 0, exact).otherwise(weighted).alias("value")
-        )
-        return per_cell.groupBy(*ids).agg(*[
-            F.max(F.when(F.col("j") == j, F.col("value"))).alias(f"imp__{j}") for j in range(len(self.cols))
-        ])
-
-
-def _spaces(groups: dict[int, set[str]]) -> Column:
-    """The spaces a row takes part in, by its pattern `mask`."""
-    entries = [x for mask, names in groups.items() for x in (F.lit(mask).cast("bigint"), F.array(*[F.lit(n) for n in sorted(names)]))]
-    return F.create_map(*entries)[F.col("mask")]
-
-
-def _shared_mask() -> Column:
-    return F.split("space", ":")[1].cast("bigint")
-
-
-def _shared_value(j: int, name: str) -> Column:
-    """Column j where the row's space compares it, else NULL."""
-    return F.when(_shared_mask().bitwiseAND(F.lit(1 << j).cast("bigint")) != 0, F.col(name))
+        per_cell = found.groupBy("query", "cell").agg(F.when(F.min(d) == 0, exact).otherwise(weighted).alias("imputed"))
+        wide = per_cell.groupBy(F.col("query").alias("found__query")).agg(
+            *[F.max(F.when(F.col("cell") == j, F.col("imputed"))).alias(f"imp__{j}") for j in bits])
+        return queries.join(wide, F.col("query") == F.col("found__query")).select(*ids, *[f"imp__{j}" for j in bits])
 
 
 def distinct_donors(donors: DataFrame, axes: Sequence[str | Column], k: int) -> DataFrame:
@@ -153,22 +92,13 @@ def fit_knn(
     box_donors: int = BOX_DONORS,
     chunk_queries: int = CHUNK_QUERIES,
 ) -> KnnModel:
-    """One report query: rows and sums per pattern of known cells. `keys` identify rows and break distance ties."""
+    """One report query: rows and means. `keys` identify rows and break distance ties."""
     cols = present(df, cols)
     if not cols:
         return KnnModel([], k, None)
-    if len(cols) > MAX_COLUMNS:
-        raise ValueError(f"at most {MAX_COLUMNS} columns")
     values = [nan_to_null(F.col(c).cast("double")).alias(f"v__{j}") for j, c in enumerate(cols)]
     donors = df.select(key_column(keys).alias("key"), *values)
     names = [f"v__{j}" for j in range(len(cols))]
-    donors = donors.withColumn("mask", known_mask(names))
-    rows = donors.groupBy("mask").agg(
-        F.count(F.lit(1)).alias("n"), *[F.sum(v).alias(v) for v in names], *[F.count(v).alias(f"n{v}") for v in names]
-    ).collect()  # one row per pattern
-    means = {}
-    for c, v in zip(cols, names):
-        total, n = sum(r[v] or 0.0 for r in rows), sum(r[f"n{v}"] for r in rows)
-        means[c] = total / n if n else None
-    patterns = {r["mask"]: r["n"] for r in rows if r["mask"]}
-    return KnnModel(cols, k, donors, patterns, means, box_donors, chunk_queries)
+    figures = donors.agg(F.count(F.lit(1)).alias("rows"), *[F.avg(v).alias(v) for v in names]).first()
+    means = {c: figures[v] for c, v in zip(cols, names)}
+    return KnnModel(cols, k, donors, figures["rows"], means, box_donors, chunk_queries)

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabprep.operators import impute
+from tabprep.operators.gap_neighbours import GapTree, nearest_per_cell
 from tabprep.operators.knn import fit_knn
 from tests.conftest import by, rows
 
@@ -58,7 +59,7 @@ def brute(fit, new, k):
 
 
 def frame(spark, values):
-    names = "abcdefgh"[: values.shape[1]]
+    names = "abcdefghijklmnop"[: values.shape[1]]
     data = [(i, *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(values)]
     return spark.createDataFrame(data, "id long, " + ", ".join(f"{n} double" for n in names)), list(names)
 
@@ -131,3 +132,50 @@ def test_infinity_free_distance(make):
     df = make([(1, 0.0, 1.0), (2, float("nan"), 5.0)], "id int, a double, b double")
     assert [r["a"] for r in fit_knn(df, ["a", "b"], ["id"]).transform(df).orderBy("id").collect()] == [0.0, 0.0]
     assert df.where(F.isnan("a")).count() == 1
+
+
+def scattered(rows, width, seed, share=0.3):
+    """Correlated columns with nearly as many patterns of gaps as rows."""
+    rng = np.random.default_rng(seed)
+    values = rng.normal(size=(rows, 3)) @ rng.normal(size=(3, width)) + 0.3 * rng.normal(size=(rows, width))
+    values[rng.random(values.shape) < share] = np.nan
+    return values
+
+
+@pytest.mark.parametrize("rows, width, box, chunk", [(300, 8, 2048, 16384), (300, 8, 20, 40), (500, 12, 30, 70), (400, 3, 10, 30)])
+def test_many_patterns_equal_brute_force(spark, rows, width, box, chunk):
+    values = scattered(rows, width, rows + width)
+    if width > 3:
+        assert len({tuple(r) for r in np.isnan(values)}) > rows // 3
+    df, names = frame(spark, values)
+    got = cells(fit_knn(df, names, ["id"], 5, box, chunk).transform(df), names)
+    assert got == pytest.approx(brute(values, values, 5), abs=1e-9)
+
+
+def test_tree_bounds_never_exceed_a_distance():
+    values = scattered(900, 6, 3)
+    tree = GapTree.build(values, 30, 5)
+    assert tree.boxes > 20
+    box = tree.locate(values, donors=True)
+    queries = scattered(60, 6, 4)
+    shared = ~np.isnan(queries)[:, None, :] & ~np.isnan(values)[None, :, :]
+    square = np.where(shared, np.nan_to_num(queries)[:, None, :] - np.nan_to_num(values)[None, :, :], 0) ** 2
+    with np.errstate(all="ignore"):
+        distance = square.sum(axis=2) * 6 / shared.sum(axis=2)
+    for radius in (0.0, 0.5, 3.0, np.inf):
+        row, met = tree.touched(queries, np.full(60, radius))
+        pairs = set(zip(row.tolist(), met.tolist()))
+        assert len(pairs) == len(row)
+        q, d = np.nonzero((distance <= radius) & shared.any(axis=2))
+        assert {(i, box[j]) for i, j in zip(q.tolist(), d.tolist())} <= pairs
+    row, _ = tree.touched(queries, np.full(60, 0.05))
+    assert len(row) < 60 * tree.boxes  # small radii leave boxes out
+
+
+def test_ties_and_distant_values_are_settled_exactly():
+    # Values far from zero, where a matrix product alone would round, and many donors at one distance.
+    donors = np.array([[1e8 + (n % 7), float(n)] for n in range(200)])
+    queries = np.array([[1e8 + 3.0, np.nan], [1e8 + 3.5, np.nan]])
+    q, cell, d, distance = nearest_per_cell(donors, queries, 4)
+    assert d[q == 0].tolist() == [3, 10, 17, 24] and (distance[q == 0] == 0).all() and (cell == 1).all()
+    assert d[q == 1].tolist() == [3, 4, 10, 11]

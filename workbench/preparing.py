@@ -160,6 +160,38 @@ def impute_knn(spark, root):
     return rounded(fit_knn(parts, ["q", "e", "d", "t"], ["id"]).transform(parts))
 
 
+# Eight measures of every part, each unknown for about three parts in ten, with hundreds of patterns of what is known.
+MANY = ["size", "price", "least_q", "most_q", "least_e", "most_e", "least_d", "most_d"]
+
+
+def _unknown(j: int) -> str:
+    return f"((id * 7919 + {j * 104729}) * (id % 97 + 3)) % 1000 < 300"
+
+
+@query("impute_knn_many", f"""
+    WITH m AS (
+        SELECT l_partkey AS id, min(l_quantity) AS least_q, max(l_quantity) AS most_q, min(l_extendedprice) / 1000 AS least_e,
+               max(l_extendedprice) / 1000 AS most_e, min(l_discount) * 100 AS least_d, max(l_discount) * 100 AS most_d
+        FROM lineitem GROUP BY l_partkey),
+    f AS (SELECT id, p_size::DOUBLE AS size, p_retailprice / 100 AS price, least_q, most_q, least_e, most_e, least_d, most_d
+          FROM m JOIN part ON p_partkey = id),
+    g AS (SELECT id, {", ".join(f"CASE WHEN NOT ({_unknown(j)}) THEN {c} END AS {c}" for j, c in enumerate(MANY))} FROM f),
+    {knn_sql("g", MANY)}
+    SELECT id, {", ".join(f"round({c}, 4) AS {c}" for c in MANY)} FROM imputed
+""")
+def impute_knn_many(spark, root):
+    """Nearest neighbours over eight columns; nearly every row has a pattern of gaps of its own."""
+    lines = table(spark, root, "lineitem").select("l_partkey", "l_quantity", "l_extendedprice", "l_discount")
+    per_part = lines.groupBy(F.col("l_partkey").alias("id")).agg(
+        F.min("l_quantity").alias("least_q"), F.max("l_quantity").alias("most_q"), (F.min("l_extendedprice") / 1000).alias("least_e"),
+        (F.max("l_extendedprice") / 1000).alias("most_e"), (F.min("l_discount") * 100).alias("least_d"), (F.max("l_discount") * 100).alias("most_d"))
+    part = table(spark, root, "part").select(
+        F.col("p_partkey").alias("id"), F.col("p_size").cast("double").alias("size"), (F.col("p_retailprice") / 100).alias("price"))
+    known = per_part.join(part, "id").select("id", *[F.expr(f"CASE WHEN NOT ({_unknown(j)}) THEN {c} END").alias(c) for j, c in enumerate(MANY)])
+    known = materialise(known)
+    return rounded(fit_knn(known, MANY, ["id"]).transform(known))
+
+
 @query("encode_onehot", """
     SELECT c_custkey, (c_mktsegment = 'BUILDING')::DOUBLE AS "c_mktsegment_BUILDING", (c_mktsegment = 'FURNITURE')::DOUBLE AS "c_mktsegment_FURNITURE",
            (c_mktsegment = 'HOUSEHOLD')::DOUBLE AS "c_mktsegment_HOUSEHOLD", (c_mktsegment = 'MACHINERY')::DOUBLE AS "c_mktsegment_MACHINERY"
