@@ -18,7 +18,7 @@ result; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from itertools import product
 
@@ -38,12 +38,16 @@ except ImportError:  # Python 3.10
 
 @dataclass(frozen=True)
 class Rule:
-    """A kind of secret. `pattern` is read alike by Java and Python; group `group` must have `least` characters."""
+    """A kind of secret. `pattern` is read alike by Java and Python; group `group` must have `least` characters.
+
+    `keep` gives how many characters of a match its span takes, all of them where it is absent.
+    """
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 0
+    keep: Callable[[Column], Column] | None = None
 
 
 # A run of hex digits or an access id that is too short cannot start a longer one, so their least length is in the
@@ -53,15 +57,16 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]{12,}"),
     Rule("hex", r"[0-9a-f]{32,}"),
 )
-# A key's body: up to its END line where only what keys hold stands before it, else as far as lines of base64 go. Breaks may
-# be written as \n. Loops over groups are bounded, since Java's need stack; 400 lines are more than any key has.
-KEY_BODY = (r"(?:[A-Za-z0-9+/=\\:,\x20\t\r\n-]*?-----END [A-Z ]*PRIVATE KEY-----"
-            r"|(?:(?:[\x20\t\r\n]|\\[rn]){0,8}[A-Za-z0-9+/]{16,}={0,2}){1,400})?")
+# A key goes on behind its BEGIN line with headers (Name: value) and a run of what keys hold, up to an END line if one ends the
+# run. The run holds no hyphen, so it stops at the next line of this kind and no text is read twice. Breaks may be written as \n.
+BEGIN = r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+HEADERS = r"(?:(?:[\x20\t\r\n]|\\[rn]){0,4}[A-Za-z][A-Za-z0-9-]{0,63}:(?:[^\r\n\\-]|-(?!-)){0,200}){0,8}"
+END = r"-----END [A-Z ]*PRIVATE KEY-----"
 FURTHER = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----" + KEY_BODY),
+    Rule("private_key", f"{BEGIN}(?:{HEADERS}[A-Za-z0-9+/=\\\\\\x20\\t\\r\\n]*(?:{END})?)?", keep=lambda found: key_length(found)),
 )
 RULES = BASE + FURTHER
 
@@ -69,6 +74,22 @@ MOST_STRINGS = 64
 WIDEST_CLASS = 8
 
 
+def key_length(found: Column) -> Column:
+    """Characters of a private key's match that belong to the key.
+
+    All of them where an END line ends it. Else the BEGIN line, with the headers and the base64 behind it as far as every word
+    has 16 characters or more; what follows is other text.
+    """
+    head = F.regexp_extract(found, f"^{BEGIN}{HEADERS}", 0)
+    body = F.regexp_replace(F.substring(found, F.length(head) + 1, F.length(found)), r"\\[rn]", "  ")
+    short = F.regexp_instr(body, F.lit("(?<![A-Za-z0-9+/=])[A-Za-z0-9+/=]{1,15}(?![A-Za-z0-9+/=])"))
+    long = F.when(short > 0, F.substring(body, F.lit(1), short - 1)).otherwise(body)
+    base64 = F.length(F.regexp_extract(long, r"(?s)^.*[A-Za-z0-9+/=]", 0))
+    bare = F.length(F.regexp_extract(found, f"^{BEGIN}", 0))
+    return F.when(found.endswith("-----") & (F.regexp_count(found, F.lit("-----END ")) > 0), F.length(found)).when(
+        base64 > 0, F.length(head) + base64).otherwise(bare)
+
+
 # Trigram queries -----------------------------------------------------------------------------------------------------
 
 Clauses = frozenset  # of frozensets of trigrams; the empty clause is satisfied by every document
@@ -165,26 +186,51 @@ def trigram_query(pattern: str) -> Clauses:
 
 # Spans ---------------------------------------------------------------------------------------------------------------
 
+CHUNK = 256  # array items handled together
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 
 
+def _chunks(items: Column) -> Column:
+    """The array in pieces of CHUNK. Growing an array by one copies it, so long ones are built piece by piece."""
+    last = F.floor((F.size(items) - 1) / CHUNK).cast("int")
+    return F.when(F.size(items) > 0, F.transform(F.sequence(F.lit(0), last), lambda n: F.slice(items, n * CHUNK + 1, CHUNK))).otherwise(
+        F.slice(F.array(items), 1, 0))
+
+
+def _running(items: Column, start: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """Per item (before, item), where `before` is what `step` has made of all items before it."""
+    def grow(done: Column, item: Column) -> Column:
+        entry = F.struct(done["now"].alias("before"), item.alias("item"))
+        return F.struct(step(done["now"], item).alias("now"), F.array_append(done["out"], entry).alias("out"))
+
+    none = F.transform(F.slice(items, 1, 0), lambda x: F.struct(start.alias("before"), x.alias("item")))
+    return F.aggregate(items, F.struct(start.alias("now"), none.alias("out")), grow)["out"]
+
+
 def _located(text: Column, rule: Rule) -> Column:
     """Spans of the leftmost matches that do not overlap: text between matches and matches alternate."""
     matches = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     checked = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) if rule.group else matches
-    parts = F.arrays_zip(
-        F.slice(F.split(text, rule.pattern, -1), 1, F.size(matches)).alias("gap"), matches.alias("match"),
-        checked.alias("checked"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("found"))
+    parts = F.transform(F.arrays_zip(
+        F.slice(F.split(text, rule.pattern, -1), 1, F.size(matches)).alias("gap"), matches.alias("match"), checked.alias("checked")),
+        lambda p: F.struct(
+            F.length(p["gap"]).alias("gap"), F.length(p["match"]).alias("length"),
+            (rule.keep(p["match"]) if rule.keep else F.length(p["match"])).alias("kept"),
+            (F.length(p["checked"]) >= rule.least).alias("good")))
 
-    def step(done: Column, part: Column) -> Column:
-        begin = done["at"] + F.length(part["gap"])
-        end = begin + F.length(part["match"])
-        span = F.struct(F.lit(rule.kind).alias("kind"), begin.alias("start"), end.alias("end"))
-        found = F.when(F.length(part["checked"]) >= rule.least, F.array_append(done["found"], span)).otherwise(done["found"])
-        return F.struct(end.alias("at"), found.cast(SPANS).alias("found"))
+    def size(done: Column, part: Column) -> Column:
+        return done + part["gap"] + part["length"]
 
-    return F.aggregate(parts, start, step)["found"]
+    def spans(chunk: Column) -> Column:
+        placed = _running(chunk["item"], chunk["before"], size)
+        begin = lambda x: x["before"] + x["item"]["gap"]
+        return F.transform(F.filter(placed, lambda x: x["item"]["good"]), lambda x: F.struct(
+            F.lit(rule.kind).alias("kind"), begin(x).alias("start"), (begin(x) + x["item"]["kept"]).alias("end")))
+
+    # Every array is bound before it is used, or each use would compute it again.
+    chunked = let(parts, _chunks)
+    starts = let(chunked, lambda c: _running(c, F.lit(0), lambda done, chunk: F.aggregate(chunk, done, size)))
+    return F.flatten(F.transform(starts, spans)).cast(SPANS)
 
 
 def spans_of(text: Column, rule: Rule) -> Column:
@@ -257,17 +303,24 @@ def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
     scanned = find(df, id_col, text_col, rules, out="scan__spans")
     text = whole(text_col)
 
-    def step(done: Column, span: Column) -> Column:
-        overlaps = span["start"] < done["at"]
-        gap = F.substring(text, done["at"] + 1, span["start"] - done["at"])
-        return F.struct(
-            F.greatest(done["at"], span["end"]).alias("at"),
-            F.when(overlaps, done["out"]).otherwise(F.concat(done["out"], gap, F.lit(mark))).alias("out"),
-        )
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rebuilt = let(F.aggregate("scan__spans", start, step), lambda x: F.concat(
-        x["out"], F.substring(text, x["at"] + 1, F.length(text))))
+    def reach(done: Column, span: Column) -> Column:
+        return F.greatest(done, span["end"])
+
+    def rewritten(chunk: Column) -> Column:
+        """The text from the end of the spans before a chunk to the end of its own, which alone is walked through."""
+        first, end = chunk["before"], F.aggregate(chunk["item"], chunk["before"], reach)
+
+        def cut(part: Column) -> Column:
+            pieces = F.transform(_running(chunk["item"], first, reach), lambda x: F.when(
+                x["item"]["start"] < x["before"], F.lit("")).otherwise(F.concat(
+                    F.substring(part, x["before"] - first + 1, x["item"]["start"] - x["before"]), F.lit(mark))))
+            return F.array_join(pieces, "")
+
+        return let(F.substring(text, first + 1, end - first), cut)
+
+    chunks = let(_chunks(F.col("scan__spans")), lambda c: _running(c, F.lit(0), lambda done, chunk: F.aggregate(chunk, done, reach)))
+    last = F.aggregate("scan__spans", F.lit(0), reach)
+    rebuilt = F.concat(F.array_join(F.transform(chunks, rewritten), ""), F.substring(text, last + 1, F.length(text)))
     changed = scanned.withColumn("scan__new", F.when(F.size("scan__spans") > 0, rebuilt))
     new = {text_col: F.coalesce(F.col("scan__new"), quoted(text_col))}
     if "n_chars" in df.columns and text_col == "text":
