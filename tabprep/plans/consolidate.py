@@ -13,7 +13,7 @@ from tabprep.operators.joins import join_groups, rename_overlap
 from tabprep.operators.profile import file_variables, variable_availability
 from tabprep.operators.stacking import stack, stack_long
 from tabprep.sources.dictionary import ID_COLUMN, readable_names
-from tabprep.sources.modules import probe_tables, write_table
+from tabprep.sources.modules import open_tables, write_table
 
 SUBJECT = "subject_id"
 GLUCOSE = "glucose_value"
@@ -26,9 +26,9 @@ Modules = Mapping[tuple[str, str], DataFrame]
 
 def try_modules(spark: SparkSession, root: str) -> tuple[dict[tuple[str, str], DataFrame], DataFrame]:
     """The readable tables below `root` by (cycle, module), and the outcome of every table."""
-    _, outcomes = probe_tables(spark, root)
+    good, outcomes = open_tables(spark, root)
     read = outcomes.where("status = 'processed'").orderBy("cycle", "module").collect()  # one row per module table
-    return {(f["cycle"], f["module"]): spark.read.parquet(f["path"]) for f in read}, outcomes
+    return {(f["cycle"], f["module"]): good[f["path"]] for f in read}, outcomes
 
 
 def read_modules(spark: SparkSession, root: str) -> dict[tuple[str, str], DataFrame]:

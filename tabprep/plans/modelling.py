@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+import json
+import logging
+import math
+import random
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from itertools import product
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -13,8 +19,10 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabprep.operators.ordering import SLICE, order_slices
+from tabprep.operators.ordering import SLICE, order_slices, with_row_index
 from tabprep.operators.scale import Scaler
+from tabprep.operators.split import row_hash, uniform
+from tabprep.session import materialise, run_together
 from tabprep.sizing import local_table
 
 LABEL_OUT = "model__label"
@@ -125,6 +133,88 @@ def importances(spark: SparkSession, model: PipelineModel, features: Sequence[st
     ).orderBy(F.col("importance").desc(), "feature")
 
 
+def permutation_importance(
+    model, df: DataFrame, target: str, features: Sequence[str], key: str, seed: int = 42,
+) -> DataFrame:
+    """(feature, area, importance) of any model: how much of the area is lost when a feature's values change rows.
+
+    Rows and values are put into two random orders by hashes of `key` (which identifies rows), and meet place by place, so a
+    feature keeps its values and loses its rows, in every run alike. Two orders are fixed once for all features; each feature
+    then costs one join on the place and one scoring.
+    """
+    rows = labelled(df, target).select(F.col(key).alias("row__key"), target, *features)
+    marked = rows.withColumns({"row__at": row_hash("row__key", seed), "row__from": row_hash("row__key", seed + 1)})
+    placed = with_row_index(marked, ["row__at", "row__key"], "row__place")
+    donors = with_row_index(placed.drop("row__place"), ["row__from", "row__key"], "row__donor").select(
+        "row__donor", *[F.col(f).alias(f"new__{n}") for n, f in enumerate(features)])
+    met = materialise(placed.join(donors, F.col("row__place") == F.col("row__donor")))
+    whole = roc_auc(score(model, met, target))
+    areas = [roc_auc(score(model, met.withColumn(f, F.col(f"new__{n}")), target)) for n, f in enumerate(features)]
+    return local_table(
+        df.sparkSession, [(f, whole, whole - a) for f, a in zip(features, areas)], "feature string, area double, importance double"
+    ).orderBy(F.col("importance").desc(), "feature")
+
+
+@dataclass(frozen=True)
+class Search:
+    """What a search has tried, and the best model, trained on all training rows."""
+
+    trials: DataFrame
+    best: dict
+    area: float
+    model: PipelineModel
+
+
+def halving_search(
+    df: DataFrame, target: str, features: Sequence[str], name: str, space: Mapping[str, Sequence], key: str, settings: int = 9,
+    factor: int = 3, held_out: float = 0.2, seed: int = 42, parallelism: int = 4, **params,
+) -> Search:
+    """Successive halving over a random grid.
+
+    `settings` combinations of `space` are drawn. Each round trains those left on a share of the training rows and keeps the best
+    1 / `factor` of them by the area on the held-out rows; the share grows by `factor` until the last round takes all rows. Both
+    cuts are by the split's hash of `key`, so a smaller share is part of every larger one and reruns agree.
+
+    `trials`: (round, setting, share, rows, area, kept), `setting` as JSON; NULL area where a round's rows hold one class only.
+    """
+    every = [dict(zip(space, values)) for values in product(*space.values())]
+    drawn = random.Random(seed).sample(every, min(settings, len(every)))
+    place = uniform(row_hash(key, seed))
+    rows = materialise(labelled(df, target).select(F.col(key), target, *features, LABEL_OUT, place.alias("row__u")))
+    test, training = rows.where(F.col("row__u") < held_out), rows.where(F.col("row__u") >= held_out)
+    rounds = 0
+    while factor ** rounds < len(drawn):
+        rounds += 1
+
+    def trial(setting: dict, part: DataFrame) -> tuple[PipelineModel | None, float | None]:
+        one = {} if name == "logistic_regression" else {"seed": seed}
+        try:
+            fitted = pipeline(features, classifier(name, **one, **params, **setting)).fit(part)
+        except Exception as failure:
+            # A share with one class only cannot be learned from; anything else is an error.
+            if part.select(target).distinct().count() > 1:
+                raise
+            logging.getLogger(__name__).info("setting %s: %s", setting, failure)
+            return None, None
+        return fitted, roc_auc(score(fitted, test, target))
+
+    left, table, best = drawn, [], None
+    for n in range(rounds + 1):
+        share = min(1.0, factor ** float(n - rounds))
+        part = training.where(F.col("row__u") < held_out + (1 - held_out) * share)
+        size = part.count()
+        areas: list = []
+        for begin in range(0, len(left), parallelism):
+            areas += run_together(df.sparkSession, *[lambda s=s: trial(s, part) for s in left[begin:begin + parallelism]])
+        ranked = sorted(range(len(left)), key=lambda i: -math.inf if areas[i][1] is None else areas[i][1], reverse=True)
+        kept = ranked[:1] if n == rounds else sorted(ranked[:max(1, -(-len(left) // factor))])
+        table += [(n, json.dumps(left[i], sort_keys=True), share, size, areas[i][1], i in kept) for i in range(len(left))]
+        best = left[kept[0]], areas[kept[0]]
+        left = [left[i] for i in kept]
+    trials = local_table(df.sparkSession, table, "round int, setting string, share double, rows bigint, area double, kept boolean")
+    return Search(trials, best[0], best[1][1], best[1][0])
+
+
 def cross_validate(
     df: DataFrame, target: str, features: Sequence[str], name: str, grid: Mapping[str, Sequence] | None = None,
     folds: int = 3, seed: int = 42, parallelism: int = 2, **params,

@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabprep.functions.columns import file_stem, parent_name, table_path
+from tabprep.session import run_together
 from tabprep.sizing import local_table
 
+TOGETHER = 16  # tables whose footers are read at once
+
 
 def read_table(spark: SparkSession, path: str, cols: Sequence[str] | None = None) -> DataFrame:
     """A Parquet table; asking for columns keeps the scan to those."""
@@ -39,25 +42,34 @@ def discover_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> D
     )
 
 
-def probe_tables(spark: SparkSession, root: str) -> tuple[list[str], DataFrame]:
-    """The paths of the readable tables below `root`, and (path, cycle, module, status, error) of all of them.
+def open_tables(spark: SparkSession, root: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """{path: table} of the readable tables below `root`, and (path, cycle, module, status, error) of all of them.
 
-    The listing has one row per module table; only file footers are read. A bad table does not stop the run.
+    The listing has one row per module table; each footer is read once, several at a time. A bad table does not stop the run.
     """
     listed = discover_files(spark, root).select("path", "cycle", "module").orderBy("cycle", "module").collect()
-    good, outcomes = [], []
-    for f in listed:
-        status, error = "processed", None
+
+    def opened(path: str):
         try:
-            spark.read.parquet(f["path"])
-            good.append(f["path"])
+            return spark.read.parquet(path), None
         except Exception as failure:
-            status, error = "failed", str(failure)
-        outcomes.append((f["path"], f["cycle"], f["module"], status, error))
+            return None, str(failure)
+
+    found: list = []
+    for begin in range(0, len(listed), TOGETHER):
+        found += run_together(spark, *[lambda f=f: opened(f["path"]) for f in listed[begin:begin + TOGETHER]])
+    good = {f["path"]: df for f, (df, _) in zip(listed, found) if df is not None}
+    outcomes = [(f["path"], f["cycle"], f["module"], "failed" if df is None else "processed", error) for f, (df, error) in zip(listed, found)]
     schema = "path string, cycle string, module string, status string, error string"
     return good, local_table(spark, outcomes, schema)
 
 
+def probe_tables(spark: SparkSession, root: str) -> tuple[list[str], DataFrame]:
+    """The paths of the readable tables, and the outcome of every table."""
+    good, outcomes = open_tables(spark, root)
+    return list(good), outcomes
+
+
 def read_tolerant(spark: SparkSession, root: str, merge_schema: bool = True) -> tuple[DataFrame | None, DataFrame]:
     """All readable module tables of a tree in one scan, stacked by name, and the outcome of every table.
 

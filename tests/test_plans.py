@@ -162,6 +162,44 @@ def test_cross_validation(separable):
     assert len(model.avgMetrics) == 2 and max(model.avgMetrics) > 0.7
 
 
+@pytest.fixture(scope="module")
+def keyed(spark):
+    rng = np.random.default_rng(9)
+    data = [(n, int(y), float(y * 1.5 + rng.normal()), float(rng.normal()), float(y * 0.4 + rng.normal())) for n, y in enumerate(rng.integers(0, 2, 1500))]
+    return spark.createDataFrame(data, "id long, y int, useful double, useless double, weak double").repartition(3)
+
+
+@pytest.mark.parametrize("name, params", [("logistic_regression", {"maxIter": 20}), ("random_forest", {"numTrees": 10, "maxDepth": 4})])
+def test_permutation_importance(keyed, name, params):
+    features = ["useless", "useful", "weak"]
+    model = modelling.train(keyed, "y", features, name, **params)
+    found = modelling.permutation_importance(model, keyed, "y", features, "id")
+    got = by(found, "feature")
+    assert [r["feature"] for r in found.collect()] == ["useful", "weak", "useless"]
+    assert got["useful"]["importance"] > 0.2 and abs(got["useless"]["importance"]) < 0.03
+    again = by(modelling.permutation_importance(model, keyed.repartition(7), "y", features, "id"), "feature")
+    assert all(again[f]["importance"] == pytest.approx(got[f]["importance"], abs=1e-9) for f in features)
+
+
+def test_halving_search_finds_the_planted_setting(keyed):
+    # Any other penalty is so large that no feature is left.
+    space = {"regParam": [0.7, 2.0, 0.0, 3.0, 5.0, 8.0, 13.0, 21.0, 34.0], "elasticNetParam": [1.0]}
+    found = modelling.halving_search(keyed, "y", ["useful", "useless"], "logistic_regression", space, "id", settings=9, factor=3, maxIter=20)
+    assert found.best == {"regParam": 0.0, "elasticNetParam": 1.0} and found.area > 0.75
+    trials = found.trials.collect()
+    assert [sum(r["round"] == n for r in trials) for n in range(3)] == [9, 3, 1]
+    sizes = [next(r["rows"] for r in trials if r["round"] == n) for n in range(3)]
+    assert sizes[0] < sizes[1] < sizes[2] and abs(sizes[2] - 1200) < 100 and abs(sizes[0] - sizes[2] / 9) < 60
+    assert sum(r["kept"] for r in trials if r["round"] == 0) == 3
+    assert next(r["area"] for r in trials if r["round"] == 2) == pytest.approx(found.area)
+    assert modelling.roc_auc(modelling.score(found.model, keyed, "y")) > 0.75
+
+
+def test_halving_search_with_one_setting_or_one_class(keyed):
+    one = modelling.halving_search(keyed, "y", ["useful"], "logistic_regression", {"regParam": [0.1]}, "id", maxIter=5)
+    assert one.best == {"regParam": 0.1} and one.trials.count() == 1 and one.trials.first()["kept"]
+
+
 def test_roc_ties(make):
     df = make([(1, 0.5), (0, 0.5), (1, 0.9), (0, 0.1), (None, 0.3)], "label int, score double")
     assert modelling.roc_auc_table(df).first()["auc"] == pytest.approx((1 + 1 + 1 + 0.5) / 4)

@@ -7,11 +7,14 @@ import uuid
 from pyspark.sql import functions as F
 
 from tabprep.operators import joins
+from tabprep.operators.ledger import Ledger
+from tabprep.plans import cycles
 from tabprep.plans.consolidate import availability_report, consolidate, consolidate_modules, read_modules, stack_modules
 from tabprep.plans.harmonise import clean_module
-from tabprep.session import ensure_checkpoint_dir
+from tabprep.session import ensure_checkpoint_dir, materialise
 from tabprep.sizing import local_table
 from tabprep.sources import links, modules
+from tabprep.sources.quarantine import quarantine
 from workbench.cleaning import order_cycles
 from workbench.registry import query, table
 
@@ -259,3 +262,81 @@ def row_index(spark, root):
 
     orders = table(spark, root, "orders").select("o_orderkey", "o_totalprice")
     return with_row_index(orders, ["o_totalprice", "o_orderkey"]).select("o_orderkey", "row_index")
+
+
+def cycle_tables(spark, root):
+    """Modules by cycle: orders by status as cycles, half of their columns in each of two modules."""
+    orders = table(spark, root, "orders").select("o_orderkey", "o_totalprice", "o_custkey", "o_orderstatus")
+    for cycle in ("F", "O", "P"):
+        rows = orders.where(F.col("o_orderstatus") == cycle)
+        subject = F.col("o_orderkey").cast("double").alias("SEQN")
+        yield cycle, "GHB", rows.select(subject, (F.col("o_totalprice") / 50000).alias("LBXGH"))
+        yield cycle, "BMX", rows.where(F.col("o_custkey") % 3 != 0).select(subject, F.col("o_custkey").cast("double").alias("BMXWT"))
+
+
+@query("quarantined_files", """
+    WITH m AS (SELECT o_orderstatus AS cycle, module, count(*) FILTER (module = 'GHB' OR o_custkey % 3 <> 0) AS rows
+               FROM orders, (VALUES ('BMX'), ('GHB')) AS v(module) GROUP BY ALL)
+    SELECT cycle, module, CASE WHEN cycle = 'P' AND module = 'BMX' THEN 'failed' ELSE 'processed' END AS status,
+           CASE WHEN cycle = 'P' AND module = 'BMX' THEN 0 ELSE rows END::BIGINT AS rows_read FROM m
+    UNION ALL SELECT 'O', 'NOTE', 'failed', 0
+""")
+def quarantined_files(spark, root):
+    """A written tree with one file cut in half and one that is no table: what every table gave."""
+    base = f"{ensure_checkpoint_dir(spark)}/tree-{uuid.uuid4().hex}"
+    for cycle, module, df in cycle_tables(spark, root):
+        df.coalesce(1).write.parquet(f"{base}/{cycle}/{module}.parquet")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(base)
+    victim = files.where(F.col("path").contains("/P/BMX.parquet/")).select("path", F.expr("substring(content, 1, 200)").alias("half")).first()
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path, content in ((victim["path"], bytes(victim["half"])), (f"{base}/O/NOTE.parquet", b"no table")):
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        stream = where.getFileSystem(conf).create(where, True)
+        stream.write(bytearray(content))
+        stream.close()
+    _, outcomes = quarantine(spark, base)
+    return outcomes.groupBy("cycle", "module", "status").agg(F.sum("rows_read").alias("rows_read"))
+
+
+@query("rewritten_cycle", """
+    WITH w AS (SELECT o_orderstatus AS cycle, o_orderkey AS subject_id, o_totalprice / 50000 * (CASE WHEN o_orderstatus = 'O' THEN 2 ELSE 1 END) AS g,
+                      CASE WHEN o_custkey % 3 <> 0 THEN o_custkey END AS weight FROM orders)
+    SELECT cycle, count(*) AS rows, round(sum(g), 2) AS glucose, count(weight) AS weights, count(*) AS manifest_rows FROM w GROUP BY cycle
+""")
+def rewritten_cycle(spark, root):
+    """Three cycles written, one of them written again from changed modules: the table and its manifest."""
+    base = f"{ensure_checkpoint_dir(spark)}/tree-{uuid.uuid4().hex}"
+    out = f"{base}-out"
+    for cycle, module, df in cycle_tables(spark, root):
+        df.write.parquet(f"{base}/{cycle}/{module}.parquet")
+    cycles.rewrite_cycles(spark, base, out)
+    changed = spark.read.parquet(f"{base}/O/GHB.parquet").withColumn("LBXGH", F.col("LBXGH") * 2)
+    materialise(changed).write.mode("overwrite").parquet(f"{base}/O/GHB.parquet")
+    cycles.rewrite_cycles(spark, base, out, ["O"])
+    totals = cycles.read_cycles(spark, out).groupBy("cycle").agg(
+        F.count(F.lit(1)).alias("rows"), F.round(F.sum("glucose_value"), 2).alias("glucose"), F.count("weight_kg").alias("weights"))
+    return totals.join(cycles.manifest(spark, out).select("cycle", F.col("rows").alias("manifest_rows")), "cycle")
+
+
+@query("accounted_write", """
+    WITH k AS (SELECT * FROM orders WHERE o_orderstatus <> 'P'),
+    g AS (SELECT *, CASE WHEN o_orderpriority <> '1-URGENT' THEN o_totalprice END AS price FROM k)
+    SELECT 'status known' AS step, 'before' AS name, count(*) AS value FROM orders
+    UNION ALL SELECT 'status known', 'after', count(*) FROM k
+    UNION ALL SELECT 'rules', 'expensive', count(*) FILTER (price > 150000) FROM g
+    UNION ALL SELECT 'rules', 'low', count(*) FILTER (o_orderpriority = '5-LOW') FROM g
+    UNION ALL SELECT 'gaps before', 'price', count(*) FILTER (price IS NULL) FROM g
+    UNION ALL SELECT 'gaps after', 'price', 0
+    UNION ALL SELECT 'written', 'rows', count(*) FROM g
+""")
+def accounted_write(spark, root):
+    """Filter, rules, imputation and writing in one job that also fills every count."""
+    orders = table(spark, root, "orders").select("o_orderstatus", "o_orderpriority", "o_totalprice")
+    ledger = Ledger()
+    kept = ledger.keep(orders, "status known", F.col("o_orderstatus") != "P")
+    gapped = kept.withColumn("price", F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_totalprice")))
+    ruled = ledger.rules(gapped, "rules", {"expensive": F.col("price") > 150000, "low": F.col("o_orderpriority") == "5-LOW"})
+    filled = ledger.missing(ruled, "gaps before", ["price"]).fillna({"price": 0.0})
+    done = ledger.rows(ledger.missing(filled, "gaps after", ["price"]), "written")
+    done.write.parquet(f"{ensure_checkpoint_dir(spark)}/accounted-{uuid.uuid4().hex}")
+    return ledger.report(spark)

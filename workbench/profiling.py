@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tabprep.functions import sketches
 from tabprep.operators import association, outliers, profile
+from tabprep.operators.heavy import heavy_hitters
 from workbench.registry import query, rounded, table
 
 ORDER_GAPS = """orders_gaps AS (
@@ -436,3 +438,56 @@ def range_check(spark, root):
 @query("range_null", "SELECT c_custkey, CASE WHEN c_acctbal BETWEEN 0 AND 9000 THEN c_acctbal END AS c_acctbal FROM customer")
 def range_null(spark, root):
     return outliers.enforce_ranges(table(spark, root, "customer").select("c_custkey", "c_acctbal"), [("c_acctbal", 0, 9000)])
+
+
+@query("sketched_quantiles", """
+    WITH q AS (SELECT unnest([0.1::DOUBLE, 0.5::DOUBLE, 0.95::DOUBLE]) AS p)
+    SELECT p, round((SELECT quantile_cont(o_totalprice, 0.1) FROM orders), 4) AS quantile FROM q WHERE p = 0.1
+    UNION ALL SELECT p, round((SELECT quantile_cont(o_totalprice, 0.5) FROM orders), 4) FROM q WHERE p = 0.5
+    UNION ALL SELECT p, round((SELECT quantile_cont(o_totalprice, 0.95) FROM orders), 4) FROM q WHERE p = 0.95
+""")
+def sketched_quantiles(spark, root):
+    """Sketches per status are merged and guide the exact quantiles of the whole table."""
+    orders = table(spark, root, "orders").select("o_orderstatus", "o_totalprice")
+    stored = sketches.quantile_sketches(orders, ["o_totalprice"], ["o_orderstatus"])
+    merged = sketches.merge_quantiles(stored)
+    parts = [sketches.bracketed_quantile(orders, merged, "o_totalprice", p).select(F.lit(p).alias("p"), "quantile") for p in (0.1, 0.5, 0.95)]
+    return rounded(parts[0].union(parts[1]).union(parts[2]), skip=("p",))
+
+
+@query("sketch_rank_errors", """
+    SELECT o_orderstatus, count(*) AS n, min(o_totalprice) AS least, max(o_totalprice) AS most, 3 AS ranks_held
+    FROM orders GROUP BY o_orderstatus
+""")
+def sketch_rank_errors(spark, root):
+    """Per status: of three quantiles the sketch gives, how many have an exact rank within the stated error."""
+    orders = table(spark, root, "orders").select("o_orderstatus", "o_totalprice")
+    found = sketches.sketch_quantiles(sketches.quantile_sketches(orders, ["o_totalprice"], ["o_orderstatus"]), [0.25, 0.5, 0.9])
+    asked = found.select(F.col("o_orderstatus").alias("status"), "n", "least", "most", F.posexplode("q").alias("place", "q"))
+    wanted = F.get(F.array(F.lit(0.25), F.lit(0.5), F.lit(0.9)), F.col("place"))
+    met = orders.join(F.broadcast(asked), F.col("o_orderstatus") == F.col("status"))
+    ranks = met.groupBy("o_orderstatus", "n", "least", "most", "place", wanted.alias("p")).agg(
+        F.count_if(F.col("o_totalprice") <= F.col("q")).alias("upto"))
+    held = F.abs(F.col("upto") / F.col("n") - F.col("p")) <= 2 * sketches.RANK_ERROR
+    return ranks.groupBy("o_orderstatus", "n", "least", "most").agg(F.count_if(held).cast("int").alias("ranks_held"))
+
+
+@query("id_overlaps", """
+    WITH m AS (SELECT DISTINCT o_orderstatus AS cycle, o_orderpriority AS module, o_custkey AS id FROM orders)
+    SELECT a.cycle, a.module AS "left", b.module AS "right", count(*) FILTER (a.id = b.id) AS "both"
+    FROM m a JOIN m b ON a.cycle = b.cycle AND a.module < b.module GROUP BY ALL
+""")
+def id_overlaps(spark, root):
+    """How many customers two priorities share within a status, from id sketches; exact up to 4,096 customers, near it beyond."""
+    orders = table(spark, root, "orders").select(
+        F.col("o_orderstatus").alias("cycle"), F.col("o_orderpriority").alias("module"), F.col("o_custkey").alias("id"))
+    stored = sketches.id_sketches(orders, "id", ["cycle", "module"])
+    return sketches.overlaps(stored, ["cycle"], "module").select("cycle", "left", "right", "both")
+
+
+@query("heavy_hitters", """
+    SELECT l_partkey AS value, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, value LIMIT 10
+""")
+def heavy(spark, root):
+    """The ten most frequent parts, by bounded counters and one exact recount."""
+    return heavy_hitters(table(spark, root, "lineitem").select("l_partkey"), "l_partkey", 10)
