@@ -14,9 +14,10 @@ from tabprep.plans.harmonise import clean_module
 from tabprep.session import ensure_checkpoint_dir, materialise
 from tabprep.sizing import local_table
 from tabprep.sources import links, modules
+from tabprep.sources.buckets import join_buckets, open_buckets, write_buckets
 from tabprep.sources.quarantine import quarantine
 from workbench.cleaning import order_cycles
-from workbench.registry import query, table
+from workbench.registry import ORACLES, query, table
 
 
 @query("module_full_join", """
@@ -340,3 +341,13 @@ def accounted_write(spark, root):
     done = ledger.rows(ledger.missing(filled, "gaps after", ["price"]), "written")
     done.write.parquet(f"{ensure_checkpoint_dir(spark)}/accounted-{uuid.uuid4().hex}")
     return ledger.report(spark)
+
+
+@query("bucketed_full_join", ORACLES["module_full_join"])
+def bucketed_full_join(spark, root):
+    """Modules written in buckets of their key, opened again and joined without an exchange."""
+    docs = table(spark, root, "documents").select("doc_id", "lang", "n_chars")
+    orders = table(spark, root, "orders").select(F.col("o_orderkey").alias("doc_id"), F.col("o_orderpriority").alias("priority"))
+    place = f"{ensure_checkpoint_dir(spark)}/buckets-{uuid.uuid4().hex}"
+    write_buckets({"documents": docs, "labels": table(spark, root, "labels"), "orders": orders}, ["doc_id"], place, 8)
+    return join_buckets(spark, open_buckets(spark, place))
