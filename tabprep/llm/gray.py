@@ -46,6 +46,7 @@ class GrayIndex:
 
     def __init__(self, codes: np.ndarray):
         self.codes = codes
+        self.compared = 0  # nodes and codes that searches have been compared with
         self.levels = []  # from the root down: [pattern, mask] of the level's nodes
         every, any_ = codes, codes
         while len(every) > 1:
@@ -85,12 +86,14 @@ class GrayIndex:
         for depth, (pattern, mask) in enumerate(self.levels):
             if depth:
                 queries, nodes, spent = _children(queries, nodes, spent, len(pattern))
+            self.compared += len(queries)
             spent = spent + np.bitwise_count((self.codes[queries] ^ pattern[nodes]) & mask[nodes])
             # A search only looks at what comes behind it in the order: each pair is met once.
             reach = FAN ** (len(self.levels) - depth)
             keep = (spent <= limit) & (uniform[depth][nodes] != label[queries]) & ((nodes + 1) * reach > queries)
             queries, nodes, spent = queries[keep], nodes[keep], spent[keep]
         found, members, spent = _children(queries, nodes, spent, len(self.codes))
+        self.compared += len(found)
         rest = ~self.held[members // FAN]  # what the nodes above have not compared
         spent = spent + np.bitwise_count((self.codes[found] ^ self.codes[members]) & rest)
         near = (spent <= limit) & (members > found)
@@ -101,16 +104,3 @@ def _children(queries, nodes, spent, size):
     children = (nodes[:, None] * FAN + np.arange(FAN)).ravel()
     inside = children < size
     return np.repeat(queries, FAN)[inside], children[inside], np.repeat(spent, FAN)[inside]
-
-
-def link_small(codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places (i, j) of near pairs in runs of sorted groups, by comparing each code with the s-th after it."""
-    left, right = [], []
-    ends = np.repeat(starts + sizes, sizes)
-    place = np.arange(len(codes))
-    for s in range(1, int(sizes.max(initial=0))):
-        i = place[place + s < ends]
-        near = np.bitwise_count(codes[i] ^ codes[i + s]) <= limit
-        left.append(i[near])
-        right.append(i[near] + s)
-    return (np.concatenate(left), np.concatenate(right)) if left else (np.empty(0, int), np.empty(0, int))

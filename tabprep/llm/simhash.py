@@ -5,10 +5,11 @@ fingerprint zero); each shingle is hashed by XXH64 with seed 42, and a bit of th
 half of the hashes. Fingerprints that differ in at most `limit` bits are linked.
 
 Candidates: documents collapse into distinct fingerprints first, so copies cost nothing further. The 64 bits are cut into
-`limit` + 1 blocks; two linked fingerprints agree in one block at least, so each fingerprint goes to one group per block.
-A group is searched with the Gray-order index of `gray.py`; it returns a tree of links per component, never all pairs.
-A group with more than GROUP fingerprints is routed again by blocks of its other bits, which keeps every link and bounds
-what one task holds. Components are joined by `graph.py`.
+`limit` + 1 blocks; two linked fingerprints agree in one block at least, and so in any of its bits: each fingerprint goes to
+one group per block, by as few of the block's bits as make groups of about AIMED fingerprints. Every group is searched with the
+Gray-order index of `gray.py`; it returns a tree of links per component, never all pairs. A group with more than GROUP
+fingerprints is routed again by whole blocks of its other bits, which keeps every link and bounds what one task holds.
+Components are joined by `graph.py`.
 
 Defined cases: a null or empty text has fingerprint zero, linked like any other; whole texts are hashed; a row with a
 null id takes part, and a component in which no row has an id has a null component id; repeated rows share their result;
@@ -17,6 +18,7 @@ an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -28,7 +30,7 @@ from pyspark.sql import types as T
 from xxhash import xxh64_digest
 
 from tabprep.llm.graph import components
-from tabprep.llm.gray import GrayIndex, gray_rank, link_small
+from tabprep.llm.gray import GrayIndex, gray_rank
 from tabprep.llm.text import others, quoted, whole
 from tabprep.session import materialise
 
@@ -36,8 +38,8 @@ SEED = 42
 SHINGLE = 3
 LIMIT = 3
 GROUP = 20_000
-SMALL = 32
-LEVELS = 3
+AIMED = 2_048  # fingerprints aimed at per group, as far as a block's bits allow
+LEVELS = 4
 ROWS = 255  # as many bits of one place fit into a byte when added
 
 
@@ -73,31 +75,37 @@ def with_fingerprint(df: DataFrame, text_col: str = "text", out: str = "fingerpr
     return given.mapInArrow(run, schema)
 
 
-def _bits(code: str, width: int, blocks: int) -> list[Column]:
-    """The code's lower `width` bits, cut into blocks as equal as possible."""
+def _ranges(width: int, blocks: int, bits: int) -> list[tuple[int, int]]:
+    """For each block of the lower `width` bits, which are cut as equally as possible, its lowest `bits` bits."""
     cuts = [width * n // blocks for n in range(blocks + 1)]
-    return [F.expr(f"shiftrightunsigned({code}, {a}) & {(1 << (b - a)) - 1}L") for a, b in zip(cuts, cuts[1:])]
+    return [(a, min(b, a + bits)) for a, b in zip(cuts, cuts[1:])]
 
 
-def _without(code: str, width: int, block: int, blocks: int) -> Column:
-    """The code's lower `width` bits less one block."""
-    a, b = width * block // blocks, width * (block + 1) // blocks
-    upper = f"shiftleft(shiftrightunsigned({code}, {b}) & {(1 << (width - b)) - 1}L, {a})" if b < width else "0L"
-    return F.expr(f"({code} & {(1 << a) - 1}L) | {upper}")
+def _value(a: int, b: int) -> Column:
+    return F.expr(f"shiftrightunsigned(rest, {a}) & {(1 << (b - a)) - 1}L")
 
 
-def _route(rows: DataFrame, width: int, blocks: int) -> DataFrame:
+def _without(width: int, a: int, b: int) -> Column:
+    """The lower `width` bits less those from a to b."""
+    if a == b:
+        return F.col("rest")
+    upper = f"shiftleft(shiftrightunsigned(rest, {b}) & {(1 << (width - b)) - 1}L, {a})" if b < width else "0L"
+    return F.expr(f"(rest & {(1 << a) - 1}L) | {upper}")
+
+
+def _route(rows: DataFrame, width: int, blocks: int, bits: int) -> DataFrame:
     """One row per block: the key so far with the block's value, and the bits that the key does not hold."""
-    values = _bits("rest", width, blocks)
+    # Without a bit to route by all blocks would make the same group.
+    ranges = _ranges(width, blocks, bits) if bits else [(0, 0)]
     targets = F.array(*[
-        F.struct(F.concat_ws(".", F.col("key"), F.lit(str(n)), F.hex(v)).alias("key"), _without("rest", width, n, blocks).alias("rest"))
-        for n, v in enumerate(values)
+        F.struct(F.concat_ws(".", F.col("key"), F.lit(str(n)), F.hex(_value(a, b))).alias("key"), _without(width, a, b).alias("rest"))
+        for n, (a, b) in enumerate(ranges)
     ])
     return rows.select("code", F.inline(targets))
 
 
 def _linked(routes: DataFrame, limit: int) -> DataFrame:
-    """Links (a, b) that join the near codes of each group, one row per link of a tree or of a small group's pairs."""
+    """Links (a, b) that join the near codes of each group, one row per link of a tree."""
     placed = routes.select(F.xxhash64("key").alias("key"), "code").repartition("key").sortWithinPartitions("key")
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
@@ -107,12 +115,8 @@ def _linked(routes: DataFrame, limit: int) -> DataFrame:
         key, code = key[order], code[order]
         starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, int)
         sizes = np.diff(np.r_[starts, len(key)])
-        small = sizes <= SMALL
-        member = np.repeat(small, sizes)
-        few = code[member]
-        i, j = link_small(few, np.cumsum(sizes[small]) - sizes[small], sizes[small], limit)
-        a, b = [few[i]], [few[j]]
-        for start, size in zip(starts[~small], sizes[~small]):
+        a, b = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
+        for start, size in zip(starts, sizes):
             group = code[start:start + size]
             root = GrayIndex(group).link(limit)
             tied = root != np.arange(size)
@@ -139,10 +143,12 @@ def _linked(routes: DataFrame, limit: int) -> DataFrame:
 def near_links(codes: DataFrame, limit: int = LIMIT, group: int = GROUP) -> DataFrame:
     """Links (a, b) between the distinct bigints `code`, enough to connect all that differ in at most `limit` bits."""
     blocks, width = limit + 1, 64
+    # As few bits as make groups of about AIMED; groups that come out larger than `group` are routed again by whole blocks.
+    bits = min(width // blocks, max(0, round(math.log2(max(1, codes.count()) / AIMED))))
     rows = codes.select("code", F.col("code").alias("rest"), F.lit("").alias("key"))
     found = None
     for level in range(LEVELS):
-        routes = _route(rows, width, blocks)
+        routes = _route(rows, width, blocks, bits)
         if level < LEVELS - 1:
             large = materialise(routes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group))
         done = level == LEVELS - 1 or large.isEmpty()
@@ -151,7 +157,8 @@ def near_links(codes: DataFrame, limit: int = LIMIT, group: int = GROUP) -> Data
         if done:
             return found
         rows = materialise(routes.join(large, "key", "left_semi"))
-        width -= width * 1 // blocks
+        width -= bits
+        bits = width // blocks
     return found
 
 

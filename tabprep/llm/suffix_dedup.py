@@ -362,7 +362,12 @@ def _gathered(docs: DataFrame, length: int) -> DataFrame:
 
 
 def repeated_stretches(docs: DataFrame, length: int = 100) -> DataFrame:
-    """(doc, start, end) of stretches to remove; they may overlap. `docs` has unique numbers `doc` and `text`."""
+    """(doc, start, end) of stretches to remove; they may overlap. `docs` has unique numbers `doc` and `text`.
+
+    Strings are found by an anchor of ANCHOR bytes inside them, so `length` must not be less.
+    """
+    if length < ANCHOR:
+        raise ValueError(f"strings must have {ANCHOR} bytes at least")
     met = _gathered(docs, length)
     unclear = met.where("key is not null")
     wanted = unclear.groupBy("doc").agg(F.collect_list(F.struct("key", "start", "number")).alias("runs"))

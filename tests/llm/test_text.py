@@ -40,6 +40,40 @@ def test_repeats_of_any_length(length):
     assert len(set(classes)) == 3 and len(set(zip(texts, classes))) == 3
 
 
+@pytest.mark.parametrize("length", [31, 1, 0])
+def test_strings_shorter_than_an_anchor_are_refused(docs, length):
+    with pytest.raises(ValueError):
+        suffix_dedup.dedup(docs([(1, "text", "en", "s")]), length=length)
+
+
+def test_shortest_strings(docs):
+    texts = dict(enumerate([sentence(12, 3), "x" + sentence(12, 3)[5:60] + "y", "z" * 40, sentence(12, 4)]))
+    found = suffix_dedup.dedup(docs([(k, t, "en", "s") for k, t in texts.items()]), length=32)
+    want = kept_bytes({k: t.encode() for k, t in texts.items()}, 32)
+    assert {r.doc_id: (bytes(r.kept), r.n_removed, r.n_spans) for r in found.collect()} == want
+
+
+def test_every_group_is_searched_by_the_index(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    codes = rng.integers(-2**63, 2**63, 4000)
+    codes[:900] = codes[:300].repeat(3) ^ (np.int64(1) << rng.integers(0, 62, 900))
+    index = gray.GrayIndex(np.sort(codes.view(np.uint64)))
+    table = spark.createDataFrame([(int(c),) for c in np.unique(codes)], "code bigint")
+    ordered = np.unique(codes).view(np.uint64)
+    ordered = ordered[np.argsort(gray.gray_rank(ordered))]
+    index = gray.GrayIndex(ordered)
+    root = index.link(3)
+    assert index.compared < len(ordered) * (len(ordered) - 1) // 2
+    least = {}
+    for c, r in zip(ordered.view(np.int64).tolist(), root.tolist()):
+        least[r] = min(c, least.get(r, c))
+    want = {c: least[r] for c, r in zip(ordered.view(np.int64).tolist(), root.tolist())}
+    for aimed in (64, 100_000):
+        monkeypatch.setattr(simhash, "AIMED", aimed)
+        found = {r.node: r.root for r in graph.components(simhash.near_links(table)).collect()}
+        assert {c: found.get(c, c) for c in want} == want
+
+
 def hostile_documents():
     """Passages shared at edges and inside, repeats within a document, periods, binary-like and multi-byte text."""
     random.seed(5)
