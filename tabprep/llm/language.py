@@ -7,8 +7,8 @@ Decoding adds the logistic losses of all bits against each codeword, weighted by
 the nearest codeword wins, and a text whose two nearest codewords are close is flagged as ambiguous.
 
 Training counts n-grams over all rows that have a language: tasks add up their own counts, which are then summed by
-language and n-gram, so a hot language shuffles no more than a rare one. The model has GRAMS numbers per bit. Prediction
-is one scan of whole texts.
+language and n-gram, so a hot language shuffles no more than a rare one. The sides of every bit are summed in Spark too; the
+driver gets GRAMS numbers per bit, which are the model. Prediction is one scan of whole texts.
 
 Defined cases: a null text, or one without a letter, is `und` with score 0 and flagged; so is every text if there is
 nothing to learn from; rows without a language, and languages whose texts have no letter, are not learned; repeated texts
@@ -30,9 +30,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabprep.llm.text import others, quoted, whole
+from tabprep.session import materialise
+from tabprep.sizing import hinted, local_table, lookup_table
 
 TWO, THREE = 13, 14
 GRAMS = (1 << TWO) + (1 << THREE)
+COMPARED = 2_000  # languages whose codewords are compared with each other
+UNIT = 1 << 60
 HELD = 32  # languages whose counts a task holds before it hands them on
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -59,6 +63,9 @@ def code_matrix(n: int) -> np.ndarray:
         sides = [s for size in range(1, n) for s in combinations(range(n), size) if 0 in s]
         return np.array([[1 if k in s else -1 for s in sides] for k in range(n)]).reshape(n, len(sides))
     bits, best, code = int(np.ceil(10 * np.log2(n))), -1, None
+    # Codewords drawn for very many languages are far apart anyway, and comparing all of them would take long.
+    if n > COMPARED:
+        return np.random.default_rng(0).choice(np.array([-1, 1], np.int8), size=(n, bits))
     for seed in range(50):
         trial = np.random.default_rng(seed).choice([-1, 1], size=(n, bits))
         distance = ((bits - trial @ trial.T) // 2 + bits * np.eye(n, dtype=int)).min()
@@ -141,20 +148,49 @@ class LanguageModel:
         return given.mapInArrow(run, schema)
 
 
+def bit_sums(counts: DataFrame, code: np.ndarray, languages: tuple[str, ...], totals: np.ndarray, smoothing: float) -> np.ndarray:
+    """(side, place, bit): the sum over a bit's languages with a 1 (side 0) or a 0 (side 1) of their n-grams' shares.
+
+    Spark adds up what was counted, in whole units of 1 / UNIT so that the order of adding changes nothing; the driver gets one row
+    per place, whatever the number of languages, and adds what smoothing gives to n-grams that a language lacks.
+    """
+    spark, bits = counts.sparkSession, code.shape[1]
+    room = totals + smoothing * GRAMS
+    known = local_table(spark, [(name, float(r), "".join("1" if b > 0 else "0" for b in row)) for name, r, row in zip(languages, room, code)],
+                        "name string, room double, word string")
+    known, small = lookup_table(known)
+    met = counts.join(hinted(known, small), F.col("lang") == F.col("name"))
+    share = F.round(F.col("n") * F.lit(float(UNIT)) / F.col("room")).cast("decimal(38,0)")
+    sides = [F.sum(F.when(F.substring("word", k + 1, 1) == side, F.col("share"))).alias(f"s{side}_{k}") for side in "10" for k in range(bits)]
+    summed = met.select("place", "word", share.alias("share")).groupBy("place").agg(*sides).toPandas()  # GRAMS rows at most
+    base = np.stack([(smoothing / room) @ (code > 0), (smoothing / room) @ (code < 0)])
+    out = np.repeat(base[:, None, :], GRAMS, axis=1)
+    if len(summed):
+        place = summed["place"].to_numpy()
+        for n, side in enumerate("10"):
+            found = summed[[f"s{side}_{k}" for k in range(bits)]].astype(float).fillna(0.0).to_numpy()
+            out[n][place] += found / UNIT
+    return out
+
+
 def fit(df: DataFrame, lang_col: str = "lang", text_col: str = "text", smoothing: float = 0.5) -> LanguageModel:
-    """Learn from all rows of `df` that have a language. Languages are few, so their counts come to the driver."""
-    found = gram_counts(df, lang_col, text_col).toPandas()
-    languages = tuple(sorted(found["lang"].unique()))
-    if not languages:
+    """Learn from all rows of `df` that have a language.
+
+    The driver gets the languages with their totals, one row each, and for each n-gram the sums of every bit, about ten times the
+    binary logarithm of the number of languages; the counts themselves stay in Spark.
+    """
+    counts = materialise(gram_counts(df, lang_col, text_col))
+    found = counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy("lang").toPandas()
+    if not len(found):
         return LanguageModel((), np.empty((0, 0)), np.empty((GRAMS, 0)), np.empty(0))
-    counts = np.zeros((len(languages), GRAMS))
-    counts[np.searchsorted(languages, found["lang"]), found["place"].to_numpy()] = found["n"].to_numpy()
-    share = (counts + smoothing) / (counts + smoothing).sum(axis=1, keepdims=True)
+    languages = tuple(sorted(found["lang"]))
+    totals = found.set_index("lang").loc[list(languages), "n"].to_numpy(dtype=float)
     code = code_matrix(len(languages))
-    ones, zeros = (code > 0).astype(float), (code < 0).astype(float)
-    one = share.T @ (ones / np.maximum(1, ones.sum(axis=0)))
-    zero = share.T @ (zeros / np.maximum(1, zeros.sum(axis=0)))
-    weights = np.log(one) - np.log(zero) if code.shape[1] else np.zeros((GRAMS, 0))
+    if not code.shape[1]:
+        return LanguageModel(languages, code, np.zeros((GRAMS, 0)), np.ones(0))
+    sums = bit_sums(counts, code, languages, totals, smoothing)
+    one, zero = sums[0] / np.maximum(1, (code > 0).sum(axis=0)), sums[1] / np.maximum(1, (code < 0).sum(axis=0))
+    weights = np.log(one) - np.log(zero)
     apart = ((one - zero) * weights).sum(axis=0)  # how far apart the bit's sides are, in nats per n-gram
-    bit_weights = apart / apart.mean() if len(apart) and apart.mean() > 0 else np.ones(code.shape[1])
+    bit_weights = apart / apart.mean() if apart.mean() > 0 else np.ones(code.shape[1])
     return LanguageModel(languages, code, weights, bit_weights)

@@ -228,3 +228,38 @@ def test_codewords_differ(n):
 def test_one_language(docs):
     model = language.fit(docs([(1, "some words", "en", "a")]))
     assert model.predict("other words")[:2] == ("en", 1.0)
+
+
+def plain_language_model(rows, smoothing=0.5):
+    """Weights of every bit from the counts of all languages side by side."""
+    names = sorted({lang for lang, text in rows if lang is not None and len(language.gram_places(text or ""))})
+    counts = np.zeros((len(names), language.GRAMS))
+    for lang, text in rows:
+        if lang in names:
+            counts[names.index(lang)] += np.bincount(language.gram_places(text or ""), minlength=language.GRAMS)
+    share = (counts + smoothing) / (counts + smoothing).sum(axis=1, keepdims=True)
+    code = language.code_matrix(len(names))
+    one = np.stack([share[code[:, k] > 0].mean(axis=0) for k in range(code.shape[1])], axis=1)
+    zero = np.stack([share[code[:, k] < 0].mean(axis=0) for k in range(code.shape[1])], axis=1)
+    return names, code, np.log(one) - np.log(zero)
+
+
+@pytest.mark.parametrize("n", [2, 4, 9])
+def test_language_model_equals_the_plain_one(docs, n):
+    rows = [(f"l{k % n}", sentence(30, k % n, 7) + f" word{k}") for k in range(60)] + [(None, "not learned"), ("l0", None), ("none", "1 2 3")]
+    model = language.fit(docs([(k, t, lang, "s") for k, (lang, t) in enumerate(rows)]).repartition(4))
+    names, code, weights = plain_language_model(rows)
+    assert list(model.languages) == names and (model.code == code).all() and model.weights == pytest.approx(weights, abs=1e-9)
+    for _, text in rows[:20]:
+        margins = np.bincount(language.gram_places(text), minlength=language.GRAMS) @ weights / np.sqrt(len(language.gram_places(text)))
+        loss = [sum(w * np.log1p(np.exp(-c * m)) for w, c, m in zip(model.bit_weights, word, margins)) for word in code]
+        assert model.predict(text)[0] == names[int(np.argmin(loss))]
+
+
+def test_thousands_of_languages(docs):
+    rows = [(k, sentence(6, k, 6), f"lang {k % 2500}", "s") for k in range(5000)]
+    model = language.fit(docs(rows, extra=False))
+    assert len(model.languages) == 2500 and model.weights.shape == (language.GRAMS, model.code.shape[1]) and model.code.shape[1] < 130
+    assert np.isfinite(model.weights).all()
+    again = language.fit(docs(rows, extra=False).repartition(7))
+    assert (again.weights == model.weights).all()
