@@ -263,3 +263,66 @@ def test_thousands_of_languages(docs):
     assert np.isfinite(model.weights).all()
     again = language.fit(docs(rows, extra=False).repartition(7))
     assert (again.weights == model.weights).all()
+
+
+@pytest.mark.parametrize("root", ["/root/testdata/sf0.001", "/root/testdata/sf0.1"])
+def test_embedding_query_equals_brute_force(spark, root):
+    from tabprep.llm.queries import QUERIES
+
+    rows = spark.read.parquet(f"{root}/embeddings.parquet").collect()
+    ids = np.array([r.vec_id for r in rows])
+    vectors, labels = np.array([r.embedding for r in rows], float), np.array([r.label for r in rows])
+    near = plain_links(vectors) & (labels[:, None] == labels[None, :])
+    order = np.argsort(ids)
+    place = np.argsort(order)
+    label = np.arange(len(ids))
+    i, j = np.nonzero(near)
+    unite(label, place[i], place[j])
+    smallest = ids[order][_root(label, np.arange(len(ids)))]
+    want = {int(ids[n]): (int(near[n].sum()), int(smallest[place[n]])) for n in range(len(ids))}
+    found = {r.vec_id: (r.n_links, r.component_id) for r in QUERIES["op4_embedding_dedup"](spark, root).collect()}
+    assert found == want
+
+
+def plain_ftrl(rows, s):
+    """Follow the regularised leader, one coordinate after the other."""
+    z, n = {}, {}
+
+    def weight(i):
+        zi = z.get(i, 0.0)
+        if abs(zi) <= s.l1:
+            return 0.0
+        return -(zi - (s.l1 if zi > 0 else -s.l1)) / ((s.beta + n.get(i, 0.0) ** 0.5) / s.alpha + s.l2)
+
+    for _ in range(s.epochs):
+        for places, values, label in rows:
+            x = dict(zip(places.tolist(), values.tolist())) | {"bias": 1.0}
+            w = {i: weight(i) for i in x}
+            p = 1 / (1 + np.exp(-max(-35.0, min(35.0, sum(w[i] * v for i, v in x.items())))))
+            for i, v in x.items():
+                g = (p - label) * v
+                sigma = ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / s.alpha
+                z[i] = z.get(i, 0.0) + g - sigma * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    return {i: weight(i) for i in z}
+
+
+def test_quality_model_equals_the_plain_one(docs, make):
+    s = quality_model.Settings(bits=10)
+    texts = {k: sentence(8, k % 5, 7) + (" fine words here" if k % 3 else " ### spam !!!") for k in range(90)}
+    rows = [(*quality_model.features(t, s.bits), float(k % 3 > 0)) for k, t in texts.items()]
+    plain = plain_ftrl(rows, s)
+    weights = quality_model.train_rows(rows, s)
+    want = np.zeros(len(weights))
+    for i, w in plain.items():
+        want[-1 if i == "bias" else i] = w
+    assert weights == pytest.approx(want, abs=1e-9) and (weights != 0).sum() > 20
+    # The fitted model sees the rows in the order of its draw; its scores are the plain weights' logistic sums.
+    model = quality_model.fit(docs([(k, t, "en", "s") for k, t in texts.items()]), make([(k, int(k % 3 > 0)) for k in texts], "doc_id bigint, quality int"), settings=s)
+    draw = {r.doc_id: r.d for r in make([(k,) for k in texts], "doc_id bigint").select("doc_id", F.xxhash64(F.lit("quality"), "doc_id").alias("d")).collect()}
+    plain = plain_ftrl([rows[k] for k in sorted(texts, key=draw.get)], s)
+    scored = model.transform(docs([(k, t, "en", "s") for k, t in texts.items()], extra=False)).collect()
+    for r in scored:
+        places, values, _ = rows[r.doc_id]
+        margin = plain["bias"] + sum(plain.get(i, 0.0) * v for i, v in zip(places.tolist(), values.tolist()))
+        assert r.score == pytest.approx(1 / (1 + np.exp(-margin)), abs=1e-9)
