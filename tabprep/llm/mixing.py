@@ -3,15 +3,18 @@
 Targets: sources sorted by code point (null last) weigh 3, 1, 2, repeating, and share a budget of words; a source's
 target stops at `max_copies` times its size and the excess is shared again by weight until no target is above.
 
-Copies: every document of a source is due target / size copies. The whole part is certain. The rest is sampled: each
-document draws u from a hash of its id and text, its rank is the odds of u divided by the odds of its inclusion
-probability, and documents are taken in rank order while their words fit into what is left of the target. The gap that
+Copies: every document of a source is due target / size copies. The whole part is certain. The rest of the target is
+sampled with unequal probabilities: a document's inclusion probability is proportional to its words, scaled so that the
+expected words are the rest of the target; where that exceeds one the document is certain, and the others are scaled
+again without it (`certain_rounds` times, or until no more become certain). Each document draws u from a hash of its id
+and text, its rank is the odds of u divided by the odds of its inclusion probability (zero where certain), and documents
+are taken in rank order while their words fit into what is left of the target. The gap that
 the first document too many leaves is filled in `fill_rounds` further passes by documents that fit into it, again in
 rank order. Last, the smallest document left is taken if that comes nearer to the target than leaving the gap. So the
 sample has a fixed size in words, off the target by less than half of a small document where the source has small ones.
 
-Plan: the draw decides alone, so a source is described by a few cut values, found on (source, draw, size) rows: sums by
-slice of the draw (about sqrt(n) slices for n documents) find the slice with the cut, and only that slice is sorted.
+Plan: draw and size decide alone, so a source is described by a few cut values, found on (source, draw, size) rows: sums
+by slice of the rank (about sqrt(n) slices for n documents) find the slice with the cut, and only that slice is sorted.
 Documents themselves are never shuffled; they meet the table of sources in a broadcast when that has at most 100,000
 rows, else in a shuffle join. A hot source is spread over its slices.
 
@@ -38,6 +41,7 @@ class Mix:
     weights: tuple[int, ...] = (3, 1, 2)
     max_copies: int = 2
     fill_rounds: int = 2
+    certain_rounds: int = 8
     seed: str = "mix-1"
 
 
@@ -77,6 +81,31 @@ def source_targets(sources: DataFrame, mix: Mix) -> DataFrame:
     return weighed.select("key", "size", "docs", target.alias("target"))
 
 
+def with_scale(sources: DataFrame, rows: DataFrame, rounds: int) -> DataFrame:
+    """Add `scale` to `sources`: inclusion probability per word of size, documents that would exceed one being certain.
+
+    `rows` has (key, size). Sums are whole numbers, so their order changes nothing.
+    """
+    sources = sources.withColumn("scale", F.lit(0.0))
+    for _ in range(rounds):
+        small, is_small = lookup_table(sources.select(F.col("key").alias("s__key"), "scale"))
+        met = rows.join(hinted(small, is_small), F.col("key") == F.col("s__key"))
+        certain = F.col("size") * F.col("scale") >= 1
+        square = F.col("size").cast("decimal(38,0)") * F.col("size")
+        sums = met.groupBy(F.col("key").alias("s__key")).agg(
+            F.coalesce(F.sum(F.when(certain, F.col("size"))), F.lit(0)).alias("sure_words"),
+            F.sum(F.when(~certain, square)).cast("double").alias("squares"))
+        scaled = F.coalesce(F.try_divide((F.col("room0") - F.col("sure_words")).cast("double"), F.col("squares")), F.col("scale"))
+        # Once a document is certain the others' share only grows.
+        new = F.when(F.col("room0") > 0, F.greatest("scale", scaled)).otherwise(0.0)
+        changed = materialise(sources.join(sums, F.col("key") == F.col("s__key"), "left").withColumn("new", new))
+        more = not changed.where("new <> scale").isEmpty()
+        sources = changed.drop("scale", "s__key", "sure_words", "squares").withColumnRenamed("new", "scale")
+        if not more:
+            break
+    return sources
+
+
 def _cut(rows: DataFrame, sources: DataFrame, room: str, cut: str, left: str) -> DataFrame:
     """Add to `sources` the highest rank up to which the ranked `rows` fit into `room`, and the room then left.
 
@@ -149,14 +178,17 @@ def mix_plan(df: DataFrame, id_col: str, text_col: str, source_col: str, size: C
         .withColumn("slices", F.ceil(F.sqrt("docs")))
         .withColumnsRenamed({"size": "source_size"})
     )
+    sources = with_scale(sources, narrow.select("key", "size"), mix.certain_rounds)
 
     def ranked(rows: DataFrame, table: DataFrame) -> DataFrame:
         small, is_small = lookup_table(table)
         met = rows.join(hinted(small, is_small), "key")
-        return met.withColumns({
-            "rank": F.try_divide(odds(F.col("draw")), odds(F.col("share"))),
-            "slice": F.floor(F.col("draw") * F.col("slices")),
-        })
+        chance = F.col("size") * F.col("scale")
+        # A document without words is never short; it ranks last.
+        rank = F.when(chance >= 1, 0.0).when(chance > 0, odds(F.col("draw")) / odds(chance)).otherwise(F.lit(float("inf")))
+        placed = F.when(rank == float("inf"), F.col("slices") - 1).otherwise(
+            F.least(F.floor(rank / (1 + rank) * F.col("slices")), F.col("slices") - 1))
+        return met.withColumns({"rank": rank, "slice": placed})
 
     def left(rounds: int) -> DataFrame:
         rows = ranked(narrow, sources).where(F.col("share") > 0)

@@ -122,6 +122,21 @@ def op6_sharding(spark, root):
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def _certain(rounds: int) -> str:
+    """CTEs that scale inclusion probabilities again without the documents that have become certain."""
+    return " ".join(f"""
+    e{n} AS (SELECT e.*, CASE WHEN e.room > 0 THEN greatest(e.c{n - 1}, coalesce((e.room - coalesce(x.words, 0)) / nullif(x.squares, 0), e.c{n - 1}))
+                         ELSE 0 END AS c{n}
+             FROM e{n - 1 if n > 1 else ""} e LEFT JOIN (
+                 SELECT d.source, sum(d.size) FILTER (d.size * s.c{n - 1} >= 1)::DOUBLE AS words,
+                        sum(d.size::HUGEINT * d.size) FILTER (NOT d.size * s.c{n - 1} >= 1)::DOUBLE AS squares
+                 FROM d JOIN e{n - 1 if n > 1 else ""} s ON d.source IS NOT DISTINCT FROM s.source GROUP BY d.source) x
+             ON e.source IS NOT DISTINCT FROM x.source),""" for n in range(1, rounds + 1))
+
+
+MIX = mixing.Mix()
+
+
 @query("op7_mixing", r"""
     WITH RECURSIVE d AS (
         SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
@@ -141,9 +156,12 @@ def op6_sharding(spark, root):
     t AS (SELECT source, source_size, least(2.0 * source_size, w * (SELECT max(lvl) FROM level)) AS target FROM s),
     q AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::INT ELSE 0 END AS sure,
                  CASE WHEN source_size > 0 THEN target / source_size - floor(target / source_size) ELSE 0 END AS share FROM t),
-    r0 AS (SELECT d.*, source_size, target, sure, share, floor(target - sure * source_size)::BIGINT AS room,
-                  (u / (1 - u)) / (share / (1 - share)) AS rank
-           FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source),
+    e AS (SELECT *, floor(target - sure * source_size)::BIGINT AS room, 0.0::DOUBLE AS c0 FROM q),
+    {CERTAIN}
+    r0 AS (SELECT d.*, source_size, target, sure, share, room,
+                  CASE WHEN size * c{LAST} >= 1 THEN 0.0 WHEN size * c{LAST} > 0
+                       THEN (u / (1 - u)) / ((size * c{LAST}) / (1 - size * c{LAST})) ELSE 'infinity'::DOUBLE END AS rank
+           FROM d JOIN e{LAST} q ON d.source IS NOT DISTINCT FROM q.source),
     r1 AS (SELECT *, share > 0 AND sum(size) OVER (PARTITION BY source ORDER BY rank) <= room AS in0 FROM r0),
     g1 AS (SELECT *, room - coalesce(sum(size) FILTER (in0) OVER (PARTITION BY source), 0) AS room1 FROM r1),
     r2 AS (SELECT *, share > 0 AND NOT in0 AND size <= room1 AND sum(size) FILTER (NOT in0 AND size <= room1)
@@ -156,7 +174,7 @@ def op6_sharding(spark, root):
     r4 AS (SELECT *, free AND size > room3 AND size - room3 < room3
                   AND row_number() OVER (PARTITION BY source, free AND size > room3 ORDER BY size, rank) = 1 AS in3 FROM g3)
     SELECT doc_id, size, source_size, target, (size * (sure + (in0 OR in1 OR in2 OR in3)::INT))::BIGINT AS taken FROM r4
-""")
+""".replace("{CERTAIN}", _certain(MIX.certain_rounds)).replace("{LAST}", str(MIX.certain_rounds)))
 def op7_mixing(spark, root):
     planned = mixing.plan(read(spark, root, "documents").select("doc_id", "text", "source"))
     return planned.select("doc_id", "size", "source_size", "target", "taken")

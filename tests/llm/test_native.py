@@ -5,6 +5,7 @@ import re
 import time
 from zlib import crc32
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,6 +111,32 @@ def test_mix_hits_targets(docs):
         assert abs(sum(r.taken for r in rs) - level) <= max(10, 0.05 * level)
 
 
+def plain_scale(sizes, room, rounds):
+    scale = 0.0
+    for _ in range(rounds):
+        rest = [n for n in sizes if n * scale < 1]
+        squares = sum(n * n for n in rest)
+        if not squares:
+            break
+        scale = max(scale, (room - sum(n for n in sizes if n * scale >= 1)) / squares)
+    return scale
+
+
+def test_inclusion_grows_with_size(docs):
+    """Long documents are taken more often, certain ones always, and the expected words are the rest of the target."""
+    sizes = [10] * 600 + [40] * 300 + [900] * 8
+    table = docs([(i, sentence(n, i, 6), "en", "a") for i, n in enumerate(sizes)], extra=False)
+    mix = mixing.Mix(budget=0.5)
+    found = {r.doc_id: r for r in mixing.plan(table, mix=mix).collect()}
+    room = sum(sizes) // 2
+    scale = plain_scale(sizes, room, mix.certain_rounds)
+    chance = {n: min(1.0, n * scale) for n in (10, 40, 900)}
+    assert chance[900] == 1 and abs(sum(chance[n] for n in sizes) - sum(r.copies for r in found.values())) < 30
+    share = {n: np.mean([found[i].copies for i, m in enumerate(sizes) if m == n]) for n in chance}
+    assert share[900] == 1 and abs(share[10] - chance[10]) < 0.08 and abs(share[40] - chance[40]) < 0.1 and share[40] > 2 * share[10]
+    assert abs(sum(r.taken for r in found.values()) - room) <= 10
+
+
 def test_mix_repeats_rows(docs):
     table = docs([(i, sentence(10, i), "en", "ab"[i % 2]) for i in range(40)])
     plan = {r.doc_id: r.copies for r in mixing.plan(table).collect()}
