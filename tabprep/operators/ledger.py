@@ -2,6 +2,9 @@
 
 A ledger hangs counters on the plan at any point. They are filled by whichever action runs the plan, so rows before and after a
 filter, rule hits, imputed cells and rows per file cost no scan of their own.
+
+Give a ledger tables of a session of its own (`spark.newSession()`): a session that has observed can no longer be sent to tasks,
+which Spark's evaluators of classifiers do.
 """
 
 from __future__ import annotations

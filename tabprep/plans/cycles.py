@@ -33,7 +33,7 @@ def _drop_folder(spark: SparkSession, path: str) -> None:
 def write_cycles(wide: DataFrame, out: str, cycles: Sequence[str]) -> DataFrame:
     """Replace the given cycles of the table at `out` by the rows of `wide`; returns their new manifest rows.
 
-    `wide` must hold no other cycle. A cycle without rows loses its folder, which a dynamic overwrite would leave.
+    `wide` must hold no other cycle, and come from a session that may observe (see the ledger). A cycle without rows loses its folder, which a dynamic overwrite would leave.
     """
     spark, ledger = wide.sparkSession, Ledger()
     named = {c: F.col("cycle") == c for c in cycles}
@@ -67,6 +67,7 @@ def rewrite_cycles(
     spark: SparkSession, root: str, out: str, cycles: Sequence[str] | None = None, null_label: int | None = None
 ) -> DataFrame:
     """L4 for some cycles (all of them by default): read their modules, consolidate, replace their folders; the new manifest."""
+    spark = spark.newSession()  # see the ledger
     if cycles is None:
         modules = read_modules(spark, root)
         cycles = sorted({c for c, _ in modules})

@@ -65,7 +65,7 @@ def scans(df):
 def test_ledger_counts_on_the_job_that_writes(spark, make, tmp_path):
     table = make([(i, None if i % 4 == 0 else float(i % 50), i % 3) for i in range(1000)], "id int, x double, kind int")
     table.write.parquet(str(tmp_path / "in"))
-    ledger, source = Ledger(), spark.read.parquet(str(tmp_path / "in"))
+    ledger, source = Ledger(), spark.newSession().read.parquet(str(tmp_path / "in"))
     known = ledger.keep(source, "with kind", F.when(F.col("kind") < 2, True))  # NULL elsewhere
     ruled = ledger.rules(known, "rules", {"x above 40": F.col("x") > 40, "`odd` name": F.col("kind") == 1})
     before = ledger.missing(ruled, "before", ["x"])
@@ -122,15 +122,23 @@ def test_rewriting_one_cycle_leaves_the_others(spark, tree):
     assert now["2013-2014"]["written_at"] == when["2013-2014"] and now["2011-2012"]["written_at"] > when["2011-2012"]
 
 
-def test_a_cycle_that_has_become_empty_goes(spark, tree, make):
+def test_a_cycle_that_has_become_empty_goes(spark, tree):
     _, root, out = tree
     cycles.rewrite_cycles(spark, root, out)
-    none = cycles.read_cycles(spark, out).where("cycle = '2013-2014' and subject_id > 100")
+    none = cycles.read_cycles(spark.newSession(), out).where("cycle = '2013-2014' and subject_id > 100")
     cycles.write_cycles(none, out, ["2013-2014"])
     assert files_of(out, "2013-2014") is None
     assert {r["cycle"]: r["rows"] for r in cycles.manifest(spark, out).collect()} == {"2011-2012": 4, "2013-2014": 0}
     with pytest.raises(ValueError):
-        cycles.write_cycles(make([(1, "x"), (2, "y")], "subject_id int, cycle string"), out + "-2", ["x"])
+        cycles.write_cycles(spark.newSession().createDataFrame([(1, "x"), (2, "y")], "subject_id int, cycle string"), out + "-2", ["x"])
     with pytest.raises(AnalysisException):
         cycles.rewrite_cycles(spark, root, out, ["1999-2000"])
     assert rows(cycles.read_cycles(spark, out).select("cycle").distinct()) == [("2011-2012",)]
+
+
+def test_the_session_can_still_evaluate(spark, tree):
+    from tabprep.plans.modelling import roc_auc
+
+    _, root, out = tree
+    cycles.rewrite_cycles(spark, root, out)
+    assert roc_auc(spark.createDataFrame([(0.0, 0.1), (1.0, 0.9)], "label double, score double")) == 1.0

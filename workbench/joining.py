@@ -332,7 +332,7 @@ def rewritten_cycle(spark, root):
 """)
 def accounted_write(spark, root):
     """Filter, rules, imputation and writing in one job that also fills every count."""
-    orders = table(spark, root, "orders").select("o_orderstatus", "o_orderpriority", "o_totalprice")
+    orders = table(spark.newSession(), root, "orders").select("o_orderstatus", "o_orderpriority", "o_totalprice")
     ledger = Ledger()
     kept = ledger.keep(orders, "status known", F.col("o_orderstatus") != "P")
     gapped = kept.withColumn("price", F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_totalprice")))
