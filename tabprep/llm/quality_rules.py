@@ -1,6 +1,10 @@
 """Operator 5, quality rules: line-first cleaning, then rejection of documents that lose too much.
 
-Every line is judged alone by the navigation, punctuation and boilerplate rules; lines that fail are removed. A document
+Every line is judged alone by the navigation, punctuation and boilerplate rules; lines that fail are removed. Boilerplate
+is a line of which stock phrases of any of four languages make up `phrase_share` of the characters, a dated copyright
+notice of `notice_words` words at most, or one with addresses as `address_share` of its words; a phrase within a long line
+fails nothing. Lines that many documents share are no sign of a frame here: copies and shared passages would count as frames, and
+removing those is another operator's work. A document
 is rejected when it fails the base limits (too few words, too much repetition) or when the removed lines held more than
 `max_lost` of its word characters. Everything is a row-local expression: one scan, no shuffle, no Python.
 
@@ -19,18 +23,28 @@ from pyspark.sql import functions as F
 from tabprep.llm.text import WORD, let, others, quoted, whole, with_outputs, words_of
 
 SYMBOLS = "#*$%&|<>"
-# What a page frame or a notice says, lower case.
-BOILERPLATE = (
-    "all rights reserved", "cookie policy", "privacy policy", "terms of use", "terms of service", "terms and conditions",
-    "enable javascript", "javascript is disabled", "subscribe to our newsletter", "sign up for our newsletter",
-    "click here to", "skip to main content", "skip to content", "back to top", "powered by", "lorem ipsum",
-    "is licensed under", "released under the", "this work is licensed", "copyright (c)", "page not found",
-)
+# What a page frame or a notice says in each language, lower case.
+PHRASES = {
+    "en": ("all rights reserved", "cookie policy", "privacy policy", "terms of use", "terms of service", "terms and conditions",
+           "enable javascript", "javascript is disabled", "subscribe to our newsletter", "sign up for our newsletter",
+           "click here to", "skip to main content", "skip to content", "back to top", "powered by", "lorem ipsum",
+           "is licensed under", "released under the", "this work is licensed", "copyright (c)", "page not found"),
+    "de": ("alle rechte vorbehalten", "datenschutzerklärung", "cookie-richtlinie", "nutzungsbedingungen",
+           "allgemeine geschäftsbedingungen", "javascript aktivieren", "newsletter abonnieren", "zum inhalt springen",
+           "zum seitenanfang", "seite nicht gefunden"),
+    "es": ("todos los derechos reservados", "política de privacidad", "política de cookies", "condiciones de uso",
+           "términos y condiciones", "aviso legal", "activar javascript", "suscríbete a nuestro boletín", "saltar al contenido",
+           "ir al contenido principal", "volver arriba", "página no encontrada"),
+    "fr": ("tous droits réservés", "politique de confidentialité", "politique de cookies", "conditions d'utilisation",
+           "conditions générales de vente", "mentions légales", "activer javascript", "abonnez-vous à notre newsletter",
+           "aller au contenu", "haut de page", "page introuvable"),
+}
+BOILERPLATE = tuple(phrase for phrases in PHRASES.values() for phrase in phrases)
 
 
 @dataclass(frozen=True)
 class Limits:
-    """The limits of the rules, in words, shares of words and shares of word characters."""
+    """The limits of the rules, in words, shares of words, of a line's characters and of word characters."""
 
     min_words: int = 50
     max_repeat_percent: int = 50
@@ -38,6 +52,9 @@ class Limits:
     separator_share: float = 0.2
     marked_share: float = 0.2
     short_line: int = 3
+    phrase_share: float = 0.15
+    notice_words: int = 20
+    address_share: float = 0.5
     max_lost: float = 0.5
 
 
@@ -47,6 +64,8 @@ MARKS = "[#$%&*^~=<>|+!?]"  # without one of these nothing is marked
 TERMINAL = "[.!?…:;。！？][\"'”’»)\\]]*[\\x20\\x09-\\x0D]*$"
 LETTER = r"\p{L}"
 PLAIN = r"[\p{L}\p{N}]"
+NOTICE = r"(?:©|\([Cc]\)|[Cc]opyright)[\x20,]*(?:19|20)[0-9]{2}"
+ADDRESS = r"(?:https?://|www\.)[^\x20\x09-\x0D]+"
 
 
 def windows(words: Column) -> Column:
@@ -87,10 +106,17 @@ def line_fails(line: Column, limits: Limits = Limits()) -> Column:
     menu = ~several_words & ~line.rlike(TERMINAL)
     punctuation = line.rlike(MARKS) & (marked >= 2) & (marked >= n * limits.marked_share) | ~line.rlike(PLAIN)
 
-    def boilerplate(low: Column) -> Column:
-        return reduce(lambda a, b: a | b, [F.contains(low, F.lit(phrase)) for phrase in BOILERPLATE])
+    notice = line.rlike(NOTICE) & (n <= limits.notice_words)
+    addresses = line.rlike(ADDRESS) & (F.regexp_count(line, F.lit(ADDRESS)) >= n * limits.address_share)
 
-    return line.rlike(WORD) & (navigation | menu | punctuation | let(F.lower(line), boilerplate))
+    def phrases(low: Column) -> Column:
+        # Most lines hold no phrase: lengths are added up only where one is found.
+        found = reduce(lambda a, b: a | b, [F.contains(low, F.lit(phrase)) for phrase in BOILERPLATE])
+        said = reduce(lambda a, b: a + b, [
+            F.when(F.contains(low, F.lit(phrase)), len(phrase)).otherwise(0) for phrase in BOILERPLATE])
+        return found & (said >= F.length(line) * limits.phrase_share)
+
+    return line.rlike(WORD) & (navigation | menu | punctuation | notice | addresses | let(F.lower(line), phrases))
 
 
 def word_chars(words: Column) -> Column:

@@ -82,7 +82,10 @@ def op4_embedding_dedup(spark, root):
               (seps >= {RULES.separators} AND seps >= n * {RULES.separator_share})
               OR (n < {RULES.short_line} AND NOT regexp_matches(line, '[.!?…:;。！？]["''”’»)\]]*[\x20\x09-\x0D]*$'))
               OR (marks >= 2 AND marks >= n * {RULES.marked_share}) OR NOT regexp_matches(line, '[\pL\pN]')
-              OR list_bool_or(list_transform([{sql_in(quality_rules.BOILERPLATE)}], lambda p: contains(lower(line), p)))) AS fails
+              OR (n <= {RULES.notice_words} AND regexp_matches(line, '(?:©|\([Cc]\)|[Cc]opyright)[\x20,]*(?:19|20)[0-9]{{2}}'))
+              OR len(regexp_extract_all(line, '(?:https?://|www\.)[^\x20\x09-\x0D]+')) >= greatest(1, n * {RULES.address_share})
+              OR coalesce(list_sum(list_transform(list_filter([{sql_in(quality_rules.BOILERPLATE)}], lambda p: contains(lower(line), p)),
+                     lambda p: len(p))), 0) >= greatest(1, len(line) * {RULES.phrase_share})) AS fails
           FROM j),
     per AS (SELECT doc_id, coalesce(sum(chars), 0)::BIGINT AS word_chars, sum(n)::BIGINT AS n_words,
                    coalesce(sum(chars) FILTER (fails), 0) AS lost,

@@ -63,6 +63,26 @@ def test_quality_removes_lines_and_keeps_columns(docs):
     assert quality_rules.clean(docs([])).count() == 0
 
 
+@pytest.mark.parametrize("line, fails", [
+    ("Alle Rechte vorbehalten.", True), ("Tous droits réservés - mentions légales.", True), ("Todos los derechos reservados, 2019.", True),
+    ("The old mill is powered by a wheel that the village built when the river still ran past its gate every spring.", False),
+    (sentence(60, 8) + " Click here to go on. " + sentence(60, 9), False), ("Powered by a small engine.", True),
+    ("Copyright 2021 Some Publisher and its partners.", True), ("In 2021 copyright law was changed in some countries.", False),
+    (sentence(30, 8) + " (c) 2020 " + sentence(30, 9), False), ("See http://a.example/x www.b.example now.", True),
+    (sentence(12, 8) + " http://a.example/x " + sentence(12, 9), False),
+])
+def test_boilerplate_lines(docs, line, fails):
+    table = docs([(1, GOOD + "\n" + line + "\n" + GOOD, "en", "a")])
+    (row,) = quality_rules.judge(table).collect()
+    assert (row.clean_text == GOOD + "\n" + GOOD) == fails and fails == (row.clean_text != row.text)
+
+
+def test_one_long_line_with_a_phrase_stays(docs):
+    text = sentence(200, 6) + " powered by " + sentence(200, 7)
+    (row,) = quality_rules.judge(docs([(1, text, "en", "a")])).collect()
+    assert row.kept and row.clean_text == text
+
+
 def test_shards_are_contiguous_and_balanced(docs):
     texts = (ODD + [sentence(n % 40, n) for n in range(300)]) * 2
     table = docs([(None if i % 97 == 0 else i // 2, t, None, None) for i, t in enumerate(texts)])
