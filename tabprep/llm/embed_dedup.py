@@ -2,22 +2,25 @@
 
 Vectors are compared within their label. Equal vectors collapse into one class first, which keeps their number, so that
 copies cost nothing further and still count as links. The classes of a label are dealt over shards of about `shard_rows`
-by a hash; each shard is one task that builds a graph (`hnsw.py`) over its classes and searches it for every class of
-the label: first its own, then, in a stream, those of the other shards.
+by a hash; each shard is one task that builds a graph (`hnsw.py`) over its classes, once. The graph is written as rows: a
+class, its vector and its links in every layer. The classes of the label that search it come in slices of about
+`slice_rows`; each slice of each shard is a task that reads the graph's rows and searches for its own classes and those
+of other shards, so a large label is many tasks of bounded length.
 
-Searches start with beams of `beam`. Before it answers, the shard audits itself: its classes are drawn at random until
+Searches start with beams of `beam`. When it is built, the shard audits itself: its classes are drawn at random until
 `linked` of them have a link to another class or none is left, their links are found by an exact scan, and beams double
-until the mean share that a class with links finds reaches `recall`. Searches from other shards are audited alike as they
-arrive: up to `foreign` of them are drawn until `linked` have a link, `audit` of every batch after that, and the batch is
-answered with the beam that the audited ones need; batches answered before are not searched again. A search whose whole
+until the mean share that a class with links finds reaches `recall`. Searches from other shards are audited alike: up to
+`foreign` of a slice's are drawn until `linked` have a link. A slice gives no answer before its audit, so that all its
+answers come from the beam that passed. A search whose whole
 beam lies within the threshold is repeated with a wider one, until the beam reaches past the links; when a beam
 would hold a good part of the shard, the shard is scanned exactly instead. All links are verified in double precision.
 
-A task returns one row per searched class (number of links, its nearest tie) and ties to the local component's root, so
+A task returns one row per searched class (number of links) and ties to the local component's root, so
 results grow with the vectors, not with the pairs. Components are joined by `graph.py`.
 
 Defined cases: a vector that is null, empty, zero, or holds null or non-finite components, or whose label is null, links
-with nothing; vectors of different lengths do not link; a row without an id counts as a vector but never names a
+with nothing; finite components of any size are compared (vectors are scaled by a power of two first); vectors of
+different lengths do not link; a row without an id counts as a vector but never names a
 component (null if none has an id); rows with equal vectors and ids count as separate vectors; an empty table gives no rows.
 """
 
@@ -30,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabprep.llm.graph import components
 from tabprep.llm.gray import _root, unite
@@ -47,6 +51,7 @@ PAIRS = 4_000_000  # similarities of an exact scan held at once
 class Search:
     threshold: float = 0.93
     shard_rows: int = 50_000
+    slice_rows: int = 10_000
     beam: int = 32
     audit: int = 256
     recall: float = 0.995
@@ -60,17 +65,21 @@ def usable(vector: Column, label: Column) -> Column:
 
 
 class Shard:
-    """The graph of one shard, its audited beam, and verified links."""
+    """The graph of one shard, its audited beam, and verified links; built anew or from the rows of `built`."""
 
-    def __init__(self, vectors: np.ndarray, search: Search):
+    def __init__(self, vectors: np.ndarray, search: Search, built: tuple[np.ndarray, np.ndarray, int] | None = None):
         self.search = search
         self.wide = vectors
         self.norm = np.linalg.norm(vectors, axis=1)
-        self.graph = Graph(vectors / self.norm[:, None])
-        self.beam = search.beam
         self.asked = 0  # searches of other shards drawn so far
         self.pools = {True: [], False: []}  # own and other classes with links: (vector, own place or -1, number of links)
-        self.audit(vectors, True)
+        unit = vectors / self.norm[:, None]
+        if built:
+            height, links, self.beam = built
+            self.graph = Graph.restored(unit, height, links)
+        else:
+            self.graph, self.beam = Graph(unit), search.beam
+            self.audit(vectors, True)
 
     def audit(self, vectors: np.ndarray, own: bool) -> None:
         """Draw vectors until enough of them have links, and widen the beam until theirs are found."""
@@ -149,68 +158,89 @@ class Shard:
 
 def _vectors(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1)
+    vectors = flat.reshape(len(column), -1)
+    # Powers of two change no cosine, and keep squares of very large and very small numbers finite.
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
 
 
 def _answers(shard: Shard, node, weight, ask_node, ask_vectors, own: bool, label):
-    """One row per searched class: its links' weight; and ties that join its component."""
+    """One row per searched class, its links' weight; and ties to the roots of local components.
+
+    `node` ascends; `label` holds the members' components found so far.
+    """
     total = np.zeros(len(ask_node), np.int64)
-    a, b = [], []
-    if not own:
+    if own:
+        place, names = np.searchsorted(node, ask_node), node
+    else:
         shard.audit(ask_vectors, False)
+        place, names = len(node) + np.arange(len(ask_node)), np.r_[node, ask_node]
+        label = np.r_[label, place]
     for i, j in shard.links(ask_vectors):
-        if own:
-            i, j = i[i != j], j[i != j]
-            unite(label, i, j)
-        else:
-            root = _root(label, j)
-            pairs = np.unique(np.stack([i, root]), axis=1) if len(i) else np.empty((2, 0), int)
-            a.append(ask_node[pairs[0]])
-            b.append(node[pairs[1]])
+        apart = place[i] != j
+        i, j = i[apart], j[apart]
+        unite(label, place[i], j)
         np.add.at(total, i, weight[j])
-    if own:
-        root = _root(label, np.arange(len(node)))
-        tied = root != np.arange(len(node))
-        a, b = [node[tied]], [node[root[tied]]]
-    a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (a, b))
+    root = _root(label, np.arange(len(label)))
+    tied = np.flatnonzero(root != np.arange(len(label)))
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.r_[ask_node, a]), pa.array(np.r_[total, np.zeros(len(a), np.int64)]),
-         pa.array(np.r_[ask_node, b])], names=["node", "links", "tie"])
+        [pa.array(np.r_[ask_node, names[tied]]), pa.array(np.r_[total, np.zeros(len(tied), np.int64)]),
+         pa.array(np.r_[ask_node, names[root[tied]]])], names=["node", "links", "tie"])
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each value of the first column; they come sorted by it."""
+    held, current = [], None
+    for batch in batches:
+        keys = batch.column(0).to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else []
+        for begin, end in zip(cuts, np.r_[cuts[1:], len(keys)]):
+            if held and keys[begin] != current:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            current = keys[begin]
+            held.append(batch.slice(begin, end - begin))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _column(table: pa.Table, name: str) -> pa.Array:
+    return table.column(name).combine_chunks()
+
+
+def _graph_task(search: Search):
+    """Rows of (shard, slices, node, weight, vector), sorted by shard and node, get the links of the shard's graph and its beam."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches):
+            shard = Shard(_vectors(_column(table, "vector")), search)
+            size, links = shard.graph.rows()
+            made = [pa.array(shard.graph.height.astype(np.int32)),
+                    pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)].astype(np.int32)), pa.array(links)),
+                    pa.array(np.full(len(size), shard.beam, np.int32))]
+            for name, column in zip(("height", "links", "beam"), made):
+                table = table.append_column(name, column)
+            yield from table.to_batches(max_chunksize=10_000)
+
+    return run
 
 
-def _shard_task(search: Search):
-    """Rows come sorted by shard, members before the searches of other shards."""
+def _slice_task(search: Search):
+    """Rows come sorted by task, then members (role 0), own searches (1) and those of other shards (2), each by node."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, members, shard = None, [], None
-        node = weight = label = None
-
-        def build():
-            nonlocal shard, node, weight, label, members
-            node, weight = (np.concatenate([m[k] for m in members]) for k in (0, 1))
-            vectors = np.concatenate([m[2] for m in members])
-            members = []
-            shard, label = Shard(vectors, search), np.arange(len(node))
-            return _answers(shard, node, weight, node, vectors, True, label)
-
-        for batch in batches:
-            numbers, foreign = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            cuts = np.flatnonzero(np.r_[True, (numbers[1:] != numbers[:-1]) | (foreign[1:] != foreign[:-1])])
-            for begin, end in zip(cuts, np.r_[cuts[1:], len(numbers)]):
-                part = batch.slice(begin, end - begin)
-                rows = (part.column(2).to_numpy(zero_copy_only=False), part.column(3).to_numpy(zero_copy_only=False),
-                        _vectors(part.column(4)))
-                if numbers[begin] != current:
-                    if members:
-                        yield build()
-                    current, shard = numbers[begin], None
-                if not foreign[begin]:
-                    members.append(rows)
-                    continue
-                if shard is None:
-                    yield build()
-                yield _answers(shard, node, weight, rows[0], rows[2], False, label)
-        if members:
-            yield build()
+        for table in _groups(batches):
+            role = _column(table, "role").to_numpy(zero_copy_only=False)
+            cuts = np.searchsorted(role, [0, 1, 2, 3])
+            members, *asking = (table.slice(a, b - a) for a, b in zip(cuts[:-1], cuts[1:]))
+            if not members.num_rows:  # a shard that the hash left empty
+                continue
+            node, weight, height = (_column(members, c).to_numpy(zero_copy_only=False) for c in ("node", "weight", "height"))
+            links = _column(members, "links").flatten().to_numpy(zero_copy_only=False)
+            beam = int(_column(members, "beam")[0].as_py())
+            shard = Shard(_vectors(_column(members, "vector")), search, (height, links, beam))
+            label = np.arange(len(node))
+            for own, part in zip((True, False), asking):
+                if part.num_rows:
+                    asked = _column(part, "node").to_numpy(zero_copy_only=False)
+                    yield _answers(shard, node, weight, asked, _vectors(_column(part, "vector")), own, label)
 
     return run
 
@@ -231,17 +261,31 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     members = materialise(grouped.withColumn("node", F.monotonically_increasing_id()).withColumn("dim", F.size("vector")))
 
     groups = materialise(members.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n")))
-    dealt = groups.withColumn("shards", F.ceil(F.col("n") / search.shard_rows).cast("int"))
+    dealt = groups.withColumn("shards", F.ceil(F.col("n") / search.shard_rows).cast("int")).withColumn(
+        "slices", F.ceil(F.col("n") / search.slice_rows).cast("int"))
     small, is_small = lookup_table(dealt)
+    shard_of = F.xxhash64("label", "dim", "at")
     placed = members.join(hinted(small, is_small), ["label", "dim"]).withColumn(
         "own", F.pmod(F.xxhash64("node"), F.col("shards")).cast("int"))
-    asked = placed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).select(
-        F.xxhash64("label", "dim", "shard").alias("shard"), (F.col("shard") != F.col("own")).alias("foreign"),
-        "node", "weight", "vector")
-    n_shards = dealt.agg(F.sum("shards")).first()[0] or 1
-    parts = int(min(4 * n_shards, 20_000))  # more than shards, so that two of them seldom share a task
-    sent = asked.repartitionByRange(parts, "shard").sortWithinPartitions("shard", "foreign")
-    answers = materialise(sent.mapInArrow(_shard_task(search), "node bigint, links bigint, tie bigint"))
+    n_shards, n_tasks = dealt.agg(F.sum("shards"), F.sum(F.col("shards").cast("bigint") * F.col("slices"))).first()
+    parts = int(min(4 * (n_shards or 1), 20_000))  # more than shards, so that two of them seldom share a task
+    kept = placed.withColumn("at", F.col("own")).select(shard_of.alias("shard"), "slices", "node", "weight", "vector")
+    built = kept.repartitionByRange(parts, "shard").sortWithinPartitions("shard", "node")
+    schema = T.StructType([*built.schema.fields, T.StructField("height", T.IntegerType()),
+                           T.StructField("links", T.ArrayType(T.IntegerType())), T.StructField("beam", T.IntegerType())])
+    graphs = materialise(built.mapInArrow(_graph_task(search), schema))
+
+    task = F.xxhash64("shard", "slice")
+    sent = graphs.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).select(
+        task.alias("task"), F.lit(0).alias("role"), "node", "weight", "vector", "height", "links", "beam")
+    asked = placed.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).select(
+        shard_of.alias("shard"), F.pmod(F.xxhash64(F.lit(1), "node"), F.col("slices")).cast("int").alias("slice"),
+        F.when(F.col("at") == F.col("own"), 1).otherwise(2).alias("role"), "node", "vector").select(
+        task.alias("task"), "role", "node", F.lit(None).cast("bigint").alias("weight"), "vector",
+        F.lit(None).cast("int").alias("height"), F.lit(None).cast("array<int>").alias("links"), F.lit(None).cast("int").alias("beam"))
+    parts = int(min(4 * (n_tasks or 1), 20_000))
+    sent = sent.union(asked).repartitionByRange(parts, "task").sortWithinPartitions("task", "role", "node")
+    answers = materialise(sent.mapInArrow(_slice_task(search), "node bigint, links bigint, tie bigint"))
 
     links = answers.groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(answers.where("node <> tie"), "node", "tie")

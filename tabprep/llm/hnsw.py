@@ -31,6 +31,30 @@ class Graph:
             self._insert(block, done)
             done += len(block)
 
+    @classmethod
+    def restored(cls, vectors: np.ndarray, height: np.ndarray, links: np.ndarray) -> "Graph":
+        """The graph that `rows` was asked for, without building it again."""
+        graph = cls.__new__(cls)
+        graph.x, graph.height = np.ascontiguousarray(vectors, np.float32), height
+        graph.order = np.lexsort((np.arange(len(height)), -height))
+        begin = np.cumsum(2 * M + M * height) - 2 * M - M * height
+        graph.layers = [links[begin[:, None] + np.arange(2 * M)]]
+        for level in range(1, int(height.max(initial=0)) + 1):
+            layer, here = np.full((len(height), M), -1, np.int32), height >= level
+            layer[here] = links[begin[here, None] + M * (level + 1) + np.arange(M)]
+            graph.layers.append(layer)
+        return graph
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray]:
+        """(number of links, links) of the points in order: 2 M of layer 0, then M of every layer up to the point's height."""
+        size = 2 * M + M * self.height
+        begin, links = np.cumsum(size) - size, np.empty(size.sum(), np.int32)
+        links[begin[:, None] + np.arange(2 * M)] = self.layers[0]
+        for level in range(1, len(self.layers)):
+            here = self.height >= level
+            links[begin[here, None] + M * (level + 1) + np.arange(M)] = self.layers[level][here]
+        return size, links
+
     def _insert(self, block: np.ndarray, done: int) -> None:
         entry = np.full((len(block), 1), self.order[0]) if done else np.full((len(block), 0), 0)
         inner = self.x[block] @ self.x[block].T

@@ -143,6 +143,40 @@ def test_searches_of_other_shards_are_audited(monkeypatch):
     assert sum(answers.column(1).to_pylist()) == 20
 
 
+def test_graph_survives_its_rows():
+    vectors = clustered(1500, 24, 200, 0.1, 11)
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    graph = hnsw.Graph(unit)
+    size, links = graph.rows()
+    again = hnsw.Graph.restored(unit, graph.height, links)
+    assert size.sum() == len(links) and len(again.layers) == len(graph.layers) > 1
+    assert all((a == b).all() for a, b in zip(again.layers, graph.layers)) and (again.order == graph.order).all()
+    assert (again.nearest(graph.x[:50], 16)[0] == graph.nearest(graph.x[:50], 16)[0]).all()
+
+
+def test_slices_of_searches_find_the_same(make):
+    vectors = np.float32(np.concatenate([clustered(900, 16, 150, 0.08, 12), clustered(300, 16, 1, 0.05, 13)]))
+    rows = [(n, [float(v) for v in x], 1) for n, x in enumerate(vectors)]
+    table = make(rows, "vec_id bigint, embedding array<float>, label int").repartition(3)
+    near = plain_links(vectors.astype(float))
+    label = np.arange(len(vectors))
+    unite(label, *np.nonzero(near))
+    label = _root(label, np.arange(len(vectors)))
+    for shard_rows, slice_rows in ((10_000, 10_000), (10_000, 170), (400, 250)):
+        found = {r.vec_id: r for r in embed_dedup.near_duplicates(
+            table, search=embed_dedup.Search(shard_rows=shard_rows, slice_rows=slice_rows)).collect()}
+        got = np.array([found[n].n_links for n in range(len(vectors))])
+        assert (got <= near.sum(axis=1)).all() and got.sum() >= 0.995 * near.sum()
+        assert [found[n].component_id for n in range(len(vectors))] == label.tolist()
+
+
+def test_vectors_of_any_finite_size(make):
+    rows = [(1, [1e300, 1e300], 1), (2, [1e300, 1.01e300], 1), (3, [3e-200, 3e-200], 1), (4, [1.0, -1.0], 1), (5, [1e300, 1e300], 1)]
+    found = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.near_duplicates(
+        make(rows, "vec_id bigint, embedding array<double>, label int")).collect()}
+    assert found == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (0, 4), 5: (3, 1)}
+
+
 # Quality ----------------------------------------------------------------------------------------------------------------
 
 def test_quality_held_out(spark):
