@@ -106,8 +106,10 @@ def line_fails(line: Column, limits: Limits = Limits()) -> Column:
     menu = ~several_words & ~line.rlike(TERMINAL)
     punctuation = line.rlike(MARKS) & (marked >= 2) & (marked >= n * limits.marked_share) | ~line.rlike(PLAIN)
 
-    notice = line.rlike(NOTICE) & (n <= limits.notice_words)
-    addresses = line.rlike(ADDRESS) & (F.regexp_count(line, F.lit(ADDRESS)) >= n * limits.address_share)
+    dated = F.contains(line, F.lit("©")) | F.contains(line, F.lit("(c)")) | F.contains(line, F.lit("(C)")) | F.contains(line, F.lit("opyright"))
+    notice = dated & line.rlike(NOTICE) & (n <= limits.notice_words)
+    addressed = F.contains(line, F.lit("://")) | F.contains(line, F.lit("www."))
+    addresses = addressed & line.rlike(ADDRESS) & (F.regexp_count(line, F.lit(ADDRESS)) >= n * limits.address_share)
 
     def phrases(low: Column) -> Column:
         # Most lines hold no phrase: lengths are added up only where one is found.
