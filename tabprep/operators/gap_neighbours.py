@@ -8,6 +8,11 @@ donors that do not know the axis. Round one looks in the query's own box and giv
 in every other box that the radius touches. A box's lower bound spreads the gaps of its split axes over all coordinates that
 query and box can share, which never exceeds the distance to any donor inside, so the answer is exact for any sample.
 
+Two steps keep the work near the size of the input. Nothing is nearer than distance zero and ties go to the smaller key, so a
+query whose missing cells all have k donors at distance zero among the donors with the smallest keys is settled by look-ups
+there (`zero_distance`). Of the others, every frequent pattern of known cells is searched by a tree of its own, which splits
+only axes that its queries know: donors that share the same coordinates with them then lie in the same boxes.
+
 Donors and queries of a box meet in chunks of bounded size. A chunk's distances are one matrix product of known values,
 squares and masks; what may be among the k nearest of a cell is computed again coordinate by coordinate, so rounding decides
 nothing, and k rows per missing cell leave a task.
@@ -25,10 +30,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabprep.operators.neighbours import BOX_DONORS, CHUNK_BOXES, CHUNK_QUERIES, ONE_BOX, SAMPLE_PER_BOX
-from tabprep.session import materialise
+from tabprep.session import materialise, run_together
 
 MAX_BOXES = 16_384      # the tree sent to tasks and the sample stay this small
 TILE_CELLS = 1_000_000  # distances held at once inside a task
+FIRST_DONORS = 8, 64    # donors with the smallest keys that are sent to every task, in boxes, step by step
+SETTLED_ENOUGH = 0.25   # share of the queries that a step must settle for the next to follow
+PATTERNS = 16           # frequent patterns of known cells searched by trees of their own
+WIDE_KNOWN = 4          # with up to this many known cells round one looks in the query's box for every set of shared coordinates
+LOOKUP_CELLS = 1_000_000  # donors looked up at once inside a task
 
 
 @dataclass(frozen=True)
@@ -88,14 +98,20 @@ class GapTree:
 
     def touched(self, points: np.ndarray, square_radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(query row, box) for every box whose lower bound does not exceed the query's radius."""
+        return self.bounded(points, square_radius)[:2]
+
+    def bounded(self, points: np.ndarray, square_radius: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query row, box, squared lower bound) for every box whose lower bound does not exceed the query's radius."""
         width = points.shape[1]
         row, node = np.arange(len(points)), np.zeros(len(points), np.int64)
         gap = np.where(np.isnan(points), np.nan, 0.0)  # per coordinate that may be shared, NaN for the others
-        rows, boxes = [], []
+        least = np.zeros(len(points))
+        rows, boxes, bounds = [], [], []
         while len(row):
             leaf = self.axis[node] < 0
             rows.append(row[leaf])
             boxes.append(node[leaf])
+            bounds.append(least[leaf])
             row, node, gap = row[~leaf], node[~leaf], gap[~leaf]
             axis, at = self.axis[node], np.arange(len(row))
             offset = points[row, axis] - self.cut[node]
@@ -111,9 +127,11 @@ class GapTree:
                 possible = (~np.isnan(reach)).sum(axis=1)
                 bound = np.nansum(reach ** 2, axis=1) * width / np.maximum(possible, 1)
                 keep = (possible > 0) & (bound <= square_radius[row])
-                sides.append((row[keep], self.low[node[keep]] + side, reach[keep]))
-            row, node, gap = (np.concatenate(parts) for parts in zip(*sides))
-        return np.concatenate(rows), np.concatenate(boxes)
+                sides.append((row[keep], self.low[node[keep]] + side, reach[keep], bound[keep]))
+            row, node, gap, least = (np.concatenate(parts) for parts in zip(*sides))
+        if not rows:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        return np.concatenate(rows), np.concatenate(boxes), np.concatenate(bounds)
 
 
 def nearest_per_cell(donors: np.ndarray, queries: np.ndarray, k: int, square_radius: np.ndarray | None = None):
@@ -168,6 +186,72 @@ def nearest_per_cell(donors: np.ndarray, queries: np.ndarray, k: int, square_rad
     return tuple(np.concatenate(parts) for parts in zip(*out))
 
 
+def _marks(values: np.ndarray) -> np.ndarray:
+    """One word per known value, 0 for an unknown one: sums of them tell points apart, whatever coordinates are summed."""
+    known = ~np.isnan(values)
+    word = (np.where(known, values, 0) + 0.0).view(np.uint64) + np.arange(1, values.shape[1] + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        word = (word ^ (word >> np.uint64(shift))) * np.uint64(factor)
+    return np.where(known, word ^ (word >> np.uint64(31)), np.uint64(0))
+
+
+def zero_distance(donors: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, missing column, donor row) of the first k donors at distance zero, for queries that have k for every missing cell.
+
+    Donors come in tie order. Queries with the same known cells share one order of the donors by what both know; a query is
+    looked up once per set of coordinates that some donor shares with it.
+    """
+    width = donors.shape[1]
+    bit = np.left_shift(np.int64(1), np.arange(width))
+    known = ~np.isnan(donors)
+    donor_mask, query_mask = known @ bit, ~np.isnan(queries) @ bit
+    donor_marks, query_marks = _marks(donors), _marks(queries)
+    out = []
+    for pattern in np.unique(query_mask):
+        asking = np.flatnonzero(query_mask == pattern)
+        has = (pattern & bit) != 0
+        shared = donor_mask & pattern
+        able = np.flatnonzero((shared != 0) & (donor_mask != shared))
+        # The set of shared coordinates is part of the mark.
+        marks = donor_marks[:, has].sum(axis=1, dtype=np.uint64)[able] + _marks(shared[able, None].astype(float))[:, 0]
+        order = np.argsort(marks, kind="stable")
+        marks, able = marks[order], able[order]
+        sets = np.unique(shared[able])
+        if not len(sets):
+            continue
+        salt = _marks(sets[:, None].astype(float))[:, 0]
+        member = ((sets[:, None] & bit) != 0).astype(np.uint64).T
+        missing = np.flatnonzero(~has)
+        per_cell = []
+        for j in missing:
+            mine = known[able, j]
+            per_cell.append((np.append(marks[mine], np.zeros(k, np.uint64)), np.append(able[mine], np.full(k, len(donors)))))
+        step = max(1, LOOKUP_CELLS // (len(sets) * k))
+        for begin in range(0, len(asking), step):
+            rows = asking[begin:begin + step]
+            wanted = query_marks[rows] @ member + salt
+            alive = np.ones(len(rows), bool)
+            chosen = np.empty((len(rows), len(missing), k), np.int64)
+            for n, (sorted_marks, place) in enumerate(per_cell):
+                at = np.flatnonzero(alive)
+                start = np.searchsorted(sorted_marks[:-k], wanted[at])[..., None] + np.arange(k)
+                met = np.where(sorted_marks[start] == wanted[at][..., None], place[start], len(donors)).reshape(len(at), len(sets) * k)
+                first = np.sort(np.partition(met, k - 1, axis=1)[:, :k], axis=1)
+                found = first[:, -1] < len(donors)
+                # Equal marks are not yet equal values.
+                with np.errstate(invalid="ignore"):
+                    gap = donors[first[found]] - queries[rows[at[found]]][:, None, :]
+                equal = ((gap == 0) | ~(known[first[found]] & has)).all(axis=(1, 2))
+                found[found] = equal
+                chosen[at, n] = first
+                alive[at[~found]] = False
+            settled = np.flatnonzero(alive)
+            out.append((np.repeat(rows[settled], len(missing) * k), np.tile(np.repeat(missing, k), len(settled)), chosen[settled].ravel()))
+    if not out:
+        return tuple(np.empty(0, np.int64) for _ in range(3))
+    return tuple(np.concatenate(parts) for parts in zip(*out))
+
+
 def nearest_for_gaps(
     donors: DataFrame, queries: DataFrame, axes: Sequence[str], key: str, query: str, n_donors: int, n_queries: int, k: int,
     box_donors: int = BOX_DONORS, chunk_queries: int = CHUNK_QUERIES,
@@ -178,8 +262,54 @@ def nearest_for_gaps(
     there. The row counts only steer how finely the work is cut. Cells without any donor give no rows.
     """
     axes = list(axes)
-    tree = _plan(donors, axes, key, n_donors, n_queries, k, box_donors)
     search = _GapSearch(axes, key, query, k)
+    if not _pays(n_donors, n_queries, box_donors):
+        return _near(search, donors, queries, n_donors, n_queries, box_donors, chunk_queries)
+    donors = materialise(donors.select(key, *axes))
+    queries = queries.select(query, *axes)
+    done = []
+    for boxes in FIRST_DONORS:
+        first = _first_by_key(donors, axes, key, n_donors, boxes * box_donors)
+        if first is None:
+            break
+        looked = materialise(_settled(queries, axes, key, query, k, first, dict(donors.dtypes)[key]))
+        done.append(looked.where("near IS NOT NULL").select(query, F.inline("near")))
+        queries, before = looked.where("near IS NULL").drop("near"), n_queries
+        n_queries = queries.count()
+        if not n_queries or before - n_queries < SETTLED_ENOUGH * before or boxes * box_donors >= n_donors:
+            break
+
+    runs = []
+    if n_queries:
+        pattern = sum((F.col(a).isNotNull().cast("bigint") * F.lit(1 << j) for j, a in enumerate(axes[:62])), F.lit(0).cast("bigint"))
+        # Beyond 62 axes the pattern does not name all of them: one tree for all.
+        frequent = queries.groupBy(pattern.alias("p")).count().orderBy(F.col("count").desc(), "p").limit(PATTERNS).collect() if len(axes) <= 62 else []
+        # A tree of its own costs a pass over the donors.
+        every = (1 << len(axes)) - 1
+        own = {r["p"]: r["count"] for r in frequent if 0 < r["p"] < every and r["count"] >= chunk_queries // 4}
+        for p, n in own.items():
+            inside = [a for j, a in enumerate(axes) if p >> j & 1]
+            outside = [a for a in axes if a not in inside]
+            able = donors.where(F.coalesce(*inside).isNotNull() & F.coalesce(*outside).isNotNull())
+            asked = queries.where(pattern == p)
+            runs.append(lambda able=able, asked=asked, n=n, inside=inside: _near(
+                search, able, asked, n_donors, n, box_donors, chunk_queries, inside))
+        rest = n_queries - sum(own.values())
+        if rest:
+            asked = queries.where(~pattern.isin(list(own))) if own else queries
+            runs.append(lambda: _near(search, donors, asked, n_donors, rest, box_donors, chunk_queries))
+    for begin in range(0, len(runs), 4):
+        done += run_together(donors.sparkSession, *runs[begin:begin + 4])
+    out = done[0]
+    for part in done[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _near(search: _GapSearch, donors, queries, n_donors, n_queries, box_donors, chunk_queries, known: Sequence[str] | None = None) -> DataFrame:
+    """The search by boxes. `known`: axes that every query knows, and no other; only they are split."""
+    axes, key, query, k = search.axes, search.key, search.query, search.k
+    tree = _plan(donors, axes, key, n_donors, n_queries, k, box_donors, known)
     if tree.boxes == 1:
         # Every chunk of donors sees every part of the queries once.
         pieces = {"chunks": max(1, -(-n_donors // (CHUNK_BOXES * box_donors))), "parts": max(1, -(-n_queries // chunk_queries))}
@@ -188,7 +318,7 @@ def nearest_for_gaps(
 
     shared = donors.sparkSession.sparkContext.broadcast((tree.axis, tree.cut, tree.low))
     donors = materialise(_located(donors, axes, shared, True))
-    queries = materialise(_located(queries, axes, shared, False))
+    wide = known is not None and len(known) <= WIDE_KNOWN
     # One row per box: at most MAX_BOXES and the boxes of what is unknown beside them.
     chunks = F.broadcast(_pieces(donors, "chunks", CHUNK_BOXES * box_donors))
 
@@ -196,26 +326,94 @@ def nearest_for_gaps(
         parts = F.broadcast(_pieces(wanted, "parts", chunk_queries))
         return search.run(donors.join(chunks, "box").join(parts, "box"), wanted.join(chunks, "box").join(parts, "box"), radius)
 
-    first = materialise(_first_k(round_of(queries, None), query, key, k))
+    if wide:
+        asked = queries.withColumns({"radius": F.lit(0.0), "box": F.lit(-1).cast("bigint")})
+        first = round_of(materialise(_spread(asked, axes, query, shared, False).drop("radius")), None)
+        queries = queries.withColumn("box", F.lit(-1).cast("bigint"))
+    else:
+        queries = materialise(_located(queries, axes, shared, False))
+        first = round_of(queries, None)
+    first = materialise(_first_k(first, query, key, k))
     # The largest kth distance of the query's missing cells; a cell with fewer than k donors so far leaves it open.
     per_cell = first.groupBy(query, "cell").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("far"))
     missing = sum((F.col(a).isNull().cast("int") for a in axes), F.lit(0))
     radius = per_cell.groupBy(F.col(query).alias("r__query")).agg(F.count_if(F.col("n") >= k).alias("full"), F.max("far").alias("far"))
     reach = queries.join(radius, F.col(query) == F.col("r__query"), "left").withColumn(
         "radius", F.when(F.col("full") >= missing, F.col("far") * F.col("far")).otherwise(F.lit(float("inf"))))
-    second = round_of(materialise(_spread(reach.drop("r__query", "full", "far"), axes, query, shared)), "radius")
+    second = round_of(materialise(_spread(reach.drop("r__query", "full", "far"), axes, query, shared, wide)), "radius")
     return _first_k(first.unionByName(second), query, key, k)
 
 
-def _plan(donors, axes, key, n_donors, n_queries, k, box_donors) -> GapTree:
+def _pays(n_donors: int, n_queries: int, box_donors: int) -> bool:
     """Cutting pays when the distances to all donors would cost more than a second round."""
+    return n_donors > 2 * box_donors and n_donors * n_queries > ONE_BOX * box_donors ** 2
+
+
+def _first_by_key(donors: DataFrame, axes, key: str, n_donors: int, rows: int) -> pa.Table | None:
+    """About `rows` donors: all up to some key, in key order. None where too many share their key to be sent to tasks."""
+    if len(axes) > 62:
+        return None
+    wanted = donors.select(key, *axes)
+    if n_donors > rows:
+        # A sample by hash says below which key they lie.
+        rate = max(1, n_donors // (8 * SAMPLE_PER_BOX * -(-n_donors // rows)))
+        picked = donors.where(F.pmod(F.xxhash64(key, *axes), F.lit(rate)) == 0).select(key)
+        below = picked.orderBy(key).limit(max(1, rows // rate)).agg(F.max(key)).first()[0]
+        wanted = wanted.where(F.col(key).isNull() | (F.col(key) <= F.lit(below)))
+    table = wanted.orderBy(key, *axes).limit(2 * rows + 1).toArrow()
+    return None if table.num_rows > 2 * rows else table.combine_chunks()
+
+
+def _settled(queries: DataFrame, axes: Sequence[str], key: str, query: str, k: int, first: pa.Table, kind: str) -> DataFrame:
+    """Queries with `near`: the rows of the result where donors at distance zero settle all missing cells, else NULL."""
+    from pyspark.sql.types import StructType
+
+    shared = queries.sparkSession.sparkContext.broadcast((first.column(key).combine_chunks(), _matrix(first, axes)))
+    fields = [pa.field("cell", pa.int32()), first.schema.field(key), pa.field("distance", pa.float64()), pa.field("value", pa.float64())]
+    near = f"near array<struct<cell:int,`{key}`:{kind},distance:double,value:double>>"
+    schema = StructType([*queries.schema.fields, *StructType.fromDDL(near).fields])
+
+    def look(part: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+        keys, donors = shared.value
+        table = pa.Table.from_batches(part).combine_chunks()
+        q, cell, d = zero_distance(donors, _matrix(table, axes), k)
+        order = np.argsort(q, kind="stable")
+        q, cell, d = q[order], cell[order], d[order]
+        count = np.bincount(q, minlength=table.num_rows)
+        ends = np.concatenate([[0], np.cumsum(count)])
+        near = pa.StructArray.from_arrays(
+            [pa.array(cell, pa.int32()), keys.take(pa.array(d)), pa.array(np.zeros(len(d))), pa.array(donors[d, cell])], fields=fields)
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), near, mask=pa.array(count == 0))
+        return pa.table([*table.columns, lists], names=schema.names).to_batches(max_chunksize=CHUNK_QUERIES)
+
+    def run(batches):
+        # The donors are put in order once per pattern and piece of queries.
+        part, rows = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                part.append(batch)
+                rows += batch.num_rows
+            if rows >= 8 * CHUNK_QUERIES:
+                yield from look(part)
+                part, rows = [], 0
+        if part:
+            yield from look(part)
+
+    spark = queries.sparkSession
+    return queries.repartition(spark.sparkContext.defaultParallelism, query).mapInArrow(run, schema)
+
+
+def _plan(donors, axes, key, n_donors, n_queries, k, box_donors, known) -> GapTree:
     boxes = min(MAX_BOXES, -(-n_donors // box_donors))
-    if n_donors <= 2 * box_donors or n_donors * n_queries <= ONE_BOX * box_donors ** 2:
+    if not _pays(n_donors, n_queries, box_donors):
         return GapTree.build(np.zeros((0, len(axes))), 1, 1)
     # Every m-th donor by hash: a bounded number per box, however many donors there are.
     rate = max(1, n_donors // (boxes * max(SAMPLE_PER_BOX, 2 * k)))
     picked = donors.where(F.pmod(F.xxhash64(key), F.lit(rate)) == 0).select(*axes)
-    return GapTree.build(picked.toPandas().to_numpy(dtype=float), boxes, max(k, SAMPLE_PER_BOX // 4))
+    sample = picked.toPandas().to_numpy(dtype=float)
+    if known is not None:
+        sample[:, [j for j, a in enumerate(axes) if a not in known]] = np.nan
+    return GapTree.build(sample, boxes, max(k, SAMPLE_PER_BOX // 4))
 
 
 def _pieces(df: DataFrame, name: str, rows: int) -> DataFrame:
@@ -241,8 +439,8 @@ def _located(df: DataFrame, axes: Sequence[str], shared, as_donors: bool) -> Dat
     return df.mapInArrow(run, schema)
 
 
-def _spread(reach: DataFrame, axes: Sequence[str], query: str, shared) -> DataFrame:
-    """One row per (query, other box that its radius touches)."""
+def _spread(reach: DataFrame, axes: Sequence[str], query: str, shared, past_zero: bool) -> DataFrame:
+    """One row per (query, other box that its radius touches); `past_zero` leaves out boxes that a radius of zero touches."""
     cols = [query, *axes, "radius", "box"]
     reach = reach.select(*cols)
 
@@ -250,8 +448,8 @@ def _spread(reach: DataFrame, axes: Sequence[str], query: str, shared) -> DataFr
         tree = GapTree(*shared.value)
         for batch in batches:
             square = batch.column("radius").to_numpy(zero_copy_only=False) * (1 + 1e-9)
-            row, box = tree.touched(_matrix(batch, axes), square)
-            own = box == batch.column("box").to_numpy()[row]
+            row, box, bound = tree.bounded(_matrix(batch, axes), square)
+            own = bound <= 0 if past_zero else box == batch.column("box").to_numpy()[row]
             row, box = row[~own], box[~own]
             # Many boxes per query: hand them over in pieces.
             for begin in range(0, len(row), 100_000):

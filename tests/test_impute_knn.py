@@ -3,7 +3,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabprep.operators import impute
-from tabprep.operators.gap_neighbours import GapTree, nearest_per_cell
+from tabprep.operators import gap_neighbours
+from tabprep.operators.gap_neighbours import GapTree, nearest_per_cell, zero_distance
 from tabprep.operators.knn import fit_knn
 from tests.conftest import by, rows
 
@@ -179,3 +180,32 @@ def test_ties_and_distant_values_are_settled_exactly():
     q, cell, d, distance = nearest_per_cell(donors, queries, 4)
     assert d[q == 0].tolist() == [3, 10, 17, 24] and (distance[q == 0] == 0).all() and (cell == 1).all()
     assert d[q == 1].tolist() == [3, 4, 10, 11]
+
+
+def test_donors_at_distance_zero_settle_a_query():
+    donors = np.array([[1, 5, np.nan], [np.nan, 5, 7], [1, np.nan, 8], [2, np.nan, 9], [1, 5, 6], [np.nan, np.nan, 3]])
+    queries = np.array([[1, 5, np.nan], [2, np.nan, np.nan], [-0.0, np.nan, np.nan], [1, 2, 3]])
+    q, cell, d = zero_distance(donors, queries, 2)
+    # Donors 1, 2 and 4 agree with query 0 on what both know; query 1 has one donor only, and none for its second column.
+    assert list(zip(q.tolist(), cell.tolist(), d.tolist())) == [(0, 2, 1), (0, 2, 2)]
+    q, cell, d = zero_distance(np.array([[0.0, 4.0], [np.inf, 5.0]]), np.array([[-0.0, np.nan], [np.inf, np.nan]]), 1)
+    assert (q.tolist(), cell.tolist(), d.tolist()) == ([0], [1], [0])
+
+
+def grid_points(rows, width, seed):
+    rng = np.random.default_rng(seed)
+    values = rng.integers(0, 4, (rows, width)).astype(float)
+    values[:, -1] = rng.normal(size=rows).round(2)
+    values[rng.random(values.shape) < 0.35] = np.nan
+    return values
+
+
+def test_few_queries_reach_the_boxes_where_values_repeat(spark, monkeypatch):
+    values = grid_points(600, 5, 8)
+    df, names = frame(spark, values)
+    asked = []
+    near = gap_neighbours._near
+    monkeypatch.setattr(gap_neighbours, "_near", lambda *args: asked.append(args[4]) or near(*args))
+    got = cells(fit_knn(df, names, ["id"], 3, 10, 40).transform(df), names)
+    assert got == pytest.approx(brute(values, values, 3), abs=1e-9)
+    assert sum(asked) < 150
