@@ -27,6 +27,7 @@ from tabprep.sizing import local_table
 
 LABEL_OUT = "model__label"
 FEATURES_OUT = "model__features"
+TASK_ROWS = 10_000  # training rows that are worth a task of their own
 
 
 def classifier(name: str, seed: int = 42, **params):
@@ -229,7 +230,11 @@ def cross_validate(
         evaluator=BinaryClassificationEvaluator(labelCol=LABEL_OUT, rawPredictionCol="rawPrediction", numBins=0),
         parallelism=parallelism,
     )
-    return validator.fit(labelled(df, target))
+    # Every fold reads the rows again, and every round of boosting is a job on them: they are fixed once, few columns wide, and
+    # spread by their number, because their few bytes would keep them in one task.
+    rows = materialise(labelled(df, target).select(*features, LABEL_OUT))
+    tasks = -(-rows.count() // TASK_ROWS)
+    return validator.fit(rows.repartition(max(1, min(df.sparkSession.sparkContext.defaultParallelism, tasks))))
 
 
 def write_metadata(table: DataFrame, path: str) -> None:

@@ -162,6 +162,18 @@ def test_cross_validation(separable):
     assert len(model.avgMetrics) == 2 and max(model.avgMetrics) > 0.7
 
 
+def test_cross_validation_spreads_its_rows(separable, monkeypatch):
+    seen = []
+    fit = modelling.CrossValidator.fit
+    monkeypatch.setattr(modelling.CrossValidator, "fit", lambda self, df: seen.append(df) or fit(self, df))
+    monkeypatch.setattr(modelling, "TASK_ROWS", 100, raising=False)
+    modelling.cross_validate(separable.coalesce(1), "y", ["a", "b"], "logistic_regression", {"regParam": [0.0]}, folds=2, maxIter=2)
+    parts = [r["n"] for r in seen[0].groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    cores = separable.sparkSession.sparkContext.defaultParallelism
+    assert sum(parts) == separable.where("y is not null").count() and len(parts) == min(cores, -(-sum(parts) // 100))
+    assert seen[0].columns == ["a", "b", modelling.LABEL_OUT]
+
+
 @pytest.fixture(scope="module")
 def keyed(spark):
     rng = np.random.default_rng(9)
