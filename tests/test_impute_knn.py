@@ -209,3 +209,25 @@ def test_few_queries_reach_the_boxes_where_values_repeat(spark, monkeypatch):
     got = cells(fit_knn(df, names, ["id"], 3, 10, 40).transform(df), names)
     assert got == pytest.approx(brute(values, values, 3), abs=1e-9)
     assert sum(asked) < 150
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e6])
+def test_frequent_patterns_have_trees_of_their_own(spark, scale):
+    """One axis far wider than the others, and donors that share only narrow axes with the queries."""
+    rng = np.random.default_rng(4)
+    values = rng.normal(size=(700, 4)) * np.array([5.0, 0.01, 0.02, scale])
+    kind = rng.integers(0, 5, 700)
+    for n, missing in enumerate(([0], [3], [2, 3], [0, 3], [])):
+        values[np.ix_(kind == n, missing)] = np.nan
+    df, names = frame(spark, values)
+    got = cells(fit_knn(df, names, ["id"], 5, 10, 40).transform(df), names)
+    want = brute(values, values, 5)
+    assert np.abs((got - want) / np.array([5.0, 0.01, 0.02, scale])).max() < 1e-6
+
+
+def test_own_trees_split_only_axes_that_their_queries_know(spark):
+    rng = np.random.default_rng(6)
+    values = rng.normal(size=(800, 3)) * np.array([100.0, 1.0, 1.0])
+    df, names = frame(spark, values)
+    tree = gap_neighbours._plan(df.withColumnRenamed("id", "key"), names, "key", 800, 800, 5, 10, ["b", "c"])
+    assert tree.boxes > 20 and set(tree.axis.tolist()) == {-1, 1, 2}
