@@ -10,8 +10,9 @@ query and box can share, which never exceeds the distance to any donor inside, s
 
 Two steps keep the work near the size of the input. Nothing is nearer than distance zero and ties go to the smaller key, so a
 query whose missing cells all have k donors at distance zero among the donors with the smallest keys is settled by look-ups
-there (`zero_distance`). Of the others, every frequent pattern of known cells is searched by a tree of its own, which splits
-only axes that its queries know: donors that share the same coordinates with them then lie in the same boxes.
+there (`zero_distance`). A shared tree prunes nothing at the splits of axes that a query does not know. So of the others, every
+pattern of known cells that would look in many boxes of it is searched by a tree of its own, which splits only axes that its
+queries know: donors that share the same coordinates with them then lie in the same boxes.
 
 Donors and queries of a box meet in chunks of bounded size. A chunk's distances are one matrix product of known values,
 squares and masks; what may be among the k nearest of a cell is computed again coordinate by coordinate, so rounding decides
@@ -36,7 +37,8 @@ MAX_BOXES = 16_384      # the tree sent to tasks and the sample stay this small
 TILE_CELLS = 1_000_000  # distances held at once inside a task
 FIRST_DONORS = 8, 64    # donors with the smallest keys that are sent to every task, in boxes, step by step
 SETTLED_ENOUGH = 0.25   # share of the queries that a step must settle for the next to follow
-PATTERNS = 16           # frequent patterns of known cells searched by trees of their own
+PATTERNS = 16           # patterns of known cells searched by trees of their own
+COUNTED_PATTERNS = 1_024  # frequent patterns of known cells whose cost in the shared tree is compared
 WIDE_KNOWN = 4          # with up to this many known cells round one looks in the query's box for every set of shared coordinates
 LOOKUP_CELLS = 1_000_000  # donors looked up at once inside a task
 
@@ -84,6 +86,15 @@ class GapTree:
     def boxes(self) -> int:
         return int((self.axis < 0).sum())
 
+    def reached(self, known: Sequence[bool]) -> float:
+        """Boxes that a query of these known axes looks in at a radius of zero, when cuts halve the queries."""
+        reach = np.zeros(len(self.axis))
+        reach[0] = 1
+        for node in np.flatnonzero(self.axis >= 0):
+            low, share = self.low[node], 0.5 if known[self.axis[node]] else 1
+            reach[low:low + 3] = reach[node] * np.array([share, share, 1])
+        return float(reach[self.axis < 0].sum())
+
     def locate(self, points: np.ndarray, donors: bool) -> np.ndarray:
         """Box of each point. A query that does not know an axis looks for donors that do, in the lower box."""
         node = np.zeros(len(points), np.int64)
@@ -282,11 +293,17 @@ def nearest_for_gaps(
     runs = []
     if n_queries:
         pattern = sum((F.col(a).isNotNull().cast("bigint") * F.lit(1 << j) for j, a in enumerate(axes[:62])), F.lit(0).cast("bigint"))
+        tree = _plan(donors, axes, key, n_donors, n_queries, k, box_donors, None)
         # Beyond 62 axes the pattern does not name all of them: one tree for all.
-        frequent = queries.groupBy(pattern.alias("p")).count().orderBy(F.col("count").desc(), "p").limit(PATTERNS).collect() if len(axes) <= 62 else []
-        # A tree of its own costs a pass over the donors.
+        named = len(axes) <= 62 and tree.boxes > 1
+        frequent = queries.groupBy(pattern.alias("p")).count().orderBy(F.col("count").desc(), "p").limit(COUNTED_PATTERNS).collect() if named else []
+        # What counts is how many queries look at all donors, so few queries weigh much when they know few axes.
         every = (1 << len(axes)) - 1
-        own = {r["p"]: r["count"] for r in frequent if 0 < r["p"] < every and r["count"] >= chunk_queries // 4}
+        cost = {r["p"]: r["count"] * tree.reached([r["p"] >> j & 1 for j in range(len(axes))]) / tree.boxes
+                for r in frequent if 0 < r["p"] < every}
+        # A tree of its own costs a pass over the donors.
+        own = {r["p"]: r["count"] for r in sorted(frequent, key=lambda r: -cost.get(r["p"], 0))[:PATTERNS]
+               if cost.get(r["p"], 0) >= max(1, chunk_queries // 32)}
         for p, n in own.items():
             inside = [a for j, a in enumerate(axes) if p >> j & 1]
             outside = [a for a in axes if a not in inside]
@@ -297,7 +314,7 @@ def nearest_for_gaps(
         rest = n_queries - sum(own.values())
         if rest:
             asked = queries.where(~pattern.isin(list(own))) if own else queries
-            runs.append(lambda: _near(search, donors, asked, n_donors, rest, box_donors, chunk_queries))
+            runs.append(lambda: _near(search, donors, asked, n_donors, rest, box_donors, chunk_queries, None, tree))
     for begin in range(0, len(runs), 4):
         done += run_together(donors.sparkSession, *runs[begin:begin + 4])
     out = done[0]
@@ -306,10 +323,12 @@ def nearest_for_gaps(
     return out
 
 
-def _near(search: _GapSearch, donors, queries, n_donors, n_queries, box_donors, chunk_queries, known: Sequence[str] | None = None) -> DataFrame:
-    """The search by boxes. `known`: axes that every query knows, and no other; only they are split."""
+def _near(search: _GapSearch, donors, queries, n_donors, n_queries, box_donors, chunk_queries, known: Sequence[str] | None = None,
+          tree: GapTree | None = None) -> DataFrame:
+    """The search by boxes. `known`: axes that every query knows, and no other; only they are split. `tree`: planned before."""
     axes, key, query, k = search.axes, search.key, search.query, search.k
-    tree = _plan(donors, axes, key, n_donors, n_queries, k, box_donors, known)
+    if tree is None or not _pays(n_donors, n_queries, box_donors):
+        tree = _plan(donors, axes, key, n_donors, n_queries, k, box_donors, known)
     if tree.boxes == 1:
         # Every chunk of donors sees every part of the queries once.
         pieces = {"chunks": max(1, -(-n_donors // (CHUNK_BOXES * box_donors))), "parts": max(1, -(-n_queries // chunk_queries))}

@@ -231,3 +231,25 @@ def test_own_trees_split_only_axes_that_their_queries_know(spark):
     df, names = frame(spark, values)
     tree = gap_neighbours._plan(df.withColumnRenamed("id", "key"), names, "key", 800, 800, 5, 10, ["b", "c"])
     assert tree.boxes > 20 and set(tree.axis.tolist()) == {-1, 1, 2}
+
+
+def test_few_queries_that_know_one_axis_have_a_tree_of_their_own(spark, monkeypatch):
+    """In the shared tree, whose splits they mostly do not know, each would look in nearly every box."""
+    rng = np.random.default_rng(9)
+    values = rng.normal(size=(700, 4)) * np.array([5.0, 4.0, 0.5, 3.0])
+    values[:200, 0] = np.nan
+    values[200:220, [0, 1, 3]] = np.nan
+    df, names = frame(spark, values)
+    searched = []
+    near = gap_neighbours._near
+    monkeypatch.setattr(gap_neighbours, "_near", lambda *args: searched.append((args[4], args[7])) or near(*args))
+    got = cells(fit_knn(df, names, ["id"], 5, 10, 160).transform(df), names)
+    assert got == pytest.approx(brute(values, values, 5), abs=1e-9)
+    assert sorted(searched) == [(20, ["v__2"]), (200, ["v__1", "v__2", "v__3"])]
+
+
+def test_boxes_that_a_pattern_reaches():
+    # Axis 0 is split first, its known halves by axis 1.
+    tree = GapTree(np.array([0, 1, 1, -1, -1, -1, -1, -1, -1, -1]), np.zeros(10), np.array([1, 4, 7, 0, 0, 0, 0, 0, 0, 0]))
+    assert tree.boxes == 7 and tree.reached([False, False]) == 7
+    assert tree.reached([True, False]) == 4 and tree.reached([False, True]) == 5 and tree.reached([True, True]) == 3
