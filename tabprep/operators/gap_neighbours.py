@@ -38,6 +38,7 @@ TILE_CELLS = 1_000_000  # distances held at once inside a task
 FIRST_DONORS = 8, 64    # donors with the smallest keys that are sent to every task, in boxes, step by step
 SETTLED_ENOUGH = 0.25   # share of the queries that a step must settle for the next to follow
 PATTERNS = 16           # patterns of known cells searched by trees of their own
+TOGETHER = 8            # trees searched at once: one's planning and last tasks overlap with another's distances
 COUNTED_PATTERNS = 1_024  # frequent patterns of known cells whose cost in the shared tree is compared
 WIDE_KNOWN = 4          # with up to this many known cells round one looks in the query's box for every set of shared coordinates
 LOOKUP_CELLS = 1_000_000  # donors looked up at once inside a task
@@ -293,10 +294,12 @@ def nearest_for_gaps(
     runs = []
     if n_queries:
         pattern = sum((F.col(a).isNotNull().cast("bigint") * F.lit(1 << j) for j, a in enumerate(axes[:62])), F.lit(0).cast("bigint"))
-        tree = _plan(donors, axes, key, n_donors, n_queries, k, box_donors, None)
+        tree, counted = run_together(
+            donors.sparkSession,
+            lambda: _plan(donors, axes, key, n_donors, n_queries, k, box_donors, None),
+            lambda: queries.groupBy(pattern.alias("p")).count().orderBy(F.col("count").desc(), "p").limit(COUNTED_PATTERNS).collect())
         # Beyond 62 axes the pattern does not name all of them: one tree for all.
-        named = len(axes) <= 62 and tree.boxes > 1
-        frequent = queries.groupBy(pattern.alias("p")).count().orderBy(F.col("count").desc(), "p").limit(COUNTED_PATTERNS).collect() if named else []
+        frequent = counted if len(axes) <= 62 and tree.boxes > 1 else []
         # What counts is how many queries look at all donors, so few queries weigh much when they know few axes.
         every = (1 << len(axes)) - 1
         cost = {r["p"]: r["count"] * tree.reached([r["p"] >> j & 1 for j in range(len(axes))]) / tree.boxes
@@ -315,8 +318,8 @@ def nearest_for_gaps(
         if rest:
             asked = queries.where(~pattern.isin(list(own))) if own else queries
             runs.append(lambda: _near(search, donors, asked, n_donors, rest, box_donors, chunk_queries, None, tree))
-    for begin in range(0, len(runs), 4):
-        done += run_together(donors.sparkSession, *runs[begin:begin + 4])
+    for begin in range(0, len(runs), TOGETHER):
+        done += run_together(donors.sparkSession, *runs[begin:begin + TOGETHER])
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
